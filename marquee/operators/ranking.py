@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,19 +39,15 @@ def ranked(
     # one row per (task, group): at most tasks + groups of them
     runs = rows.groupBy(run, *within).agg(F.min(ident).alias(first), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*within).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)
+    groups = {c: f"_{name}_{c}" for c in [run, *within]}
     starts = runs.select(
-        run, *within, first, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before)
-    )
-    match = rows[run] == starts[run]
-    for col in within:
-        match = match & rows[col].eqNullSafe(starts[col])
-    return (
-        rows.join(starts, match)
-        .select(
-            *[rows[c] for c in df.columns],
-            (F.col(before) + rows[ident] - F.col(first) + F.lit(1)).alias(name),
-        )
+        *[F.col(c).alias(g) for c, g in groups.items()],
+        first,
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias(before),
     )
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(g)) for c, g in groups.items()])
+    number = F.col(before) + F.col(ident) - F.col(first) + F.lit(1)
+    return rows.join(starts, match).select(*df.columns, number.alias(name))
 
 
 def top_n(
