@@ -35,7 +35,7 @@ from marquee.operators.models import (
     text_model,
     tune,
 )
-from marquee.operators.ranking import recent_n_per_title, sample_per_title, top_n_per_day
+from marquee.operators.ranking import recent_n_per_title, sample_per_title
 from marquee.schemas import BOXOFFICE, LABELED, METRICS, MOVIES, TABLES, TRAINING, TWEETS, VALIDATION
 from marquee.session import cut_lineage
 from marquee.sources.readers import chart_rows, extract_chart, flatten_posts, normalize_metadata, read_table
@@ -142,7 +142,7 @@ def ingest_day(
     """
     day = next_date(store, first_date)
     page = pages.filter(F.col("gross_date") == F.lit(day))
-    chart = cut_lineage(top_n_per_day(chart_rows(extract_chart(page, titles_per_day)), titles_per_day))
+    chart = cut_lineage(chart_rows(extract_chart(page, titles_per_day)))
     if chart.isEmpty():
         raise NoChartError(f"no usable chart for {day}")
     store.append(daily_posts(chart, posts, day, posts_per_title), TWEETS, "skip")

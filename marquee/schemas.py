@@ -7,9 +7,21 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    """``"a long, b string"`` as a StructType."""
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "long": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+}
+
+
+def struct(spec: str) -> T.StructType:
+    """``"a long, b string"`` as a StructType. Needs no session, so schemas can be module constants."""
+    fields = (part.split() for part in spec.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 @dataclass(frozen=True)
@@ -28,7 +40,7 @@ class Table:
 
 BOXOFFICE = Table(
     "boxoffice",
-    _struct(
+    struct(
         "gross_date date, rank int, title string, daily_gross long, todate_gross long, "
         "release_day int, theaters int"
     ),
@@ -38,7 +50,7 @@ BOXOFFICE = Table(
 
 MOVIES = Table(
     "movies",
-    _struct(
+    struct(
         "title string, search_date date, actors string, director string, genres string, plot string, "
         "mpaarating string, release string, runtime int, metascore int, imdbid string, imdbrating double, "
         "imdbvotes long, tomatoconsensus string, tomatometer int, tomatoreviews int"
@@ -49,7 +61,7 @@ MOVIES = Table(
 
 TWEETS = Table(
     "tweets",
-    _struct(
+    struct(
         "title string, author_id long, author_name string, author_friends long, author_followers long, "
         "author_favorites long, author_statuses long, author_verified boolean, tweet_id long, "
         "tweet_date date, tweet_datetime timestamp, tweet_favorites long, tweet_retweets long, "
@@ -61,13 +73,13 @@ TWEETS = Table(
 
 VALIDATION = Table(
     "validation",
-    _struct("title string, tweet_id long, tweet_text string, label int"),
+    struct("title string, tweet_id long, tweet_text string, label int"),
     ("title", "tweet_id"),
 )
 
 LABELED = Table(
     "labeled",
-    _struct(
+    struct(
         "title string, tweet_id long, tweet_text string, pr_neg double, pr_neu double, pr_pos double, "
         "label int, method string"
     ),
@@ -76,7 +88,7 @@ LABELED = Table(
 
 METRICS = Table(
     "metrics",
-    _struct(
+    struct(
         "title string, pred_date date, pr_cls_neg double, pr_cls_neu double, pr_cls_pos double, "
         "avg_pr_neg double, avg_pr_neu double, avg_pr_pos double"
     ),
@@ -84,14 +96,21 @@ METRICS = Table(
     "pred_date",
 )
 
-TRAINING = Table("training", _struct("tweet_text string, label int"))
+TRAINING = Table("training", struct("tweet_text string, label int"))
 
 TABLES = {t.name: t for t in (BOXOFFICE, MOVIES, TWEETS, VALIDATION, LABELED, METRICS, TRAINING)}
 
-POST = _struct(
-    "author struct<id: long, name: string, verified: boolean, followers_count: long, friends_count: long, "
-    "favourites_count: long, statuses_count: long>, id long, created_at timestamp, favorite_count long, "
-    "retweet_count long, lang string, text string"
+AUTHOR = struct(
+    "id long, name string, verified boolean, followers_count long, friends_count long, "
+    "favourites_count long, statuses_count long"
+)
+POST = T.StructType(
+    [
+        T.StructField("author", AUTHOR),
+        *struct(
+            "id long, created_at timestamp, favorite_count long, retweet_count long, lang string, text string"
+        ),
+    ]
 )
 
 CLASSES = (-1, 0, 1)
