@@ -20,6 +20,7 @@ from marquee.operators import ranking as R
 from marquee.operators import text as X
 from marquee.plans import jobs
 from marquee.schemas import Table, struct
+from marquee.session import cut_lineage
 from marquee.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,14 +217,17 @@ def j4_apply_annotations(queue, answers):
 def _lemma_table(tweets: DataFrame) -> DataFrame:
     words = tokens_of(tweets).select(F.explode("tokens").alias("token")).distinct()
     plural = words.filter(F.col("token").rlike("^[a-z]{3,}s$"))
-    return plural.select("token", F.lit("n").alias("wordclass"), F.expr("left(token, length(token) - 1)").alias("lemma"))
+    table = plural.select(
+        "token", F.lit("n").alias("wordclass"), F.expr("left(token, length(token) - 1)").alias("lemma")
+    )
+    return cut_lineage(table)  # a stored table in real use
 
 
 def _tag_table(tweets: DataFrame) -> DataFrame:
     words = tokens_of(tweets).select(F.explode("tokens").alias("token")).distinct()
     word = F.col("token")
     tag = F.when(word.endswith("ing"), "VBG").when(word.endswith("ly"), "RB").when(word.endswith("ble"), "JJ")
-    return words.select("token", tag.alias("tag")).filter("tag IS NOT NULL")
+    return cut_lineage(words.select("token", tag.alias("tag")).filter("tag IS NOT NULL"))
 
 
 @query("tweets_fx")
@@ -520,7 +524,7 @@ def t13_tfidf(tweets):
 
 def _word_counts(tweets: DataFrame) -> DataFrame:
     words = A.term_counts(tokens_of(tweets)).filter(F.col("term").rlike("^[a-z0-9]+$"))
-    return words.select(F.col("term").alias("word"), F.col("total").alias("n"))
+    return cut_lineage(words.select(F.col("term").alias("word"), F.col("total").alias("n")))
 
 
 @query("tweets_fx")

@@ -6,6 +6,10 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.session import spread_scan
+
+LONG_TEXTS = ("documents", "pages")  # work per row is high, so few large splits would idle cores
+
 VIEWS = {
     "tweets_fx": """
 SELECT source AS title, doc_id AS tweet_id, lang,
@@ -88,7 +92,8 @@ def _needs(name: str) -> list[str]:
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table or a view over the tables in ``folder``."""
     if name not in VIEWS:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        table = spark.read.parquet(f"{folder}/{name}.parquet")
+        return spread_scan(table) if name in LONG_TEXTS else table
     return spark.sql(VIEWS[name], **{n: view(spark, folder, n) for n in _needs(name)})
 
 

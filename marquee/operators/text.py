@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marquee.functions.entities import let
 from marquee.functions.tokens import ENGLISH_STOPWORDS, casual_tokenize, clean_tokens, pos_to_wordnet
 from marquee.operators.joins import dictionary_join
+from marquee.session import cut_lineage
 
 MAX_WORD = 24  # longest word a hashtag is split into
 
@@ -184,7 +185,7 @@ def segment_hashtags(
             F.array_distinct(F.transform(F.filter(elements, lambda e: F.contains(e, F.lit("#"))), _tag_text))
         ).alias("tag"),
     )
-    split = hashtag_words(uses.select("tag").distinct(), word_counts)
+    split = cut_lineage(hashtag_words(uses.select("tag").distinct(), word_counts))
     replaced = (
         dictionary_join(uses, split, ["tag"], key)
         .groupBy(*key)

@@ -66,3 +66,13 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when it is measured to be small, else ``df`` as it is (Spark picks the join)."""
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out over all cores when its files give fewer tasks than that.
+
+    For a plain scan only: its number of tasks is known from the file listing, without a job. A large
+    input has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
