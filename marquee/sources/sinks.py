@@ -6,7 +6,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,18 +64,18 @@ def append_keyed(df: DataFrame, table: Table, path: str, on_conflict: str = "fai
     if on_conflict not in ("fail", "skip"):
         raise ValueError("on_conflict must be 'fail' or 'skip'")
     incoming = cut_lineage(conform(df, table))
-    if not table.key:
-        fresh = incoming
-    else:
+    fresh = incoming
+    if table.key:
         present = read_table(df.sparkSession, table, path)
         if table.date:
             present = _same_dates(present, incoming, table.date)
         fresh = new_rows(incoming, present, table.key)
-        if on_conflict == "fail" and fresh.count() < incoming.count():
-            raise DuplicateKeyError(f"rows with a key already in {table.name}, or twice in the input")
-    written = Observation()
-    _write(fresh.observe(written, F.count(F.lit(1)).alias("rows")), table, path, "append")
-    return written.get["rows"]
+    added = fresh.count()
+    if on_conflict == "fail" and added < incoming.count():
+        raise DuplicateKeyError(f"rows with a key already in {table.name}, or twice in the input")
+    if added:
+        _write(fresh, table, path, "append")
+    return added
 
 
 def _same_dates(present: DataFrame, incoming: DataFrame, date: str) -> DataFrame:
