@@ -112,7 +112,7 @@ def metadata_lookup(
     """Metadata of each (title, year), else of the year before; ``found_year`` is null when neither is there.
 
     Each movie is offered to its own year and the next; the later one wins. One equi-join on
-    (title, year), with the movie side already down to one row per key.
+    (title, year), with the movie side already down to one row per key; a hot title is split by salt.
     """
     values = [c for c in movies.columns if c not in (title, year)]
     offered = (
@@ -120,7 +120,7 @@ def metadata_lookup(
         .groupBy(F.col(title), F.col("_for").alias(year))
         .agg(F.max_by(F.struct(F.col(year).alias("found_year"), *values), F.col(year)).alias("_movie"))
     )
-    return titles.join(offered, [title, year], "left").select(*titles.columns, "_movie.*")
+    return dictionary_join(titles, offered, [title, year], titles.columns).select(*titles.columns, "_movie.*")
 
 
 def not_found(looked_up: DataFrame) -> DataFrame:

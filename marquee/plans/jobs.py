@@ -92,11 +92,13 @@ def next_date(store: Store, first_date: str = FIRST_DATE) -> Date:
 def daily_posts(chart: DataFrame, posts: DataFrame, day: Date, per_title: int = POSTS_PER_TITLE) -> DataFrame:
     """The newest posts of the day that mention each charted title, cleaned and flat.
 
-    ``posts`` are nested. The day's posts are filtered and flattened first; the mention join then sees
-    only what a search would return.
+    ``posts`` are nested. The day's posts are picked by a time range the scan can use, then filtered and
+    flattened; the mention join sees only what a search would return.
     """
+    start = F.lit(day).cast("timestamp")
+    today = posts.filter((F.col("created_at") >= start) & (F.col("created_at") < start + F.expr("INTERVAL 1 DAY")))
     flat = flatten_posts(
-        posts.withColumn("tweet_date", F.to_date("created_at")), "tweet_date", "lang", F.col("text").alias("raw")
+        today.withColumn("tweet_date", F.to_date("created_at")), "tweet_date", "lang", F.col("text").alias("raw")
     )
     found = search_filter(flat, day, text="raw").drop("lang")
     titles = chart.select(F.col("gross_date").alias("tweet_date"), "title")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -49,23 +51,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df``: true when it holds at most ``max_rows`` rows and ``max_bytes`` bytes of JSON text.
+    """Measure ``df``: true when it holds at most ``max_rows`` rows and ``max_bytes`` bytes of values.
 
-    The count stops one row past the bound, so measuring a huge table stays cheap.
+    One aggregation: each task sends two numbers, whatever the size.
     """
-    size = F.octet_length(F.to_json(F.struct("*")))
-    rows, volume = (
-        df.limit(max_rows + 1)
-        .select(size.alias("size"))
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0)))
-        .first()
-    )
-    return rows <= max_rows and volume <= max_bytes
 
+    def size(f: T.StructField):
+        col = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            return F.lit(8)
+        text = col if isinstance(f.dataType, T.StringType) else F.to_json(F.struct(col))
+        return F.coalesce(F.octet_length(text), F.lit(0))
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it is measured to be small, else ``df`` as it is (Spark picks the join)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    total = F.sum(reduce(lambda a, b: a + b, map(size, df.schema)).cast("bigint"))
+    rows, volume = df.agg(F.count(F.lit(1)), F.coalesce(total, F.lit(0))).first()
+    return rows <= max_rows and volume <= max_bytes
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
