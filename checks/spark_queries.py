@@ -198,7 +198,7 @@ def j2_mention_join(tweets):
 @query("tweets_fx")
 def j2_mention_join_many_titles(tweets):
     titles = tweets.select("tweet_date", "title").distinct()
-    return J.mention_join(titles, tweets.drop("title"), max_broadcast=0).select("title", "tweet_id")
+    return J.mention_join(titles, tweets.drop("title"), max_per_day=0).select("title", "tweet_id")
 
 
 @query("part", "movies_fx")
@@ -215,7 +215,7 @@ def j4_apply_annotations(queue, answers):
 
 
 def _lemma_table(tweets: DataFrame) -> DataFrame:
-    words = tokens_of(tweets).select(F.explode("tokens").alias("token")).distinct()
+    words = tokens_of(tweets).select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
     plural = words.filter(F.col("token").rlike("^[a-z]{3,}s$"))
     table = plural.select(
         "token", F.lit("n").alias("wordclass"), F.expr("left(token, length(token) - 1)").alias("lemma")
@@ -224,7 +224,7 @@ def _lemma_table(tweets: DataFrame) -> DataFrame:
 
 
 def _tag_table(tweets: DataFrame) -> DataFrame:
-    words = tokens_of(tweets).select(F.explode("tokens").alias("token")).distinct()
+    words = tokens_of(tweets).select(F.explode(F.array_distinct("tokens")).alias("token")).distinct()
     word = F.col("token")
     tag = F.when(word.endswith("ing"), "VBG").when(word.endswith("ly"), "RB").when(word.endswith("ble"), "JJ")
     return cut_lineage(words.select("token", tag.alias("tag")).filter("tag IS NOT NULL"))

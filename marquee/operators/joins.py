@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.scalars import clean_title
-from marquee.session import fits_broadcast
+from marquee.session import cut_lineage, fits_broadcast
 
-MAX_BROADCAST_TITLES = 50_000
+MAX_TITLES_PER_DAY = 100  # looked for in every post; more are found by their words
 
 
 def salted_join(
@@ -70,23 +70,25 @@ def mention_join(
     day: str = "tweet_date",
     text: str = "tweet_text",
     title: str = "title",
-    max_broadcast: int = MAX_BROADCAST_TITLES,
+    max_per_day: int = MAX_TITLES_PER_DAY,
 ) -> DataFrame:
     """Each post with every title of its day that it holds as a phrase of whole words.
 
     ``titles`` has one row per (day, title); ``posts`` must have no title column. The cleaned title is
-    searched. A measured small title set is broadcast, so posts are not shuffled and a hot title costs
-    nothing extra. A larger set is joined on (day, longest word of the title) by salted shuffle, on ids
-    only, and the phrase is checked on the posts that are left; both ways give the same rows.
+    searched. A few titles a day, measured, are broadcast and looked for in each post, so posts are not
+    shuffled and a hot title costs nothing extra. More are joined on (day, longest word of the title) by
+    salted shuffle, on ids only, and the phrase is checked on the posts that are left; both ways give the
+    same rows.
     """
-    phrases = (
-        titles.select(F.col(day), F.col(title), words(clean_title(title)).alias("_phrase"))
+    phrases = cut_lineage(
+        titles.select(F.col(day), F.col(title), F.coalesce(words(clean_title(title)), F.lit("")).alias("_phrase"))
         .filter(F.trim("_phrase") != "")
         .distinct()
     )
-    if fits_broadcast(phrases, max_broadcast):
+    most = phrases.groupBy(day).count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    if most <= max_per_day and fits_broadcast(phrases):
         return (
-            posts.withColumn("_words", words(text))
+            posts.withColumn("_words", F.coalesce(words(text), F.lit("")))
             .join(F.broadcast(phrases), day)
             .filter(F.contains("_words", "_phrase"))
             .drop("_words", "_phrase")

@@ -16,8 +16,13 @@ MAX_WORD = 24  # longest word a hashtag is split into
 
 
 def token_rows(df: DataFrame, key: Sequence[str], tokens: str = "tokens") -> DataFrame:
-    """One row per token: key, ``pos`` from 0, ``token``."""
-    return df.select(*key, F.posexplode(tokens).alias("pos", "token"))
+    """One row per token: key, ``pos`` from 0, ``token``.
+
+    An outer explode with a filter on its result: a plain one would have Spark test the size of the
+    array first, and make the tokens twice for it.
+    """
+    rows = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
+    return rows.filter(F.col("pos").isNotNull())
 
 
 def pos_lookup(rows: DataFrame, lexicon: DataFrame, spread: Sequence[str]) -> DataFrame:
@@ -47,8 +52,11 @@ def lemmatize(
     are not shuffled. The positions restore the order.
     """
     key = list(key)
+    rest = [c for c in df.columns if c not in (*key, tokens)]
     docs = df.repartition(*key)
-    rows = token_rows(docs, key, tokens)
+    rows = docs.select(
+        *key, F.col(tokens).isNull().alias("_absent"), F.posexplode_outer(tokens).alias("pos", "token")
+    )
     spread = [*key, "pos"]
     if lexicon is not None:
         rows = pos_lookup(rows, lexicon, spread)
@@ -56,15 +64,16 @@ def lemmatize(
     else:
         rows = rows.withColumn("wordclass", F.lit("n"))
     rows = lemma_lookup(rows, lemmas, spread)
-    regrouped = rows.groupBy(*key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "lemma"))), lambda r: r["lemma"]).alias("_lemmas")
-    )
-    return (
-        docs.join(regrouped, key, "left")
-        .withColumn(tokens, F.coalesce("_lemmas", tokens))
-        .drop("_lemmas")
-        .select(*df.columns)
+    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "lemma"))
+    in_order = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["lemma"])
+    lemmatized = (
+        rows.groupBy(*key, "_absent")
+        .agg(in_order.alias("_lemmas"))
+        .select(*key, F.when(~F.col("_absent"), F.col("_lemmas")).alias(tokens))
     )
+    if rest:  # the other columns come back by key; the tokens are not made again for that
+        lemmatized = docs.select(*key, *rest).join(lemmatized, key)
+    return lemmatized.select(*df.columns)
 
 
 def tokenize_posts(

@@ -152,14 +152,14 @@ def normalize_metadata(df: DataFrame, json_col: str = "json", compat: bool = Fal
     """Metadata JSON to typed columns beside the other columns; replies with ``Error`` are dropped."""
     keys = [*TEXT_KEYS, *INTEGER_KEYS, *DECIMAL_KEYS, "Error"]
     schema = ", ".join(f"`{k}` string" for k in keys)
-    parsed = df.withColumn("_m", F.from_json(json_col, schema)).filter(F.col("_m.Error").isNull())
-    types = {f.name: f.dataType for f in TABLES["movies"].schema}
-    text = [na_to_null(f"_m.{k}").alias(c) for k, c in TEXT_KEYS.items()]
-    whole = [
-        digits_to_int(na_to_null(f"_m.{k}")).try_cast(types[c]).alias(c) for k, c in INTEGER_KEYS.items()
-    ]
-    decimal = [rating_to_double(na_to_null(f"_m.{k}"), compat).alias(c) for k, c in DECIMAL_KEYS.items()]
     rest = [c for c in df.columns if c != json_col]
+    # filtered inside an array, so that the JSON is parsed once and not again for a filter
+    kept = F.filter(F.array(F.from_json(json_col, schema)), lambda m: m["Error"].isNull())
+    parsed = df.select(*rest, F.inline(kept).alias(*[f"_{k}" for k in keys]))
+    types = {f.name: f.dataType for f in TABLES["movies"].schema}
+    text = [na_to_null(f"_{k}").alias(c) for k, c in TEXT_KEYS.items()]
+    whole = [digits_to_int(na_to_null(f"_{k}")).try_cast(types[c]).alias(c) for k, c in INTEGER_KEYS.items()]
+    decimal = [rating_to_double(na_to_null(f"_{k}"), compat).alias(c) for k, c in DECIMAL_KEYS.items()]
     return parsed.select(*rest, *text, *whole, *decimal)
 
 

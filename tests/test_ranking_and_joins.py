@@ -88,7 +88,7 @@ def test_mentions_of_whole_words_both_ways(spark):
     )
     want = {(1, "The Fog"), (1, "It"), (3, "Fog"), (4, "Up: Again")}
     for bound in (50, 0):
-        rows = J.mention_join(titles, posts, max_broadcast=bound).collect()
+        rows = J.mention_join(titles, posts, max_per_day=bound).collect()
         assert len(rows) == len(want) and {(r.tweet_id, r.title) for r in rows} == want
 
 
@@ -104,8 +104,20 @@ def test_large_dictionaries_are_salted(spark, monkeypatch):
 def test_lemmas_do_not_shuffle_tokens(spark):
     docs = spark.createDataFrame([(1, ["cats"])], "id int, tokens array<string>")
     lemmas = spark.createDataFrame([("cats", "n", "cat")], "token string, wordclass string, lemma string")
-    plan = X.lemmatize(docs, ["id"], lemmas)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2  # the documents, on both sides of the regrouping
+
+    def shuffles(df):
+        plan = X.lemmatize(df, ["id"], lemmas)._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    assert shuffles(docs) == 1  # the documents; tokens stay where they are
+    assert shuffles(docs.withColumn("other", F.lit("x"))) == 2  # and the other columns, by key
+
+
+def test_lemmas_keep_rows_and_columns(spark):
+    docs = spark.createDataFrame([(1, ["cats"], "x"), (2, [], "y"), (3, None, "z")], "id int, tokens array<string>, other string")
+    lemmas = spark.createDataFrame([("cats", "n", "cat")], "token string, wordclass string, lemma string")
+    rows = X.lemmatize(docs, ["id"], lemmas).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, ["cat"], "x"), (2, [], "y"), (3, None, "z")]
 
 
 def test_anti_join_keeps_posts_when_an_id_is_null(spark):
