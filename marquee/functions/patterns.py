@@ -67,12 +67,12 @@ def plain_words() -> str:
 
     None of the kinds below can start in one, and setting off whole words changes no token, so they are
     passed over first. A space before a letter and a full stop is left, as an abbreviation may start
-    with it; short words before a stop can be abbreviations.
+    with it; short words before a stop can be abbreviations; a letter, a mark and eyes can be a face.
     """
     letter = r"[a-zA-Z\xC0-\xD6\xD8-\xF6\xF8-\xFF]"
     return (
         rf"(?<![^ ])(?:(?:{letter}++ (?![A-Za-z]\.))++"
-        rf"|{letter}++(?=[,?]|\z)|{letter}{{4,}}+(?=\.(?: |\z)))"
+        rf"|{letter}++(?=[,?](?!{EYES})|\z)|{letter}{{4,}}+(?=\.(?: |\z)))"
     )
 
 

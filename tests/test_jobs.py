@@ -182,3 +182,30 @@ def test_stream_equals_batch(spark, tmp_path):
     closed = batch.filter("pred_date < date'2017-01-04'").select(columns)
     rounded = [F.round(c, 9).alias(c) if c.startswith(("pr_cls", "avg")) else F.col(c) for c in columns]
     assert sorted(got.filter("pred_date < date'2017-01-04'").select(rounded).collect()) == sorted(closed.select(rounded).collect())
+
+
+def test_sure_and_unsure_posts_part_the_scored_ones(spark, data):
+    from checks.views import view
+    from marquee.operators.labeling import annotation_queue, self_train
+
+    scored = view(spark, data, "scores_fx")
+    sure = {(r.title, r.tweet_id) for r in self_train(scored).collect()}
+    queue = annotation_queue(scored).collect()
+    rest = {(r.title, r.tweet_id) for r in queue}
+    assert not sure & rest and len(sure) + len(rest) == scored.count()
+    assert sorted(r.pos for r in queue) == list(range(len(queue)))
+
+
+@pytest.mark.parametrize("name", ["j2_mention_join_many_titles", "j5_lemmatize", "t10_vocabulary", "w4_queue_position", "a1_title_metrics"])
+def test_partitions_do_not_matter(spark, data, name):
+    from checks.spark_queries import QUERIES
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            results.append(sorted(map(tuple, QUERIES[name](spark, data).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]

@@ -71,7 +71,7 @@ def test_passing_over_plain_words_changes_nothing(spark):
 
     rng = random.Random(8)
     parts = ["word", "Mr", "Dr.", "Sen.", "rep", "st.", "a", "U.S", "b.", "foo.com", "ok,", "why?", "end.", "etc..", "é", "naïve",
-             "don't", ":-)", "x.y", "no.we", "(see", "him)", '"hi"', "o.O", "T.T", "ヽ", "1.5", "#tag"]
+             "don't", ":-)", "x.y", "no.we", "(see", "him)", '"hi"', "o.O", "T.T", "ヽ", "1.5", "#tag", "D,:", "oo?;", "D?", "S;", "o:", "-"]
     texts = [" ".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(800)]
     slow = any_of(*protected_kinds().values())
     fast = column(spark, texts, T.split_tokens)
