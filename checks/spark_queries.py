@@ -553,6 +553,11 @@ def t17_split_edge_punct(tweets):
     return tweets.select("tweet_id", T.split_edge_punct("tweet_text").alias("tweet_text"))
 
 
+@query("tweets_fx")
+def t18_protected_spans(tweets):
+    return joined(tweets, T.protected_spans(T.squeeze_whitespace("tweet_text")))
+
+
 @query("tweets_fx")
 def t19_split_tokens(tweets):
     return joined(tweets, T.split_tokens(T.squeeze_whitespace("tweet_text")))
@@ -563,6 +568,12 @@ def t20_tokenize_raw(tweets):
     return joined(tweets, T.tokenize_raw("tweet_text"))
 
 
+@query("tweets_fx")
+def t20_characters_kept(tweets):
+    """Raw tokens hold every character that is not a space, in order."""
+    return tweets.select("tweet_id", F.array_join(T.tokenize_raw("tweet_text"), "").alias("characters"))
+
+
 @query("tweets_fx")
 def t21_split_contraction(tweets):
     with_short_forms = F.transform("tokens", lambda t: F.when(F.length(t) == 3, F.concat(t, F.lit("n't"))).when(F.length(t) == 4, F.concat(t, F.lit("'ll"))).otherwise(t))
@@ -600,6 +611,15 @@ def m2_text_model_score(tweets, sentiment):
     return M.score(model, tweets.select("title", "tweet_id", "tweet_text")).drop("tweet_text")
 
 
+@query("tweets_fx", "sentiment_fx")
+def m5_score_is_consistent(tweets, sentiment):
+    """Probabilities add up to one and the class is the most probable one."""
+    scored = M.score(M.fit_text_model(_training(tweets, sentiment), max_features=500), tweets)
+    total = F.col("pr_neg") + F.col("pr_neu") + F.col("pr_pos")
+    best = S.argmax_label("pr_neg", "pr_neu", "pr_pos")
+    return scored.select("title", "tweet_id", six(total).alias("total"), (best == F.col("pr_class")).alias("is_best"))
+
+
 @query("sentiment_fx")
 def m3_stratified_folds(sentiment):
     return rounded(M.stratified_folds(sentiment, ["tweet_id"]).select("tweet_id", "label", "fold"))

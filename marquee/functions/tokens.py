@@ -15,6 +15,8 @@ from marquee.functions.patterns import (
     CONTRACTION,
     EDGE_LEFT,
     EDGE_RIGHT,
+    any_of,
+    protected_kinds,
     protected_pattern,
 )
 from marquee.functions.scalars import SPACE_CHARS, strip_space
@@ -178,6 +180,13 @@ def split_edge_punct(col: Column | str) -> Column:
     return F.regexp_replace(left, EDGE_RIGHT, "$1 $2$3")
 
 
+def protected_spans(col: Column | str, kind: str | None = None) -> Column:
+    """Spans the raw tokenizer keeps whole, in order; or all matches of one kind on its own."""
+    kinds = protected_kinds()
+    pattern = kinds[kind] if kind else any_of(*kinds.values())
+    return F.regexp_extract_all(_col(col), F.lit(pattern), F.lit(0))
+
+
 def split_tokens(col: Column | str, pattern: str | None = None) -> Column:
     """Split on spaces, with each protected span (URL, emoticon, number, ...) kept as one token.
 

@@ -36,10 +36,10 @@ from marquee.operators.models import (
     tune,
 )
 from marquee.operators.ranking import recent_n_per_title, sample_per_title
-from marquee.schemas import BOXOFFICE, LABELED, METRICS, MOVIES, TABLES, TRAINING, TWEETS, VALIDATION
+from marquee.schemas import BOXOFFICE, LABELED, METRICS, TABLES, TRAINING, TWEETS, VALIDATION
 from marquee.session import cut_lineage
 from marquee.sources.readers import chart_rows, extract_chart, flatten_posts, normalize_metadata, read_table
-from marquee.sources.sinks import append_keyed, create_tables, load_model, replace_table, save_model
+from marquee.sources.sinks import append_keyed, append_metadata, create_tables, load_model, replace_table, save_model
 
 # First day of collection, titles per day, posts per title, posts labelled per title.
 FIRST_DATE = "2017-01-01"
@@ -148,7 +148,7 @@ def ingest_day(
     if chart.isEmpty():
         raise NoChartError(f"no usable chart for {day}")
     store.append(daily_posts(chart, posts, day, posts_per_title), TWEETS, "skip")
-    store.append(daily_metadata(chart, metadata), MOVIES, "skip")
+    append_metadata(daily_metadata(chart, metadata), store.paths["movies"])
     store.append(chart, BOXOFFICE)
     return day
 

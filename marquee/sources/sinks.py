@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.schemas import TABLES, Table
+from marquee.functions.scalars import with_constants
+from marquee.schemas import MOVIES, TABLES, Table
 from marquee.session import cut_lineage
 from marquee.sources.readers import read_table
 
@@ -92,6 +93,16 @@ def _write(df: DataFrame, table: Table, path: str, mode: str) -> None:
     df.hint("rebalance", F.col(table.date)).write.mode(mode).partitionBy(table.date).parquet(path)
 
 
+def append_metadata(
+    df: DataFrame, path: str, search_date=None, title: str | None = None, on_conflict: str = "skip"
+) -> int:
+    """Append normalized metadata to the movies table, for a title and search date where they are given."""
+    given = {"title": title, "search_date": search_date}
+    return append_keyed(
+        with_constants(df, **{k: v for k, v in given.items() if v is not None}), MOVIES, path, on_conflict
+    )
+
+
 def replace_table(df: DataFrame, table: Table, path: str) -> None:
     """Overwrite a table. The rows are written to the checkpoint folder first, as they may come from the
     table itself."""

@@ -175,3 +175,12 @@ def test_top_n_per_day(spark):
     got = sorted((r.gross_date.day, r["rank"], r.title) for r in top_n_per_day(chart, 2).collect())
     assert got == [(1, 1, "c"), (1, 2, "a"), (2, 1, "z")]
     assert BOXOFFICE.key == ("gross_date", "rank")
+
+
+def test_append_metadata(spark, tmp_path):
+    path = sinks.create_tables(spark, str(tmp_path))["movies"]
+    found = readers.normalize_metadata(spark.createDataFrame([('{"Actors":"A","imdbRating":"7.5"}',)], "json string"))
+    assert sinks.append_metadata(found, path, dt.date(2017, 1, 1), "Up") == 1
+    assert sinks.append_metadata(found, path, dt.date(2017, 1, 1), "Up") == 0
+    row = readers.read_table(spark, TABLES["movies"], path).first()
+    assert (row.title, row.search_date, row.actors, row.imdbrating, row.plot) == ("Up", dt.date(2017, 1, 1), "A", 7.5, None)

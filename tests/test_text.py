@@ -286,7 +286,11 @@ def test_every_kind_is_found(spark):
         "emoticon": ":-)", "arrow": "<--", "entity": "&amp;", "punctuation": "?!", "abbreviation": "U.S.", "separator": "--",
         "decoration": "★", "apostrophe_word": "don't", "hashtag": "#a", "mention": "@a",
     }
-    kinds = protected_kinds()
-    assert list(kinds) == list(examples)
+    assert list(protected_kinds()) == list(examples)
     for kind, text in examples.items():
-        assert column(spark, [text], lambda t, k=kind: F.regexp_extract(t, kinds[k], 0)) == [text], kind
+        assert column(spark, [text], lambda t, k=kind: T.protected_spans(t, k)) == [[text]], kind
+
+
+def test_spans_in_order_of_place_then_kind(spark):
+    texts = ["a www.x.com/:) 1,234.5 (: b", "no spans here"]
+    assert column(spark, texts, T.protected_spans) == [["www.x.com/:)", "1,234", ".", "(:"], []]
