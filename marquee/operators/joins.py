@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.entities import let
 from marquee.functions.scalars import clean_title
+from marquee.functions.tokens import ngrams
 from marquee.session import cut_lineage, fits_broadcast
 
 MAX_TITLES_PER_DAY = 100  # looked for in every post; more are found by their words
@@ -76,9 +78,10 @@ def mention_join(
 
     ``titles`` has one row per (day, title); ``posts`` must have no title column. The cleaned title is
     searched. A few titles a day, measured, are broadcast and looked for in each post, so posts are not
-    shuffled and a hot title costs nothing extra. More are joined on (day, longest word of the title) by
-    salted shuffle, on ids only, and the phrase is checked on the posts that are left; both ways give the
-    same rows.
+    shuffled and a hot title costs nothing extra. More are found by an equi-join: the runs of words of a
+    post, of the lengths that titles have, against the titles. Only ids and hashes are shuffled, salted,
+    and only real mentions (but for hash collisions, which a last check removes) come out, however many
+    titles share a word. Both ways give the same rows.
     """
     phrases = cut_lineage(
         titles.select(F.col(day), F.col(title), F.coalesce(words(clean_title(title)), F.lit("")).alias("_phrase"))
@@ -94,15 +97,19 @@ def mention_join(
             .drop("_words", "_phrase")
         )
     pieces = F.split(F.trim("_phrase"), " ")
-    longest = F.array_max(F.transform(pieces, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    anchored = phrases.withColumn("_word", longest["w"])
-    post_words = posts.select(
-        post_key, day, F.explode(F.array_distinct(F.split(F.trim(words(text)), " "))).alias("_word")
+    lengths = sorted(r[0] for r in phrases.select(F.size(pieces)).distinct().collect())
+    keyed = phrases.withColumn("_run", F.xxhash64(F.trim("_phrase")))
+    runs = let(
+        F.split(F.trim(F.coalesce(words(text), F.lit(""))), " "),
+        lambda w: F.array_distinct(F.concat(*[ngrams(w, k, k) for k in lengths])),
     )
-    candidates = salted_join(post_words, anchored, [day, "_word"], [post_key]).drop("_word")
+    post_runs = posts.select(post_key, day, F.explode(runs).alias("_words")).select(
+        post_key, day, F.xxhash64("_words").alias("_run")
+    )
+    found = salted_join(post_runs, keyed, [day, "_run"], [post_key]).drop("_run")
     return (
-        posts.join(candidates, [post_key, day])
-        .filter(F.contains(words(text), F.col("_phrase")))
+        posts.join(found, [post_key, day])
+        .filter(F.contains(F.coalesce(words(text), F.lit("")), F.col("_phrase")))
         .drop("_phrase")
         .select(day, *[c for c in posts.columns if c != day], title)
     )
