@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.views import with_views
-from marquee.functions.tokens import DROPPED_TOKEN, ENGLISH_STOPWORDS, NEGATORS
+from marquee.functions.tokens import ENGLISH_STOPWORDS, NEGATORS
 
 ORACLE: dict[str, str] = {}
 
@@ -385,7 +385,6 @@ add(
 )
 
 # --- Jobs ---
-NO_TITLE = CLEAN.replace("trim(", "trim(", 1)
 RAW = "regexp_replace(replace(replace(replace(tweet_text, chr(10), ''), '''', ''), '\"', ''), '" + f"(RT )?@{W}+:?" + "', '', 'g')"
 add(
     "d1_daily_posts",

@@ -76,9 +76,8 @@ def casual_tokenize(col: Column | str, lower_first: bool = True) -> Column:
 def pos_to_wordnet(tag: Column | str) -> Column:
     """Treebank tag to the letter of its word class: a, v, r, else n."""
     tag = _col(tag)
-    return (
-        F.when(tag.startswith("J"), "a").when(tag.startswith("V"), "v").when(tag.startswith("R"), "r").otherwise("n")
-    )
+    classes = F.when(tag.startswith("J"), "a").when(tag.startswith("V"), "v").when(tag.startswith("R"), "r")
+    return classes.otherwise("n")
 
 
 def is_negator(token: Column) -> Column:

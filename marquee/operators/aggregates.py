@@ -62,10 +62,14 @@ def term_counts(docs: DataFrame, tokens: str = "tokens", by: Sequence[Column | s
     Each document sends its tokens plus its distinct tokens, flagged, so both counts come from one
     map-side-combined aggregation and no row is keyed by document.
     """
-    uses = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(1).alias("total"), F.lit(0).alias("docs")))
-    firsts = F.transform(
-        F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(0).alias("total"), F.lit(1).alias("docs"))
-    )
+
+    def rows(array: Column | str, total: int, docs: int) -> Column:
+        return F.transform(
+            array,
+            lambda t: F.struct(t.alias("term"), F.lit(total).alias("total"), F.lit(docs).alias("docs")),
+        )
+
+    uses, firsts = rows(tokens, 1, 0), rows(F.array_distinct(tokens), 0, 1)
     keys = [F.col(c) if isinstance(c, str) else c for c in by]
     return (
         docs.select(*keys, F.inline(F.concat(uses, firsts)))

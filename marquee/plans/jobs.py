@@ -38,8 +38,21 @@ from marquee.operators.models import (
 from marquee.operators.ranking import recent_n_per_title, sample_per_title
 from marquee.schemas import BOXOFFICE, LABELED, METRICS, TABLES, TRAINING, TWEETS, VALIDATION
 from marquee.session import cut_lineage
-from marquee.sources.readers import chart_rows, extract_chart, flatten_posts, normalize_metadata, read_table
-from marquee.sources.sinks import append_keyed, append_metadata, create_tables, load_model, replace_table, save_model
+from marquee.sources.readers import (
+    chart_rows,
+    extract_chart,
+    flatten_posts,
+    normalize_metadata,
+    read_table,
+)
+from marquee.sources.sinks import (
+    append_keyed,
+    append_metadata,
+    create_tables,
+    load_model,
+    replace_table,
+    save_model,
+)
 
 # First day of collection, titles per day, posts per title, posts labelled per title.
 FIRST_DATE = "2017-01-01"
@@ -180,7 +193,9 @@ def daily_metrics(store: Store, model: PipelineModel, day) -> int:
 # --- Labelling and training ---------------------------------------------------------------------
 
 
-def init_validation(store: Store, day, annotations: DataFrame, count: int = LABELS_PER_TITLE, method: str = "init") -> None:
+def init_validation(
+    store: Store, day, annotations: DataFrame, count: int = LABELS_PER_TITLE, method: str = "init"
+) -> None:
     """Start (``init``) or extend (``update``) the validation set from answers over a day's posts."""
     current = store.read(VALIDATION)
     rows = update_validation(current.limit(0), pull_posts(store, day, count), annotations, method)

@@ -28,9 +28,8 @@ def read_labeled_text(spark: SparkSession, path, textcol: str, labelcol: str, **
     """
     raw = _read_delimited(spark, path, **options)
     label = F.col(labelcol).try_cast("int")
-    checked = F.when(
-        label.isNull(), F.raise_error(F.concat(F.lit("no integer label: "), F.coalesce(labelcol, F.lit("null")))).cast("int")
-    ).otherwise(label)
+    message = F.concat(F.lit("no integer label: "), F.coalesce(labelcol, F.lit("null")))
+    checked = F.when(label.isNull(), F.raise_error(message).cast("int")).otherwise(label)
     return raw.select(F.col(textcol).alias("tweet_text"), checked.alias("label"))
 
 
@@ -52,7 +51,10 @@ def read_datasets(spark: SparkSession, files: Mapping[str, tuple[str, str]], **o
 # --- Chart pages --------------------------------------------------------------------------------
 
 # The chart table's attributes and the cells of a row (from 0).
-CHART_TABLE = r'(?is)<table(?=[^>]*\bborder="?0)(?=[^>]*\bcellpadding="?5)(?=[^>]*\bcellspacing="?1)[^>]*>(.*?)</table>'
+CHART_TABLE = (
+    r'(?is)<table(?=[^>]*\bborder="?0)(?=[^>]*\bcellpadding="?5)(?=[^>]*\bcellspacing="?1)[^>]*>'
+    r"(.*?)</table>"
+)
 CHART_CELLS = {"title": 2, "daily_gross": 4, "theaters": 7, "todate_gross": 9, "release_day": 10}
 CHART_COUNT = 10
 

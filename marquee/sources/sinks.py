@@ -16,6 +16,9 @@ from marquee.session import cut_lineage
 from marquee.sources.readers import read_table
 
 
+REGISTER = "version string, params string"
+
+
 class DuplicateKeyError(ValueError):
     """An append would have broken a primary key."""
 
@@ -159,14 +162,14 @@ def save_model(model: PipelineModel | None, path: str, version: str, params: dic
         return False
     model.write().overwrite().save(f"{path}/models/{version}")
     spark = SparkSession.active()
-    row = [(version, json.dumps(params or {}))]
-    spark.createDataFrame(row, "version string, params string").coalesce(1).write.mode("append").parquet(f"{path}/register")
+    note = spark.createDataFrame([(version, json.dumps(params or {}))], REGISTER)
+    note.coalesce(1).write.mode("append").parquet(f"{path}/register")
     return True
 
 
 def load_model(spark: SparkSession, path: str, version: str | None = None) -> tuple[PipelineModel, dict]:
     """The model of a version (the latest by default) and its parameters; fails when there is none."""
-    noted = spark.read.schema("version string, params string").parquet(f"{path}/register")
+    noted = spark.read.schema(REGISTER).parquet(f"{path}/register")
     if version is not None:
         noted = noted.filter(F.col("version") == version)
     latest = noted.orderBy(F.desc("version")).first()
