@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+
+from marquee.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
 from marquee.llm.common import table
 from marquee.llm.jaccard import jaccard_classes
+from marquee.llm.pii import find_pii
+from marquee.llm.quality import quality_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,5 +22,47 @@ def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_ngram_jaccard_join,)}
-ORACLE: dict[str, str] = {}
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return quality_verdicts(table(spark, folder, "documents")).select(*columns)
+
+
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_pii(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, pattern = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, pattern)
+    decoded = bpe_decode(encoded.drop("text"), ranks, pattern)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_ngram_jaccard_join, op6_quality_rules, op9_pii, op10_byte_bpe)}
+
+ORACLE: dict[str, str] = {
+    "op6_quality_rules": r"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
+grams AS (SELECT doc_id, i, ws[i:i + 4] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) > 4)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, unnest([0, 1, 2, 3, 4]) AS u(k) GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+          FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+f AS (SELECT w.doc_id, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+       len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+       coalesce(c.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines
+      FROM w LEFT JOIN covered c USING (doc_id) LEFT JOIN lines l USING (doc_id)),
+r AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       10 * n_symbols > 3 * n_words AS strict_failed,
+       10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars > 20 * n_words AS lax_failed FROM f),
+h AS (SELECT source, count(*) AS d, count(*) FILTER (base_failed OR strict_failed OR lax_failed) AS k FROM r GROUP BY source),
+m AS (SELECT sum(k) / sum(d) AS m, var_pop(CASE WHEN source IS NOT NULL THEN k / d END) AS v,
+       avg(CASE WHEN source IS NOT NULL THEN 1 / d END) AS c FROM h),
+p AS (SELECT m, least(greatest(m * (1 - m) / greatest(v - m * (1 - m) * c, 1e-9) - 1, 1), 1000) AS s FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND NOT strict_failed AND (coalesce((k + m * s) / (d + s) <= 0.5, true) OR NOT lax_failed) AS kept
+FROM r LEFT JOIN h ON r.source = h.source CROSS JOIN p""",
+}
