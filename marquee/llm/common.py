@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -12,6 +13,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.session import ensure_checkpoint_dir
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 # Python works on slices of about this many characters of text at a time, whatever the batch Spark sends.
@@ -30,6 +33,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8, A-Z lower-cased; none for null."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

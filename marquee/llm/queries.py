@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 from marquee.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
-from marquee.llm.common import table
+from marquee.llm.common import scratch, table
+from marquee.llm.html_text import extract_text
 from marquee.llm.jaccard import jaccard_classes
 from marquee.llm.pii import find_pii
 from marquee.llm.quality import quality_verdicts
+from marquee.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +24,21 @@ def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(table(spark, folder, "documents"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_text(table(spark, folder, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return quality_verdicts(table(spark, folder, "documents")).select(*columns)
 
 
+def op8_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    write_archives(table(spark, folder, "pages"), path)
+    return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = find_pii(table(spark, folder, "documents"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
@@ -39,7 +51,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_ngram_jaccard_join, op6_quality_rules, op9_pii, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op8_warc_revisits, op9_pii, op10_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op6_quality_rules": r"""
@@ -65,4 +77,10 @@ p AS (SELECT m, least(greatest(m * (1 - m) / greatest(v - m * (1 - m) * c, 1e-9)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
  NOT base_failed AND NOT strict_failed AND (coalesce((k + m * s) / (d + s) <= 0.5, true) OR NOT lax_failed) AS kept
 FROM r LEFT JOIN h ON r.source = h.source CROSS JOIN p""",
+    "op8_warc_revisits": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS original FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+ CASE WHEN page_id < original THEN original END AS refers_to FROM m""",
 }
