@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 
 from marquee.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
+from marquee.llm.chat import format_conversations, read_back
 from marquee.llm.common import scratch, table
 from marquee.llm.html_text import extract_text
 from marquee.llm.jaccard import jaccard_classes
@@ -19,6 +20,14 @@ from marquee.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+PROBE = r"\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-7).cast("bigint"), "id", F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(PROBE))
+    return read_back(format_conversations(turns.union(probe)))
+
 
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_classes(table(spark, folder, "documents"))
@@ -51,9 +60,19 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op8_warc_revisits, op9_pii, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op8_warc_revisits, op9_pii, op10_byte_bpe)}
 
 ORACLE: dict[str, str] = {
+    "op1_chat_format": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (SELECT *, regexp_replace(role, '([\\<>])', '\\\1', 'g') AS r, regexp_replace(text, '([\\<>])', '\\\1', 'g') AS t FROM c)
+SELECT conv_id, count(*) AS n_turns,
+ sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+ coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+ sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+ sum(length('<turn ' || r || '>' || chr(10) || t || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
     "op6_quality_rules": r"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, source, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM t),
