@@ -16,6 +16,7 @@ from marquee.llm.html_text import extract_text
 from marquee.llm.jaccard import jaccard_classes
 from marquee.llm.pii import find_pii
 from marquee.llm.quality import quality_verdicts
+from marquee.llm.toxicity import fit, score
 from marquee.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,13 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_verdicts(table(spark, folder, "documents")).select(*columns)
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    scored = score(docs, fit(docs, labels.filter(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
+
+
 def op8_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "warc")
     write_archives(table(spark, folder, "pages"), path)
@@ -60,7 +68,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op8_warc_revisits, op9_pii, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": r"""
