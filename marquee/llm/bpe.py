@@ -7,6 +7,7 @@ import heapq
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -21,22 +22,27 @@ from marquee.llm.common import slices
 # The recursion takes a step a merge, so a word of n bytes costs n * n rows; longer words go by a heap instead.
 LONGEST_RECURSIVE = 128
 WORDS_A_QUERY = 30_000
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
+ENCODE_CHARS = 2_000_000
 
-# token-position rows; a step finds each word's least merge (rank first, then place), contracts it, and goes on
-# with the words that had one
+# A step spreads the words that go on into token-position rows, joins adjacent pairs with the merges, takes each word's
+# pair of least rank (the leftmost of equal ones), and contracts it; a word without one is done.
 ENCODE = """
-WITH RECURSIVE step(nr, word, pos, id) AS (
-  SELECT 0, word, pos, id FROM start
+WITH RECURSIVE step(word, ids, done) AS (
+  SELECT word, list(id ORDER BY pos), false FROM start GROUP BY word
   UNION ALL
-  SELECT nr + 1, word, pos, CASE WHEN rank = least_rank THEN merged ELSE id END
-  FROM (SELECT *, min(rank) OVER (PARTITION BY word) AS least_rank, lag(rank) OVER (PARTITION BY word ORDER BY pos) AS rank_before
-        FROM (SELECT p.*, m.merged, m.merged::BIGINT * 65536 + p.pos AS rank
-              FROM (SELECT *, lead(id) OVER (PARTITION BY word ORDER BY pos) AS next_id FROM step) p
-              LEFT JOIN merges m ON m.a = p.id AND m.b = p.next_id))
-  WHERE least_rank IS NOT NULL AND rank_before IS DISTINCT FROM least_rank
-), final AS (SELECT word, max(nr) AS nr FROM step GROUP BY word)
-SELECT word, list(id ORDER BY pos) AS ids FROM step JOIN final USING (word, nr) GROUP BY word ORDER BY word"""
+  SELECT word,
+    CASE WHEN best IS NULL THEN ids
+         ELSE list_concat(list_append(ids[:best & 65535], (best >> 16)::INT), ids[(best & 65535) + 3:]) END,
+    best IS NULL
+  FROM (SELECT step.word, ids, best
+        FROM step LEFT JOIN (
+          SELECT word, min(merged::BIGINT * 65536 + pos) AS best
+          FROM (SELECT word, unnest(ids[:-2]) AS a, unnest(ids[2:]) AS b, generate_subscripts(ids[2:], 1) - 1 AS pos FROM step WHERE NOT done)
+          JOIN merges ON pair = a::BIGINT * 65536 + b
+          GROUP BY word) USING (word)
+        WHERE NOT done))
+SELECT word, ids FROM step WHERE done ORDER BY word"""
 
 DECODE = """
 SELECT doc, string_agg(hex, '' ORDER BY pos) AS hex
@@ -59,7 +65,8 @@ class Codec:
         # two adjacent tokens merge when their bytes together are a token, whichever way it was learned
         merges = [(a, b, rank) for token, rank in ranks.items() for k in range(1, len(token)) for a, b in [(ranks.get(token[:k]), ranks.get(token[k:]))] if a is not None and b is not None]
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
-        self._load("merges", {c: np.array([m[k] for m in merges], np.int32) for k, c in enumerate(("a", "b", "merged"))})
+        self._load("split", {c: np.array([m[k] for m in merges], np.int32) for k, c in enumerate(("a", "b", "merged"))})
+        self.db.execute("CREATE TABLE merges AS SELECT a::BIGINT * 65536 + b AS pair, merged FROM split")
         self._load("vocabulary", {"id": list(ranks.values()), "hex": [t.hex() for t in ranks]})
 
     def _forget(self) -> None:
@@ -144,11 +151,14 @@ class Codec:
         found = [self.pattern.findall(t) if t else [] for t in texts]
         if len(self.kept) > KEPT_WORDS:
             self._forget()
-        new = [w for w in dict.fromkeys(w for ws in found for w in ws) if w not in self.kept]
-        if new:
-            self._learn(new)
-        count = [len(ws) for ws in found]
-        word = np.fromiter((self.kept[w] for ws in found for w in ws), np.int64, sum(count))
+        rows = [list(map(self.kept.get, ws)) for ws in found]
+        unknown = [k for k, row in enumerate(rows) if None in row]
+        if unknown:
+            self._learn(list(dict.fromkeys(w for k in unknown for w, n in zip(found[k], rows[k], strict=True) if n is None)))
+            for k in unknown:
+                rows[k] = list(map(self.kept.get, found[k]))
+        count = [len(row) for row in rows]
+        word = np.fromiter(chain.from_iterable(rows), np.int64, sum(count))
         starts = self.ends[word]
         sizes = self.ends[word + 1] - starts
         upto = np.concatenate([[0], np.cumsum(sizes)])
@@ -205,7 +215,7 @@ def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value, pattern)
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, ENCODE_CHARS):
             flat, ends = own.encode(batch.column(text_col).to_pylist())
             ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], [*names, ids_col])

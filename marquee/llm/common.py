@@ -43,15 +43,15 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds about ``SLICE_CHARS`` of the text column, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each holds about ``size`` bytes of the text column, or one row."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes)
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_CHARS, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 
