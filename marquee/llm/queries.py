@@ -15,6 +15,7 @@ from marquee.llm.common import scratch, table
 from marquee.llm.decontaminate import find_leaks
 from marquee.llm.html_text import extract_text
 from marquee.llm.jaccard import jaccard_classes
+from marquee.llm.lm import score_documents
 from marquee.llm.pii import find_pii
 from marquee.llm.quality import quality_verdicts
 from marquee.llm.toxicity import fit, score
@@ -31,6 +32,11 @@ def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return read_back(format_conversations(turns.union(probe)))
 
 
+def op2_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    train = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 != 0
+    return score_documents(table(spark, folder, "documents"), train)
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -73,7 +79,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op3_decontamination, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_lm_score, op3_decontamination, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": r"""

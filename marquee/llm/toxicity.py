@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ from marquee.session import cut_lineage, fits_broadcast
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&~`^_+=/\\-"
 STEMS = (4, 5, 7)  # code points of the word beginnings that are terms too
 BLOCK = 64
+FIRST_BLOCKS = 4
+KEPT_VOTES = 200_000
 # Parameters of the model's size: the terms vectors are made of, and the distinct example vectors in the index
 MAX_TERMS = 4096
 MAX_EXAMPLES = 20_000
@@ -95,7 +97,7 @@ def choose_terms(labelled: DataFrame, least: float, purity: float, max_terms: in
 
 def vector_of(text: str | None, known: _Terms) -> tuple[tuple[int, int], ...]:
     """(term number, how often) of the chosen terms in a text, by number."""
-    found = [t for w in _tokens(text) for t in known[w]]
+    found = list(chain.from_iterable(map(known.__getitem__, _tokens(text))))
     return tuple(sorted(Counter(found).items())) if found else ()
 
 
@@ -114,7 +116,7 @@ class BlockMaxIndex:
     counts: np.ndarray
     toxic: np.ndarray
     ids: list
-    lists: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
+    lists: dict[int, tuple[np.ndarray, ...]] = field(default_factory=dict)
 
     @classmethod
     def build(cls, examples: list[tuple], idf: np.ndarray) -> BlockMaxIndex:
@@ -131,7 +133,7 @@ class BlockMaxIndex:
             where, w = np.array(at), np.array(held)
             block = where // BLOCK
             starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-            index.lists[t] = (block[starts], np.maximum.reduceat(w, starts), np.r_[starts, len(w)], np.rec.fromarrays([where, w], names="at,w"))
+            index.lists[t] = (block[starts], np.maximum.reduceat(w, starts), np.r_[starts, len(w)], where, w)
         return index
 
     def nearest(self, vector: tuple[tuple[int, int], ...], k: int) -> list[tuple[float, int]]:
@@ -144,26 +146,34 @@ class BlockMaxIndex:
             return []
         bound = np.zeros(len(self.counts) // BLOCK + 1)
         for t, w in query.items():
-            block, most, _, _ = self.lists[t]
+            block, most = self.lists[t][:2]
             bound[block] += w * most
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[0][0] - 1e-12:
-                break
-            cosine = np.zeros(BLOCK)
-            for t, w in query.items():
-                block, _, starts, rows = self.lists[t]
-                j = np.searchsorted(block, b)
-                if j < len(block) and block[j] == b:
-                    part = rows[starts[j] : starts[j + 1]]
-                    cosine[part["at"] - b * BLOCK] += w * part["w"]
-            for j in np.flatnonzero(cosine):
-                item = (float(cosine[j]), -int(b * BLOCK + j))
-                if len(best) < k:
-                    heapq.heappush(best, item)
-                elif item > best[0]:
-                    heapq.heapreplace(best, item)
-        return [(c, -j) for c, j in sorted(best, reverse=True)]
+        # first the blocks of the largest bounds, then every other block whose bound reaches the k-th best of those
+        order = np.argsort(-bound, kind="stable")[:FIRST_BLOCKS]
+        now = np.zeros(len(bound), bool)
+        now[order] = bound[order] > 0
+        at, cosine = self._exact(query, now)
+        if len(at) >= k:
+            least = np.partition(cosine, len(cosine) - k)[len(cosine) - k]
+            rest = (bound >= least - 1e-12) & ~now
+        else:
+            rest = (bound > 0) & ~now
+        if rest.any():
+            more, theirs = self._exact(query, rest)
+            at, cosine = np.r_[at, more], np.r_[cosine, theirs]
+        best = np.lexsort((at, -cosine))[:k]
+        return [(float(cosine[j]), int(at[j])) for j in best]
+
+    def _exact(self, query: dict[int, float], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the wanted blocks that share a term with the query, and their cosines."""
+        places, held = [], []
+        for t, w in query.items():
+            block, _, starts, at, weight = self.lists[t]
+            mine = np.repeat(wanted[block], np.diff(starts))
+            places.append(at[mine])
+            held.append(w * weight[mine])
+        at, place = np.unique(np.concatenate(places), return_inverse=True)
+        return at, np.bincount(place, weights=np.concatenate(held), minlength=len(at))
 
 
 @dataclass
@@ -175,6 +185,15 @@ class Model:
     base: float
     k: int
     prior: float = 0.5
+    kept: dict = field(default_factory=dict)
+
+    def vote_kept(self, vector: tuple[tuple[int, int], ...]) -> tuple[float, list]:
+        """``vote``, remembered by the process for vectors it has met."""
+        if vector not in self.kept:
+            if len(self.kept) >= KEPT_VOTES:
+                self.kept.clear()
+            self.kept[vector] = self.vote(vector)
+        return self.kept[vector]
 
     def vote(self, vector: tuple[tuple[int, int], ...]) -> tuple[float, list]:
         """Score and the ids of the nearest examples. Votes count by the fourth power of the cosine and lean to the base."""
@@ -228,16 +247,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, voted = shared.value, _Terms(shared.value.terms), {}
+        own = shared.value
+        known = _Terms(own.terms)
         for batch in slices(batches, "text"):
-            found = []
-            for text in batch.column("text").to_pylist():
-                vector = vector_of(text, known)
-                if vector not in voted:
-                    if len(voted) > 100_000:
-                        voted.clear()
-                    voted[vector] = own.vote(vector)
-                found.append(voted[vector])
+            found = [own.vote_kept(vector_of(text, known)) for text in batch.column("text").to_pylist()]
             scores, evidence = [f[0] for f in found], [f[1] for f in found]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(batch.schema.field("id").type))], ["id", "score", "evidence"])
 
