@@ -5,12 +5,13 @@ from __future__ import annotations
 import gzip
 import re
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import scale_parts
+from marquee.session import cut_lineage, fits_broadcast
 
 # Fixed values of the WARC 1.1 format
 VERSION = "WARC/1.1"
@@ -26,15 +27,16 @@ def classified(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """(id, url, payload, size, digest, original): ``original`` is the id of the response with the same payload.
 
     Only headers (digest, size, id) are reduced by digest, before the shuffle; the one row a digest has is then
-    joined back, so a payload that a third of all pages share is one row on that side, and its pages can be
-    split over tasks.
+    joined back (broadcast when measured small), so a payload that a third of all pages share is one row on that
+    side, and its pages can be split over tasks.
     """
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"))
     rows = rows.select("*", F.octet_length("payload").cast("bigint").alias("size"), F.sha1("payload").alias("digest"))
     headers = rows.filter(F.col("size") >= least).groupBy("digest").agg(F.max("id").alias("largest"), F.count(F.lit(1)).alias("n"))
-    headers = headers.filter("n > 1 AND largest IS NOT NULL").select(F.col("digest").alias("of"), "largest")
-    joined = rows.join(headers, F.col("digest") == F.col("of"), "left")
+    headers = cut_lineage(headers.filter("n > 1 AND largest IS NOT NULL").select(F.col("digest").alias("of"), "largest"))
+    side = F.broadcast(headers) if fits_broadcast(headers) else headers
+    joined = rows.join(side, F.col("digest") == F.col("of"), "left")
     original = F.when(F.col("id").isNull() | (F.col("id") != F.col("largest")), F.col("largest"))
     return joined.select("id", "url", "payload", "size", "digest", original.alias("original"))
 
@@ -71,28 +73,32 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """Write ``pages`` as gzipped WARC files under ``path``, any folder Spark can write.
 
     A record ends with two line ends, which is how Spark's text writer ends a row here, so the archives are
-    committed by Spark's own protocol and survive lost executors. Files hold about ``FILE_BYTES`` of payload.
+    committed by Spark's own protocol and survive lost executors. Payloads go from the scan to the files; a file
+    holds as many records as make about ``FILE_BYTES`` on average.
     """
     rows = classified(pages, id_col, url_col, payload_col)
-    total = pages.agg(F.coalesce(F.sum(F.octet_length(payload_col)), F.lit(0))).first()[0]
-    dealt = rows.repartition(scale_parts(rows, total, FILE_BYTES, least=1))
-    records(dealt).write.mode("overwrite").option("compression", "gzip").option("lineSep", CRLF + CRLF).text(path)
+    size, count = pages.agg(F.coalesce(F.sum(F.octet_length(payload_col)), F.lit(0)), F.count(F.lit(1))).first()
+    each = max(1, FILE_BYTES * count // size) if size else 10_000
+    records(rows).write.mode("overwrite").option("compression", "gzip").option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", each).text(path)
 
 
 FIELD = re.compile(rb"([^:\r\n]+): ([^\r\n]*)")
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and content of each record of an unpacked archive, by content length."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        head = {k.decode(): v.decode("utf-8", "replace") for k, v in FIELD.findall(data[at:stop])}
-        end = stop + 4 + int(head["Content-Length"])
-        if data[end : end + 4] != b"\r\n\r\n":
-            raise ValueError(f"a record does not end where its length says, at byte {at}")
-        yield head, data[stop + 4 : end]
-        at = end + 4
+def parse(data: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers and content of each record of an unpacked archive, by content length, a record at a time."""
+    while line := data.readline():
+        head = {}
+        while line != b"\r\n":
+            if m := FIELD.match(line):
+                head[m[1].decode()] = m[2].decode("utf-8", "replace")
+            line = data.readline()
+            if not line:
+                raise ValueError("an archive breaks off in a record's headers")
+        body = data.read(int(head["Content-Length"]))
+        if data.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {head.get('WARC-Record-ID')} does not end where its length says")
+        yield head, body
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +106,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column("content"):
             rows, size = [], 0
-            for head, body in parse(gzip.decompress(content.as_buffer())):
+            for head, body in parse(gzip.GzipFile(fileobj=pa.BufferReader(content.as_buffer()))):
                 names = ("WARC-Type", "WARC-Record-ID", "WARC-Target-URI", "WARC-Payload-Digest", "WARC-Refers-To")
                 kind, ident, url, digest, refers = (head.get(n) for n in names)
                 rows.append((kind, ident, url, digest.removeprefix("sha1:"), refers, int(head["X-Payload-Length"]), body))
@@ -116,7 +122,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Every record under ``path``: (page_id, url, record_type, refers_to, payload_digest, payload_bytes, content).
 
     The digest and size of a response are made anew from its content; a revisit has those of its headers, and no
-    content. Each file is one value, so its size bounds the memory a task needs.
+    content. A task holds one packed file and a few records.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     found = files.mapInArrow(_read, "record_type string, record_id string, url string, digest string, refers_to string, payload_bytes bigint, content binary")
