@@ -294,10 +294,20 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def first_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the least id stays.
 
-    Of repeated rows with one id, one stays. Rows with a null id can't be told apart and all stay.
+    A row is told by its id and a hash of its text, so rows that share an id and differ in text are judged apart,
+    and of rows that share both, one stays. Null ids come before others.
     """
-    classes = jaccard_classes(docs, id_col, text_col, width, percent)
-    gone = classes.filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("gone_id")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
-    named = kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(kept.filter(F.col(id_col).isNull()))
+    tagged = docs.withColumn("__key", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("own")))
+    classes = jaccard_classes(tagged.select("__key", F.col(text_col).alias("text")), "__key", "text", width, percent)
+    keys = cut_lineage(classes.groupBy("__key").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("n")))
+    gone = keys.filter("first <> __key").select(F.col("__key.id").alias("__gone_id"), F.col("__key.own").alias("__gone_own"))
+    again = keys.filter("first = __key AND n > 1").select(F.col("__key.id").alias("__gone_id"), F.col("__key.own").alias("__gone_own"))
+
+    def among(rows: DataFrame, few: DataFrame, how: str) -> DataFrame:
+        side = F.broadcast(few) if fits_broadcast(few) else few
+        return rows.join(side, rows["__key"]["id"].eqNullSafe(side["__gone_id"]) & rows["__key"]["own"].eqNullSafe(side["__gone_own"]), how)
+
+    kept = among(tagged, gone, "left_anti")
+    if not again.isEmpty():
+        kept = among(kept, again, "left_anti").unionByName(among(kept, again, "left_semi").dropDuplicates(["__key"]))
+    return kept.select(*docs.columns)

@@ -120,6 +120,7 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     tagged = docs.withColumn("__own", F.xxhash64(F.col(text_col)))
     own = F.struct(F.col(id_col).alias("id"), F.col("__own").alias("own"), F.col(host).cast("string").alias("at"))
     verdicts = quality_verdicts(tagged.select(own.alias("__key"), F.col(text_col).alias("text"), F.col(host).cast("string").alias("host")), "__key", "text", "host")
-    gone = verdicts.filter("NOT kept").select(*(F.col(f"__key.{c}").alias(f"__{c}_gone") for c in ("id", "own", "at"))).distinct()
-    same = tagged[id_col].eqNullSafe(gone["__id_gone"]) & tagged["__own"].eqNullSafe(gone["__own_gone"]) & tagged[host].cast("string").eqNullSafe(gone["__at_gone"])
-    return tagged.join(gone, same, "left_anti").drop("__own")
+    gone = cut_lineage(verdicts.filter("NOT kept").select(*(F.col(f"__key.{c}").alias(f"__{c}_gone") for c in ("id", "own", "at"))).distinct())
+    side = F.broadcast(gone) if fits_broadcast(gone) else gone
+    same = tagged[id_col].eqNullSafe(side["__id_gone"]) & tagged["__own"].eqNullSafe(side["__own_gone"]) & tagged[host].cast("string").eqNullSafe(side["__at_gone"])
+    return tagged.join(side, same, "left_anti").drop("__own")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+import corpus_pipeline
 from marquee.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
 from marquee.llm.chat import format_conversations, read_back
 from marquee.llm.common import scratch, table
@@ -80,6 +81,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_lm_score, op3_decontamination, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": r"""
@@ -122,3 +124,5 @@ m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITIO
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
  CASE WHEN page_id < original THEN original END AS refers_to FROM m""",
 }
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
