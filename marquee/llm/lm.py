@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -24,7 +24,7 @@ CHUNK_BYTES = 16_000_000
 END, STOP = 0x0A, 0x20  # symbols that no word holds: end of the text, end of a word
 # Bit predictors of the symbols of a word after its first, by context: the symbol before, three before, five before, all
 # before in the word. Each has a table of so many slots, by bits of a hash.
-TABLE_BITS = (16, 20, 22, 22)
+TABLE_BITS = (16, 18, 20, 20)
 GATES = 16
 BUCKETS = 33
 FIRST_GATES = 1024
@@ -191,13 +191,28 @@ def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+class Tables:
+    """Zeros and ones seen in every slot, by predictor; sent packed."""
+
+    def __init__(self) -> None:
+        self.zeros, self.ones = ([np.zeros(1 << b, np.float32) for b in TABLE_BITS] for _ in range(2))
+
+    def __getstate__(self) -> list[bytes]:
+        pack = zstandard.ZstdCompressor(level=3)
+        return [pack.compress(t.tobytes()) for t in (*self.zeros, *self.ones)]
+
+    def __setstate__(self, packed: list[bytes]) -> None:
+        unpack = zstandard.ZstdDecompressor()
+        found = [np.frombuffer(unpack.decompress(b), np.float32) for b in packed]
+        self.zeros, self.ones = found[: len(TABLE_BITS)], found[len(TABLE_BITS) :]
+
+
 @dataclass
 class Mixer:
-    """Counts of ones and zeros by predictor, gated weights, and the adaptive refinement of the mixed bit."""
+    """Counts of bits by predictor, gated weights, and the adaptive refinement of the mixed bit."""
 
     code: Code
-    zeros: list[np.ndarray]
-    ones: list[np.ndarray]
+    tables: Tables | None
     weights: np.ndarray
     refined: np.ndarray | None = None
 
@@ -207,7 +222,7 @@ class Mixer:
         ``own`` takes one occurrence of the word away from the counts, as if the bit came before it was learned.
         """
         rows = []
-        for table, (zero, one, slot) in enumerate(zip(self.zeros, self.ones, slots, strict=True)):
+        for table, (zero, one, slot) in enumerate(zip(self.tables.zeros, self.tables.ones, slots, strict=True)):
             n0, n1 = zero[slot], one[slot]
             if own is not None:
                 n0, n1 = np.maximum(n0 - own * (1 - bit), 0), np.maximum(n1 - own * bit, 0)
@@ -275,8 +290,8 @@ def _bit_counts(code: Code):
     """Zeros and ones of every slot of every table, from one partition of the words; sent in spans of slots."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = [[np.zeros(1 << b, np.float32) for b in TABLE_BITS] for _ in range(2)]
-        seen = False
+        counted = Tables()
+        tables, seen = (counted.zeros, counted.ones), False
         for found, counts in _known(frames):
             seen = True
             owner, bit, slots = _decisions(found, code)
@@ -300,10 +315,9 @@ def _sum_spans(key, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"table": [key[0]], "span": [key[1]], "zeros": [pack.compress(total[0].astype(np.float32).tobytes())], "ones": [pack.compress(total[1].astype(np.float32).tobytes())]})
 
 
-def _learned_weights(shared):
+def _learned_weights(shared, given: Mixer):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        mixer = Mixer(own.code, own.zeros, own.ones, own.weights.copy())
+        mixer = replace(given, tables=shared.value, weights=given.weights.copy())
         total = np.zeros(GATES)
         for found, counts in _known(frames):
             owner, bit, slots = _decisions(found, mixer.code)
@@ -318,9 +332,9 @@ def _learned_weights(shared):
     return run
 
 
-def _refinement(shared):
+def _refinement(shared, given: Mixer):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mixer, sums = shared.value, np.zeros((2, GATES * BUCKETS))
+        mixer, sums = replace(given, tables=shared.value), np.zeros((2, GATES * BUCKETS))
         for found, counts in _known(frames):
             owner, bit, slots = _decisions(found, mixer.code)
             x, gate = mixer.inputs(slots, bit, np.ones(len(bit)))
@@ -347,9 +361,9 @@ def _unpacked_classes(packed: np.ndarray) -> np.ndarray:
     return np.where(code > 0, np.exp(code / CLASS_STEP - CLASS_FLOOR), 0.0)
 
 
-def _priced(shared):
+def _priced(shared, given: Mixer, totals: np.ndarray):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mixer, totals = shared.value
+        mixer = replace(given, tables=shared.value)
         for frame in frames:
             found, counts = [bytes(w) for w in frame["word"]], frame["c"].to_numpy(np.float64)
             cost, fair = np.zeros(len(found)), np.zeros(len(found))
@@ -508,22 +522,23 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
 
     spans = trained.coalesce(max(2, context.defaultParallelism)).mapInPandas(_bit_counts(code), "table int, span int, zeros binary, ones binary")
     spans = spans.groupBy("table", "span").applyInPandas(_sum_spans, "table int, span int, zeros binary, ones binary")
-    tables = [[np.zeros(1 << b, np.float32) for b in TABLE_BITS] for _ in range(2)]
+    tables = Tables()
     unpack = zstandard.ZstdDecompressor()
     for r in spans.collect():  # tables of fixed size
-        for value, blob in enumerate((r["zeros"], r["ones"])):
+        for table, blob in ((tables.zeros, r["zeros"]), (tables.ones, r["ones"])):
             part = np.frombuffer(unpack.decompress(bytes(blob)), np.float32)
-            tables[value][r["table"]][r["span"] * SPAN : r["span"] * SPAN + len(part)] = part
-    mixer = Mixer(code, tables[0], tables[1], np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (GATES, 1)))
+            table[r["table"]][r["span"] * SPAN : r["span"] * SPAN + len(part)] = part
+    sent = context.broadcast(tables)
+    mixer = Mixer(code, None, np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (GATES, 1)))
 
-    learned = trained.mapInPandas(_learned_weights(context.broadcast(mixer)), "gate int, n double, w array<double>").collect()
+    learned = trained.mapInPandas(_learned_weights(sent, mixer), "gate int, n double, w array<double>").collect()
     total = np.zeros(GATES)
     mean = np.zeros_like(mixer.weights)
     for r in sorted(learned, key=lambda r: (r["gate"], r["n"], r["w"])):
         total[r["gate"]] += r["n"]
         mean[r["gate"]] += r["n"] * np.array(r["w"])
     mixer.weights = np.where(total[:, None] > 0, mean / np.maximum(total, 1e-9)[:, None], mixer.weights)
-    sums = trained.mapInPandas(_refinement(context.broadcast(mixer)), "at int, zeros double, ones double").groupBy("at").agg(F.sum("zeros").alias("z"), F.sum("ones").alias("o")).toPandas()
+    sums = trained.mapInPandas(_refinement(sent, mixer), "at int, zeros double, ones double").groupBy("at").agg(F.sum("zeros").alias("z"), F.sum("ones").alias("o")).toPandas()
     middle = (np.arange(GATES * BUCKETS) % BUCKETS - BUCKETS // 2) * 12 / (BUCKETS // 2)
     refined = middle.copy()
     at, zero, one = sums["at"].to_numpy(np.int64), sums["z"].to_numpy(), sums["o"].to_numpy()
@@ -531,7 +546,8 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     refined[at] = np.clip(np.log((one + 2 * near) / (zero + 2 * (1 - near))), -12, 12)
     mixer.refined = refined
 
-    priced = cut_lineage(vocabulary.mapInPandas(_priced(context.broadcast((mixer, class_totals))), "word binary, c bigint, symbol int, cost double, fair double, classes array<bigint>"))
+    priced = cut_lineage(vocabulary.mapInPandas(_priced(sent, mixer, class_totals), "word binary, c bigint, symbol int, cost double, fair double, classes array<bigint>"))
+    sent.unpersist()
     by_symbol = cells.reshape(FIRST_GATES, 256).sum(axis=0)
     lam = _share(priced, by_symbol)
     prior = np.r_[0.1, 0.9 * (class_totals + 1) / (class_totals + 1).sum()]
