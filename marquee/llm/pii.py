@@ -120,9 +120,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for text in batch.column("text").to_pylist():
             spans = base_spans(text)
-            found = candidates(text, spans) if text and HAS_DIGIT.search(text) else []
+            found = candidates(text, spans) if text and (spans or HAS_DIGIT.search(text)) else []
             counts = [sum(s[0] == k for s in spans) for k in KINDS[:4]]
-            key = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() if found else None
+            key = hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest() if found or spans else None
             out.append((key, joined(spans), *counts, [dict(zip(("s", "e", "instance", "seed", "patterns"), f, strict=True)) for f in found]))
         columns = list(zip(*out, strict=True)) if out else [[]] * 7
         kinds = [pa.string(), pa.string(), *[pa.int64()] * 4, _FOUND]
