@@ -44,9 +44,10 @@ WITH RECURSIVE step(word, ids, done) AS (
         WHERE NOT done))
 SELECT word, ids FROM step WHERE done ORDER BY word"""
 
+# The rows are put in order once and aggregated in that order, by the one thread this database has.
 DECODE = """
-SELECT doc, string_agg(hex, '' ORDER BY pos) AS hex
-FROM tokens LEFT JOIN vocabulary USING (id) GROUP BY doc ORDER BY doc"""
+SELECT doc, string_agg(hex, '') AS hex
+FROM (SELECT doc, hex FROM tokens LEFT JOIN vocabulary USING (id) ORDER BY pos) GROUP BY doc ORDER BY doc"""
 
 
 def read_ranks(lines: list[str]) -> dict[bytes, int]:
@@ -54,6 +55,19 @@ def read_ranks(lines: list[str]) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+class _Words(dict):
+    """Words by number, in the order they are first met; ``new`` are those not yet encoded."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Codec:
     """Merge and vocabulary tables of one set of ranks in a DuckDB of this process, and words already encoded."""
 
@@ -71,7 +85,7 @@ class Codec:
 
     def _forget(self) -> None:
         """Words met so far, by number, and their ids one after the other."""
-        self.kept: dict[str, int] = {}
+        self.kept = _Words()
         self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _load(self, name: str, columns: dict) -> None:
@@ -86,14 +100,14 @@ class Codec:
         self.db.unregister(name)
         return out
 
-    def _recursive(self, words: list[bytes]) -> list[np.ndarray]:
+    def _recursive(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after the other, and how many each has."""
         lengths = np.array([len(w) for w in words])
         word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         pos = (np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         found = self._query(ENCODE, "start", {"word": word, "pos": pos, "id": self.bytes[np.frombuffer(b"".join(words), np.uint8)]})
         ids = found.column("ids").combine_chunks()
-        flat, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
-        return [flat[ends[k] : ends[k + 1]] for k in range(len(words))]
+        return ids.flatten().to_numpy(), np.diff(ids.offsets.to_numpy())
 
     def _by_heap(self, word: bytes) -> np.ndarray:
         """The same merges for one long word: pairs wait in a heap by rank and place."""
@@ -123,25 +137,29 @@ class Codec:
         return np.array([self.ranks[p] for p in parts if p is not None], np.int32)
 
     def _learn(self, words: list[str]) -> None:
+        """Encode words and put their ids behind those known, in the order of the words."""
         raws = [w.encode("utf-8", "surrogatepass") for w in words]
-        found: list[np.ndarray | None] = []
-        work: list[int] = []
-        for k, raw in enumerate(raws):
-            rank = self.ranks.get(raw)
-            if rank is not None:
-                found.append(np.array([rank], np.int32))
-            elif len(raw) > LONGEST_RECURSIVE:
-                found.append(self._by_heap(raw))
-            else:
-                found.append(None)
-                work.append(k)
-        for k in range(0, len(work), WORDS_A_QUERY):
-            part = work[k : k + WORDS_A_QUERY]
-            for at, ids in zip(part, self._recursive([raws[at] for at in part]), strict=True):
-                found[at] = ids
-        self.kept.update(zip(words, range(len(self.kept), len(self.kept) + len(words)), strict=True))
-        self.flat = np.concatenate([self.flat, *found])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(f) for f in found])])
+        whole = np.array([self.ranks.get(raw, -1) for raw in raws], np.int32)
+        sizes = np.ones(len(raws), np.int64)
+        open_ = np.flatnonzero(whole < 0).tolist()
+        long = [k for k in open_ if len(raws[k]) > LONGEST_RECURSIVE]
+        work = [k for k in open_ if len(raws[k]) <= LONGEST_RECURSIVE]
+        found: list[tuple[list[int], np.ndarray, np.ndarray]] = []
+        for k in long:
+            ids = self._by_heap(raws[k])
+            found.append(([k], ids, np.array([len(ids)])))
+        for at in range(0, len(work), WORDS_A_QUERY):
+            part = work[at : at + WORDS_A_QUERY]
+            found.append((part, *self._recursive([raws[k] for k in part])))
+        for part, _, counts in found:
+            sizes[part] = counts
+        ends = np.cumsum(sizes)
+        flat = np.repeat(whole, sizes)
+        for part, ids, counts in found:
+            starts = (ends - sizes)[part]
+            flat[np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(len(ids))] = ids
+        self.flat = np.concatenate([self.flat, flat])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + ends])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the texts one after the other, and where each text's begin and end.
@@ -151,12 +169,10 @@ class Codec:
         found = [self.pattern.findall(t) if t else [] for t in texts]
         if len(self.kept) > KEPT_WORDS:
             self._forget()
-        rows = [list(map(self.kept.get, ws)) for ws in found]
-        unknown = [k for k, row in enumerate(rows) if None in row]
-        if unknown:
-            self._learn(list(dict.fromkeys(w for k in unknown for w, n in zip(found[k], rows[k], strict=True) if n is None)))
-            for k in unknown:
-                rows[k] = list(map(self.kept.get, found[k]))
+        rows = [list(map(self.kept.__getitem__, ws)) for ws in found]
+        if self.kept.new:
+            self._learn(self.kept.new)
+            self.kept.new = []
         count = [len(row) for row in rows]
         word = np.fromiter(chain.from_iterable(rows), np.int64, sum(count))
         starts = self.ends[word]
