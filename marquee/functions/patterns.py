@@ -6,10 +6,6 @@ symbols would exhaust the stack of a task.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark import SparkContext
-
 from marquee.functions.scalars import SPACE_CHARS, WORD
 
 START = rf"(?<!{WORD})"  # left edge of a word
@@ -23,32 +19,31 @@ ENTITY_MARKS = r"&(?:amp|lt|gt|quot);"
 GENERIC_DOMAINS = (
     "com org edu gov net mil aero asia biz cat coop info int jobs mobi museum name pro tel travel xxx"
 ).split()
-# Country domains are the ISO country codes, with these old or reserved ones and without the newest.
-EXTRA_COUNTRIES = "ac an cs dd eu su tp uk".split()
-NEW_COUNTRIES = "bl bq cw mf sx um".split()
+COUNTRY_DOMAINS = tuple(
+    "ac ad ae af ag ai al am an ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bv bw by bz "
+    "ca cc cd cf cg ch ci ck cl cm cn co cr cs cu cv cx cy cz dd de dj dk dm do dz ec ee eg eh er es et eu "
+    "fi fj fk fm fo fr ga gb gd ge gf gg gh gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu "
+    "id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk lr ls lt lu lv ly "
+    "ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om "
+    "pa pe pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sj sk sl sm sn so sr ss st su sv sy sz "
+    "tc td tf tg th tj tk tl tm tn to tp tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw".split()
+)
 
 EYES = "[:=;]"
 HAPPY = r"[D)\]}]+"
 SAD = r"[(\[{]+"
 TONGUE = "[pPd3]+"
 OTHER_MOUTHS = r"(?:[oO]+|[/\\]+|[vV]+|[sS]+|[|]+)"
-FACE_EYE = r"♥|0|[oO]|°|[vV]|\$|[tT]|[xX]|;|ಠ|@|ʘ|•|・|◕|\^|¬|\*"
+LETTER_EYE = r"0|[oO]|[vV]|[tT]|[xX]|\*"
+SYMBOL_EYE = r"♥|°|\$|;|ಠ|@|ʘ|•|・|◕|\^|¬"
+FACE_EYE = rf"{LETTER_EYE}|{SYMBOL_EYE}"
 FACE_CENTER = r"(?:\.|[_-]+)"
-MAX_FACES = 500  # two-eyed faces inside one east-Asian emoticon
 EAST_LEFT = r"[＼\\ƪԄ(（<>;ヽ\-=~*]"
 EAST_RIGHT = r"""[\-=);'"<>ʃ）/／ノﾉ丿╯σっµ~*]"""
 
 # --- end of fixed values -----------------------------------------------------------------------
 
 
-@lru_cache(maxsize=1)
-def country_domains() -> tuple[str, ...]:
-    """Two-letter domains, from the country list that comes with Java."""
-    jvm = SparkContext._active_spark_context._jvm
-    codes = {c.lower() for c in jvm.java.util.Locale.getISOCountries()}
-    return tuple(sorted((codes | set(EXTRA_COUNTRIES)) - set(NEW_COUNTRIES)))
-
-
 def any_of(*patterns: str) -> str:
     return "(?:" + "|".join(patterns) + ")"
 
@@ -110,18 +105,31 @@ def _emoticon() -> str:
     reverse = (
         r"(?<![^ ])" + any_of(SAD, HAPPY, OTHER_MOUTHS) + rf"(?:|[^a-zA-Z0-9 ]){EYES}(?:<|&lt;)?"
     )
+    # The body of an east-Asian face is read unit by unit, without a choice: a face that holds a character no
+    # symbol is, else one symbol. It ends at its last unit before a right edge, so no unit is read again and the
+    # time is in proportion to the run.
     symbol = rf"[^A-Za-z0-9()*:=\-{SPACE_CHARS}]"
-    def symbols(name: str) -> str:  # symbols up to where a face starts
-        return rf"(?:(?!{_face(name)}){symbol})*"
-
-    def face_or_symbol(name: str) -> str:  # a face, or only the first symbol of it
-        return rf"(?:{_face(name)}|(?={_face(name + 'ahead')}){symbol})"
+    angle = any_of("<", "&lt;", ">", "&gt;")
 
-    body = (
-        rf"(?:{_face('first')}|{symbol}){symbols('one')}"
-        rf"(?:{face_or_symbol('more')}{symbols('two')}){{0,{MAX_FACES}}}"
+    def unit(name: str) -> str:  # groups need names of their own
+        face = any_of(
+            rf"(?<l{name}>{LETTER_EYE}){FACE_CENTER}\k<l{name}>",
+            rf"(?<s{name}>{SYMBOL_EYE})(?=_*-)[_-]++\k<s{name}>",
+            r"""--['"]""",
+            rf"[<>](?=[._]*(?:-|&))[._-]+{angle}",
+            rf"&[lg]t;[._-]+{angle}",
+        )
+        return any_of(face, symbol)
+
+    def body(name: str) -> str:
+        return rf"(?:(?:{unit(name + 'x')}(?!{EAST_RIGHT}))*+{unit(name + 'y')}(?={EAST_RIGHT}))++"
+
+    # the left edge takes its whole run, or else leaves the last symbol before a right edge to the body
+    split = rf"{symbol}{EAST_RIGHT}"
+    east = not_after(EAST_LEFT) + any_of(
+        rf"{EAST_LEFT}++{body('a')}{EAST_RIGHT}++",
+        rf"(?:(?:{EAST_LEFT}(?!{split}))*+{EAST_LEFT}(?={split}))++(?:{body('b')}|{symbol}){EAST_RIGHT}++",
     )
-    east = f"{not_after(EAST_LEFT)}{EAST_LEFT}+{body}{EAST_RIGHT}+"
     return any_of(western, reverse, east, _face("b"), rf"[oO]{FACE_CENTER}[oO]")
 
 
@@ -134,13 +142,13 @@ def _abbreviation() -> str:
     )
 
 
-def protected_kinds(countries: tuple[str, ...] | None = None) -> dict[str, str]:
+def protected_kinds(countries: tuple[str, ...] = COUNTRY_DOMAINS) -> dict[str, str]:
     """Kind to pattern, in order of priority: the leftmost match wins, then the first kind."""
     digit = r"\p{Nd}"
     in_word = rf'[^.,?"{SPACE_CHARS}]'
     return {
         "heart": r"(?:<+/?3+)++",
-        "url": _url(countries or country_domains()),
+        "url": _url(countries),
         "email": rf"{START}[a-zA-Z0-9._%+-]++@[a-zA-Z0-9.-]+\.[a-zA-Z]{{2,4}}(?={NOT_WORD})",
         "time": rf"{not_after(digit)}{digit}++(?::{digit}++){{1,2}}",
         "thousands": r"(?:(?<!\p{Nd})\p{Nd}{1,3},)++\p{Nd}{3}(?=[^,\p{Nd}]|\z)",
@@ -158,7 +166,7 @@ def protected_kinds(countries: tuple[str, ...] | None = None) -> dict[str, str]:
     }
 
 
-def protected_pattern(countries: tuple[str, ...] | None = None) -> str:
+def protected_pattern(countries: tuple[str, ...] = COUNTRY_DOMAINS) -> str:
     """One pattern for all that stays whole."""
     return any_of(plain_words(), *protected_kinds(countries).values())
 

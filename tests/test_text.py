@@ -2,6 +2,7 @@
 
 import html
 import random
+import time
 from html.entities import html5
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import scalars as S
 from marquee.functions import tokens as T
-from marquee.functions.patterns import country_domains, protected_kinds
+from marquee.functions.patterns import protected_kinds
 from marquee.operators import text as X
 
 
@@ -78,6 +79,15 @@ def test_passing_over_plain_words_changes_nothing(spark):
     assert fast == column(spark, texts, lambda t: T.split_tokens(t, slow))
 
 
+@pytest.mark.parametrize("unit", ["^_^", "T_T", "0.0", "^-^", ";-;", "x_x", "♥.♥", "<._.>", "<-.->", "\\\\", "＼", "ヽ", "--'", "*_*", "o.O", "(;", "<;"])
+def test_long_runs_of_faces_take_time_in_proportion(spark, unit):
+    texts = [begin + unit * 10_000 + end for begin in ("<", "(", "~", "") for end in ("", ">", ")", " x")]
+    start = time.monotonic()
+    for text, tokens in zip(texts, column(spark, texts, T.tokenize_raw), strict=True):
+        assert "".join(tokens) == text.replace(" ", "")
+    assert time.monotonic() - start < 2 * len(texts)
+
+
 @pytest.mark.parametrize("unit", ["-", "<", ".", "=-", "*;", "a-b", "1,234,", "1.", "U.", "(;-;", "日本", "ab1", "<3", "!'"])
 def test_long_runs_do_not_exhaust_the_stack(spark, unit):
     text = "(" + unit * (4000 // len(unit))
@@ -87,11 +97,6 @@ def test_long_runs_do_not_exhaust_the_stack(spark, unit):
 
 
 
-def test_country_domains_need_a_session(spark):
-    codes = country_domains()
-    assert {"uk", "de", "eu", "io"} <= set(codes) and "zq" not in codes and len(codes) > 240
-
-
 CASUAL = {
     "": [],
     "@bob Soooooo GOOD!!! :-D": ["sooo", "good", "!", "!", "!", ":-d"],
