@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -15,28 +17,31 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
-from marquee.llm.common import slices, words
-from marquee.session import cut_lineage
+from marquee.llm.common import scale_parts, scratch, slices, text_bytes, words
 
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 32_000_000
+BUCKET_BYTES = 8_000_000  # text for each bucket of words
 END, STOP = 0x0A, 0x20  # symbols that no word holds: end of the text, end of a word
-# Bit predictors of the symbols of a word after its first, by context: the symbol before, three before, five before, all
-# before in the word. Each has a table of so many slots, by bits of a hash.
+# Bit predictors of the symbols of a word after its first, by context: one, three and five symbols before, and all before in the
+# word. Each has a table of so many slots, by bits of a hash.
 TABLE_BITS = (16, 18, 20, 20)
+NEAR = (1, 3, 5)
 GATES = 16
 BUCKETS = 33
 FIRST_GATES = 1024
 PSEUDO = 0.3
 RATE = 0.02
+# The mixer's weights, its refinement and the share of word frequencies are fitted on about so many training words
+FITTED_WORDS = 100_000
 CACHE_SHARES = (0.0, 0.03, 0.1, 0.3)
 # Texts are dealt to classes by their most frequent word; what a class leaves to the model of all texts
 CLASSES = 16
 CLASS_REST = 0.15
-CLASS_STEP = 2000.0
-CLASS_FLOOR = 30.0
-TOKENS_AT_ONCE = 100_000
+CLASS_STEP, CLASS_FLOOR = 12.0, 21.0
+TOKENS_AT_ONCE = 20_000
 
 _K = np.uint64(0x9E3779B97F4A7C15)
 _J = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -45,17 +50,34 @@ _J = np.uint64(0xC2B2AE3D27D4EB4F)
 # ---- the corpus as chunks of numbered words
 
 
+def _packed(array: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
+
+
+def _opened(blob: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind)
+
+
+def _joined(found: list[bytes]) -> bytes:
+    """Words, which hold no space, as one packed text."""
+    return zstandard.ZstdCompressor(level=1).compress(b" ".join(found))
+
+
+def _split(blob: bytes) -> list[bytes]:
+    return zstandard.ZstdDecompressor().decompress(blob).split()
+
+
 def _first_gate(last: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Context of a word's first symbol: the last symbol of the word before and two bits of the one before that."""
     return last.astype(np.int32) * 4 + ((second.astype(np.int32) * 37) >> 3 & 3)
 
 
 def _ends_of(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """First symbol, and gate for the word that follows, of each word; number 0 is the end of a text."""
-    first = np.frombuffer(bytes(w[0] if w else END for w in found), np.uint8)
-    last = np.frombuffer(bytes(w[-1] if w else 0 for w in found), np.uint8)
-    second = np.frombuffer(bytes(w[-2] if len(w) > 1 else 0 for w in found), np.uint8)
-    return first, _first_gate(last, second).astype(np.uint16)
+    """First symbol, and gate for the word that follows, of the end (number 0) and then of each word."""
+    first = np.frombuffer(bytes([END]) + bytes(w[0] for w in found), np.uint8)
+    last = np.frombuffer(bytes(1) + bytes(w[-1] for w in found), np.uint8)
+    second = np.frombuffer(bytes(1) + bytes(w[-2] if len(w) > 1 else 0 for w in found), np.uint8)
+    return first, _first_gate(last, second)
 
 
 def _previous(seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -65,57 +87,88 @@ def _previous(seq: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return before
 
 
-def _class_of(numbers: np.ndarray, found: list[bytes]) -> int:
-    """The class of a text, by its most frequent word (the first of equal ones)."""
-    if not len(numbers):
-        return 0
-    which, first, count = np.unique(numbers, return_index=True, return_counts=True)
-    return xxhash.xxh64_intdigest(found[which[np.lexsort((first, -count))[0]]]) % CLASSES
+class _Numbers(dict):
+    """Words by number, from 1, in the order they are first met."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self) + 1
+        return number
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _chunk_types(id_type: pa.DataType) -> dict[str, pa.DataType]:
+    """One table for both kinds of rows: a chunk's texts (``bucket`` -1), and its words of one bucket."""
+    longs = pa.list_(pa.int64())
+    return {
+        "chunk": pa.int64(), "bucket": pa.int32(), "ids": pa.list_(id_type), "train": pa.list_(pa.bool_()), "lengths": longs, "bytes": longs,
+        "seq": pa.binary(), "first": pa.binary(), "gate": pa.binary(), "ends": longs, "cells": longs, "cell_counts": longs, "words": pa.binary(), "counts": pa.binary(),
+    }
+
 
+def _chunks(id_type: pa.DataType, buckets: int):
+    types = _chunk_types(id_type)
 
-def _chunks(id_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=1)
         for k, batch in enumerate(slices(batches, "text", CHUNK_BYTES)):
-            number: dict[bytes, int] = {b"": 0}
-            rows, sizes = [], []
+            numbers = _Numbers()
+            rows, sizes, kinds = [], [], []
             for text in batch.column("text").to_pylist():
                 found = words(text)
-                rows.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.int32, len(found)))
+                rows.append(np.array(list(map(numbers.__getitem__, found)), np.int32))
+                kinds.append(_class_of(found))
                 sizes.append(len(text.encode("utf-8", "surrogatepass")) if text else 0)
+            met = list(numbers)
+            place = _bucket(np.array([xxhash.xxh64_intdigest(w) for w in met], np.uint64), buckets)
+            order = np.argsort(place, kind="stable")
+            met, place = [met[j] for j in order], place[order]
+            renumbered = np.zeros(len(met) + 1, np.int32)
+            renumbered[order + 1] = np.arange(1, len(met) + 1)
             lengths = np.array([len(r) + 1 for r in rows])
+            last = np.cumsum(lengths) - 1
             seq = np.zeros(lengths.sum(), np.int32)
-            seq[np.arange(len(seq)) != np.repeat(np.cumsum(lengths) - 1, lengths)] = np.concatenate(rows)
+            inside = np.ones(len(seq), bool)
+            inside[last] = False
+            seq[inside] = renumbered[np.concatenate(rows)]
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            learned = np.repeat(train, lengths)
-            found = list(number)
-            kinds = np.repeat([_class_of(r, found) for r in rows], lengths)
-            counts = np.bincount(seq[learned] * np.int64(CLASSES) + kinds[learned], minlength=len(found) * CLASSES)
-            first, gate = _ends_of(found)
-            cell = gate[_previous(seq, lengths)].astype(np.int64)[learned] * 256 + first[seq][learned]
-            cells, cell_counts = np.unique(cell, return_counts=True)
-            row = {
-                "chunk": f"{TaskContext.get().partitionId()}.{k}",
-                "ids": batch.column("id").to_pylist(),
-                "train": train.tolist(),
-                "lengths": lengths.tolist(),
-                "bytes": sizes,
-                "seq": pack.compress(seq.tobytes()),
-                "first": pack.compress(first.tobytes()),
-                "gate": pack.compress(gate.tobytes()),
-                "words": found,
-                "counts": pa.FixedSizeListArray.from_arrays(pa.array(counts.astype(np.int32)), CLASSES).cast(pa.list_(pa.int32())).tolist(),
-                "cells": cells.tolist(),
-                "cell_counts": cell_counts.tolist(),
-            }
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), _chunk_types(id_type), strict=True)], list(row))
+            learned, kind = np.repeat(train, lengths), np.repeat(kinds, lengths)
+            counts = np.bincount(seq[learned] * np.int64(CLASSES) + kind[learned], minlength=(len(met) + 1) * CLASSES).reshape(-1, CLASSES)
+            first, gate = _ends_of(met)
+            cells, cell_counts = np.unique((gate[_previous(seq, lengths)].astype(np.int64) * 256 + first[seq])[learned], return_counts=True)
+            chunk = (TaskContext.get().partitionId() << 20) + k
+            out = [
+                {
+                    "chunk": chunk, "bucket": -1, "ids": batch.column("id").to_pylist(), "train": train.tolist(), "lengths": lengths.tolist(), "bytes": sizes,
+                    "seq": _packed(seq), "first": _packed(first), "gate": _packed(gate), "ends": counts[0].tolist(), "cells": cells.tolist(), "cell_counts": cell_counts.tolist(),
+                }
+            ]
+            starts = np.searchsorted(place, np.arange(buckets + 1))
+            for b in np.unique(place):
+                part = slice(starts[b], starts[b + 1])
+                out.append({"chunk": chunk, "bucket": int(b), "words": _joined(met[part]), "counts": _packed(counts[1:][part])})
+            yield pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in out], t) for c, t in types.items()], list(types))
 
     return run
 
 
-def _chunk_types(id_type: pa.DataType) -> list[pa.DataType]:
-    ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-    return [pa.string(), pa.list_(id_type), pa.list_(pa.bool_()), ints, longs, *[pa.binary()] * 3, pa.list_(pa.binary()), pa.list_(ints), ints, longs]
+def _class_of(found: list[bytes]) -> int:
+    """The class of a text, by its most frequent word (the first of equal ones)."""
+    return xxhash.xxh64_intdigest(Counter(found).most_common(1)[0][0]) % CLASSES if found else 0
+
+
+def _merged(frame: pd.DataFrame) -> pd.DataFrame:
+    """All distinct words of one bucket with their counts by class."""
+    numbers = _Numbers()
+    at, counts = [], []
+    for blob, packed in zip(frame["words"], frame["counts"], strict=True):
+        at.append(np.array(list(map(numbers.__getitem__, _split(blob))), np.int64))
+        counts.append(_opened(packed, np.int64).reshape(-1, CLASSES))
+    where, total = np.concatenate(at) - 1, np.concatenate(counts)
+    summed = np.stack([np.bincount(where, weights=total[:, k], minlength=len(numbers)) for k in range(CLASSES)], axis=1).astype(np.int64)
+    seen = summed.sum(axis=1) > 0
+    return pd.DataFrame({"bucket": [frame["bucket"].iloc[0]], "words": [_joined(list(numbers))], "counts": [_packed(summed)], "n": [int(seen.sum())], "totals": [summed.sum(axis=0).tolist()]})
 
 
 # ---- the code of symbols and the contexts of their bits
@@ -166,12 +219,12 @@ def _decisions(found: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray,
     start = np.arange(len(symbols)) - place
     prefix = run - value * powers[place] - (run[start] - value[start] * powers[0])
     contexts, h = [], np.zeros(len(symbols), np.uint64)
-    for k in range(1, 6):
+    for k in range(1, max(NEAR) + 1):
         back = np.zeros(len(symbols), np.uint64)
         back[k:] = value[:-k]
         back[place < k] = 0
         h = (h + back) * _K + np.uint64(k)
-        if k in (1, 3, 5):
+        if k in NEAR:
             contexts.append(h)
     contexts.append(prefix * _K + place.astype(np.uint64))
     at = np.flatnonzero(place > 0)
@@ -187,6 +240,10 @@ def _decisions(found: list[bytes], code: Code) -> tuple[np.ndarray, np.ndarray,
     return owner[rep], bit, slots
 
 
+def _gate(seen: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(seen + 1).astype(np.int64), GATES - 1)
+
+
 def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
@@ -198,14 +255,20 @@ class Tables:
         self.zeros, self.ones = ([np.zeros(1 << b, np.float32) for b in TABLE_BITS] for _ in range(2))
 
     def __getstate__(self) -> list[bytes]:
-        pack = zstandard.ZstdCompressor(level=3)
-        return [pack.compress(t.tobytes()) for t in (*self.zeros, *self.ones)]
+        return [_packed(t) for t in (*self.zeros, *self.ones)]
 
     def __setstate__(self, packed: list[bytes]) -> None:
-        unpack = zstandard.ZstdDecompressor()
-        found = [np.frombuffer(unpack.decompress(b), np.float32) for b in packed]
+        found = [_opened(b, np.float32) for b in packed]
         self.zeros, self.ones = found[: len(TABLE_BITS)], found[len(TABLE_BITS) :]
 
+    @cached_property
+    def stretched(self) -> list[np.ndarray]:
+        return [np.log((one + PSEUDO) / (zero + PSEUDO)) for zero, one in zip(self.zeros, self.ones, strict=True)]
+
+    @cached_property
+    def gate(self) -> np.ndarray:
+        return _gate(self.zeros[-1] + self.ones[-1])
+
 
 @dataclass
 class Mixer:
@@ -216,21 +279,20 @@ class Mixer:
     weights: np.ndarray
     refined: np.ndarray | None = None
 
-    def inputs(self, slots: list[np.ndarray], bit: np.ndarray, own: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    def inputs(self, slots: list[np.ndarray], bit: np.ndarray, own: bool) -> tuple[np.ndarray, np.ndarray]:
         """Stretched predictions of each bit, a row a predictor, and the gate: how often the whole prefix was seen.
 
         ``own`` takes one occurrence of the word away from the counts, as if the bit came before it was learned.
         """
-        rows = []
-        for table, (zero, one, slot) in enumerate(zip(self.tables.zeros, self.tables.ones, slots, strict=True)):
-            n0, n1 = zero[slot], one[slot]
-            if own is not None:
-                n0, n1 = np.maximum(n0 - own * (1 - bit), 0), np.maximum(n1 - own * bit, 0)
-            rows.append(np.log((n1 + PSEUDO) / (n0 + PSEUDO)))
-            if table == len(slots) - 1:
-                gate = np.minimum(np.log2(n0 + n1 + 1).astype(np.int64), GATES - 1)
-        rows.append(np.full(len(bit), 0.3))
-        return np.array(rows), gate
+        if not own:
+            rows, gate = [t[slot] for t, slot in zip(self.tables.stretched, slots, strict=True)], self.tables.gate[slots[-1]]
+        else:
+            rows = []
+            for zero, one, slot in zip(self.tables.zeros, self.tables.ones, slots, strict=True):
+                n0, n1 = np.maximum(zero[slot] - (1 - bit), 0), np.maximum(one[slot] - bit, 0)
+                rows.append(np.log((n1 + PSEUDO) / (n0 + PSEUDO)))
+            gate = _gate(n0 + n1)
+        return np.array([*rows, np.full(len(bit), 0.3)]), gate
 
     def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
         """The mixed prediction, stretched and held within what a double can tell from certainty."""
@@ -246,17 +308,17 @@ class Mixer:
     def bucket(self, mixed: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return gate * BUCKETS + np.clip(np.rint(mixed * (BUCKETS // 2) / 12), -(BUCKETS // 2), BUCKETS // 2).astype(np.int64) + BUCKETS // 2
 
-    def costs(self, found: list[bytes], own: np.ndarray | None) -> np.ndarray:
+    def costs(self, found: list[bytes], own: bool = False) -> np.ndarray:
         """Bits that each word takes after its first symbol."""
         owner, bit, slots = _decisions(found, self.code)
-        x, gate = self.inputs(slots, bit, None if own is None else own[owner])
+        x, gate = self.inputs(slots, bit, own)
         mixed = self.mixed(x, gate)
         if self.refined is not None:
             mixed = (mixed + self.refined[self.bucket(mixed, gate)]) / 2
         return np.bincount(owner, weights=np.log1p(np.exp(np.where(bit == 1, -mixed, mixed))) / math.log(2), minlength=len(found))
 
 
-def _parts(found: list[bytes], size: int = 400_000) -> Iterator[slice]:
+def _parts(found: list[bytes], size: int = 100_000) -> Iterator[slice]:
     """Cut a list of words into parts of about ``size`` bytes."""
     start = total = 0
     for k, w in enumerate(found):
@@ -268,21 +330,35 @@ def _parts(found: list[bytes], size: int = 400_000) -> Iterator[slice]:
         yield slice(start, len(found))
 
 
-def _known(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+def _learned(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Words of the packed vocabulary that training texts hold, with their counts."""
     for frame in frames:
-        found, counts = [bytes(w) for w in frame["word"]], frame["c"].to_numpy(np.float64)
-        for part in _parts(found):
-            yield found[part], counts[part]
+        for blob, packed in zip(frame["words"], frame["counts"], strict=True):
+            found, counts = _split(blob), _opened(packed, np.int64).reshape(-1, CLASSES).sum(axis=1)
+            keep = np.flatnonzero(counts)
+            yield [found[k] for k in keep], counts[keep].astype(np.float64)
 
 
 def _symbol_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(256)
-    for found, counts in _known(frames):
-        symbols, owner, place = _spelled(found)
-        total += np.bincount(symbols[place > 0], weights=counts[owner[place > 0]], minlength=256)
+    for found, counts in _learned(frames):
+        for part in _parts(found, 1_000_000):
+            symbols, owner, place = _spelled(found[part])
+            total += np.bincount(symbols[place > 0], weights=counts[part][owner[place > 0]], minlength=256)
     yield pd.DataFrame({"symbol": np.arange(256), "n": total})
 
 
+def _sampled(every: int):
+    """Words with a hash divisible by ``every``, as the counts of training texts have them."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for found, counts in _learned(frames):
+            keep = [k for k, w in enumerate(found) if xxhash.xxh64_intdigest(w, 7) % every == 0]
+            yield pd.DataFrame({"word": [found[k] for k in keep], "c": counts[keep].astype(np.int64)})
+
+    return run
+
+
 SPAN = 1 << 16
 
 
@@ -290,88 +366,81 @@ def _bit_counts(code: Code):
     """Zeros and ones of every slot of every table, from one partition of the words; sent in spans of slots."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counted = Tables()
-        tables, seen = (counted.zeros, counted.ones), False
-        for found, counts in _known(frames):
-            seen = True
-            owner, bit, slots = _decisions(found, code)
-            for k, slot in enumerate(slots):
-                for value in (0, 1):
-                    mine = bit == value
-                    at, place = np.unique(slot[mine], return_inverse=True)
-                    tables[value][k][at] += np.bincount(place, weights=counts[owner[mine]], minlength=len(at)).astype(np.float32)
-        pack = zstandard.ZstdCompressor(level=1)
+        sums, seen = [[np.zeros(1 << b) for b in TABLE_BITS] for _ in range(2)], False
+        for found, counts in _learned(frames):
+            for part in _parts(found, 1_000_000):
+                seen = True
+                owner, bit, slots = _decisions(found[part], code)
+                weight = counts[part][owner]
+                for k, slot in enumerate(slots):
+                    for value in (0, 1):
+                        sums[value][k] += np.bincount(slot, weights=weight * (bit == value), minlength=1 << TABLE_BITS[k])
         for k, b in enumerate(TABLE_BITS if seen else ()):
             for span in range(max(1, (1 << b) // SPAN)):
                 part = slice(span * SPAN, (span + 1) * SPAN)
-                yield pd.DataFrame({"table": [k], "span": [span], "zeros": [pack.compress(tables[0][k][part].tobytes())], "ones": [pack.compress(tables[1][k][part].tobytes())]})
-
-    return run
-
-
-def _sum_spans(key, frame: pd.DataFrame) -> pd.DataFrame:
-    unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-    total = [sum(np.frombuffer(unpack.decompress(b), np.float32).astype(np.float64) for b in frame[c]) for c in ("zeros", "ones")]
-    return pd.DataFrame({"table": [key[0]], "span": [key[1]], "zeros": [pack.compress(total[0].astype(np.float32).tobytes())], "ones": [pack.compress(total[1].astype(np.float32).tobytes())]})
-
-
-def _learned_weights(shared, given: Mixer):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mixer = replace(given, tables=shared.value, weights=given.weights.copy())
-        total = np.zeros(GATES)
-        for found, counts in _known(frames):
-            owner, bit, slots = _decisions(found, mixer.code)
-            x, gate = mixer.inputs(slots, bit, np.ones(len(bit)))
-            count = counts[owner]
-            total += np.bincount(gate, weights=count, minlength=GATES)
-            for start in range(0, len(bit), 4096):
-                part = slice(start, start + 4096)
-                mixer.learn(x[:, part], gate[part], bit[part], count[part])
-        yield pd.DataFrame({"gate": np.arange(GATES), "n": total, "w": list(mixer.weights)})
+                yield pd.DataFrame({"table": [k], "span": [span], "zeros": [_packed(sums[0][k][part].astype(np.float32))], "ones": [_packed(sums[1][k][part].astype(np.float32))]})
 
     return run
 
 
-def _refinement(shared, given: Mixer):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mixer, sums = replace(given, tables=shared.value), np.zeros((2, GATES * BUCKETS))
-        for found, counts in _known(frames):
-            owner, bit, slots = _decisions(found, mixer.code)
-            x, gate = mixer.inputs(slots, bit, np.ones(len(bit)))
-            at = mixer.bucket(mixer.mixed(x, gate), gate)
-            for value in (0, 1):
-                sums[value] += np.bincount(at, weights=counts[owner] * (bit == value), minlength=GATES * BUCKETS)
-        yield pd.DataFrame({"at": np.arange(GATES * BUCKETS), "zeros": sums[0], "ones": sums[1]})
+def _sum_spans(frame: pd.DataFrame) -> pd.DataFrame:
+    total = [sum(_opened(b, np.float32).astype(np.float64) for b in frame[c]) for c in ("zeros", "ones")]
+    return pd.DataFrame({"table": frame["table"].iloc[:1], "span": frame["span"].iloc[:1], "zeros": [_packed(total[0].astype(np.float32))], "ones": [_packed(total[1].astype(np.float32))]})
 
-    return run
 
-
-def _packed_classes(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Log frequency of each word in each class, rounded down to 16 bits, four classes a number; 0 for none."""
+def _fitted(code: Code, tables: Tables, found: list[bytes], counts: np.ndarray, by_symbol: np.ndarray) -> tuple[Mixer, float]:
+    """Weights learned online, then the refinement, then the share of word frequencies; each word left out once."""
+    mixer = Mixer(code, tables, np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (GATES, 1)))
+    sums = np.zeros((2, GATES * BUCKETS))
+    for learning in (True, False):
+        for part in _parts(found):
+            owner, bit, slots = _decisions(found[part], code)
+            x, gate = mixer.inputs(slots, bit, True)
+            count = counts[part][owner]
+            if learning:
+                for start in range(0, len(bit), 4096):
+                    now = slice(start, start + 4096)
+                    mixer.learn(x[:, now], gate[now], bit[now], count[now])
+            else:
+                at = mixer.bucket(mixer.mixed(x, gate), gate)
+                for value in (0, 1):
+                    sums[value] += np.bincount(at, weights=count * (bit == value), minlength=GATES * BUCKETS)
+    middle = (np.arange(GATES * BUCKETS) % BUCKETS - BUCKETS // 2) * 12 / (BUCKETS // 2)
+    near = _squash(middle)
+    mixer.refined = np.clip(np.log((sums[1] + 2 * near) / (sums[0] + 2 * (1 - near))), -12, 12)
+    if not len(found):
+        return mixer, 0.5
+    fair = np.concatenate([mixer.costs(found[part], True) for part in _parts(found)])
+    seen = (counts - 1) / np.maximum(by_symbol[[w[0] for w in found]] - 1, 1)
+    shares = (0.02, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97)
+    return mixer, max(shares, key=lambda s: (counts * np.log(s * seen + (1 - s) * np.exp2(-fair) + 1e-300)).sum())
+
+
+def _class_codes(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """Log frequency of each word in each class, rounded down to a byte; 0 for none."""
     with np.errstate(divide="ignore"):
         log = np.log(counts / np.maximum(totals, 1)) + CLASS_FLOOR
-    code = np.where(counts > 0, np.clip(np.floor(log * CLASS_STEP), 1, 65535), 0).astype(np.uint64)
-    shifts = np.arange(4, dtype=np.uint64) * np.uint64(16)
-    return (code.reshape(len(code), -1, 4) << shifts).sum(axis=2, dtype=np.uint64).view(np.int64)
+    return np.where(counts > 0, np.clip(np.floor(log * CLASS_STEP), 0, 255), 0).astype(np.uint8)
 
 
-def _unpacked_classes(packed: np.ndarray) -> np.ndarray:
-    shifts = np.arange(4, dtype=np.uint64) * np.uint64(16)
-    code = (packed.view(np.uint64)[:, :, None] >> shifts & np.uint64(65535)).reshape(len(packed), -1)
-    return np.where(code > 0, np.exp(code / CLASS_STEP - CLASS_FLOOR), 0.0)
+CLASS_VALUES = np.r_[0.0, np.exp(np.arange(1, 256) / CLASS_STEP - CLASS_FLOOR)]
 
 
 def _priced(shared, given: Mixer, totals: np.ndarray):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Prices of a bucket's words, sent to each chunk in the order of its words."""
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         mixer = replace(given, tables=shared.value)
-        for frame in frames:
-            found, counts = [bytes(w) for w in frame["word"]], frame["c"].to_numpy(np.float64)
-            cost, fair = np.zeros(len(found)), np.zeros(len(found))
-            for part in _parts(found):
-                cost[part] = mixer.costs(found[part], None)
-                fair[part] = mixer.costs(found[part], np.minimum(counts[part], 1))
-            symbol = [w[0] if w else END for w in found]
-            yield pd.DataFrame({"word": frame["word"], "c": frame["c"], "symbol": symbol, "cost": np.where([not w for w in found], 0.0, cost), "fair": fair, "classes": list(_packed_classes(np.stack(frame["cs"]), totals))})
+        found = _split(right["words"].iloc[0])
+        counts = _opened(right["counts"].iloc[0], np.int64).reshape(-1, CLASSES)
+        cost = np.concatenate([mixer.costs(found[part]) for part in _parts(found)]).astype(np.float32)
+        total, codes = counts.sum(axis=1), _class_codes(counts, totals)
+        number = dict(zip(found, range(len(found)), strict=True))
+        out = []
+        for chunk, blob in zip(left["chunk"], left["words"], strict=True):
+            at = np.array(list(map(number.__getitem__, _split(blob))), np.int64)
+            out.append((chunk, right["bucket"].iloc[0], _packed(total[at]), _packed(cost[at]), _packed(codes[at])))
+        return pd.DataFrame(out, columns=["chunk", "bucket", "c", "cost", "codes"])
 
     return run
 
@@ -401,46 +470,44 @@ def _first_table(cells: np.ndarray, code: Code) -> np.ndarray:
     return out
 
 
+RESULT = {"held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double", "bits_per_byte": "double"}
+
+
 def _score_chunk(shared):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        first_log, lam, n_train, vocabulary, by_symbol, prior = shared.value
-        unpack = zstandard.ZstdDecompressor()
-        order = np.argsort(right["at"].to_numpy())
-        c, cost = right["c"].to_numpy()[order], right["cost"].to_numpy()[order]
-        classes = np.stack(right["classes"].to_numpy()[order])
-        out = []
-        for chunk in left.itertuples(index=False):  # one row
-            seq = np.frombuffer(unpack.decompress(chunk.seq), np.int32)
-            first, gate = np.frombuffer(unpack.decompress(chunk.first), np.uint8), np.frombuffer(unpack.decompress(chunk.gate), np.uint16)
-            lengths = np.asarray(chunk.lengths, np.int64)
-            starts = np.cumsum(lengths) - lengths
-            base = np.log10((c + 0.1) / (n_train + 0.1 * (vocabulary + 1)))
-            rest = np.where(first == END, 1.0, lam * c / np.maximum(by_symbol[first], 1) + (1 - lam) * np.exp2(-cost))
-            log = first_log[gate[_previous(seq, lengths)], first[seq]] + np.log10(np.maximum(rest, 1e-300))[seq]
-            score = np.zeros(len(lengths))
-            at = 0
-            while at < len(lengths):
-                to = max(at + 1, int(np.searchsorted(starts, starts[at] + TOKENS_AT_ONCE)))
-                span = slice(starts[at], starts[to - 1] + lengths[to - 1])
-                own = lengths[at:to]
-                prob = _with_classes(10 ** log[span], _unpacked_classes(classes[seq[span]]), prior, own)
-                score[at:to] = np.add.reduceat(_with_cache(seq[span], prob, own), starts[at:to] - starts[at]) / math.log(10)
-                at = to
-            out.append(
-                pd.DataFrame(
-                    {
-                        "id": chunk.ids,
-                        "held_out": ~np.asarray(chunk.train, bool),
-                        "n_tokens": lengths,
-                        "n_known": np.add.reduceat((c > 0)[seq].astype(np.int64), starts),
-                        "train_tokens": n_train,
-                        "base_score": np.add.reduceat(base[seq], starts),
-                        "score": score,
-                        "bits_per_byte": -score / math.log10(2) / np.maximum(np.asarray(chunk.bytes), 1),
-                    }
-                )
-            )
-        return pd.concat(out)
+        first_log, lam, n_train, vocabulary, by_symbol, prior, end_count, end_codes = shared.value
+        right = right.sort_values("bucket")
+        c = np.concatenate([[end_count], *(_opened(b, np.int64) for b in right["c"])])
+        cost = np.concatenate([[0.0], *(_opened(b, np.float32).astype(np.float64) for b in right["cost"])])
+        codes = np.concatenate([[end_codes], *(_opened(b, np.uint8).reshape(-1, CLASSES) for b in right["codes"])])
+        (chunk,) = left.itertuples(index=False)
+        seq, first, gate = _opened(chunk.seq, np.int32), _opened(chunk.first, np.uint8), _opened(chunk.gate, np.int32)
+        lengths = np.asarray(chunk.lengths, np.int64)
+        starts = np.cumsum(lengths) - lengths
+        base = np.log10((c + 0.1) / (n_train + 0.1 * (vocabulary + 1)))
+        rest = np.where(first == END, 1.0, lam * c / np.maximum(by_symbol[first], 1) + (1 - lam) * np.exp2(-cost))
+        prob = 10.0**first_log[gate[_previous(seq, lengths)], first[seq]] * np.maximum(rest, 1e-300)[seq]
+        score = np.zeros(len(lengths))
+        at = 0
+        while at < len(lengths):
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + TOKENS_AT_ONCE)))
+            span = slice(starts[at], starts[to - 1] + lengths[to - 1])
+            own = lengths[at:to]
+            here = _with_classes(prob[span], CLASS_VALUES[codes[seq[span]]], prior, own)
+            score[at:to] = np.add.reduceat(_with_cache(seq[span], here, own), starts[at:to] - starts[at]) / math.log(10)
+            at = to
+        return pd.DataFrame(
+            {
+                "id": chunk.ids,
+                "held_out": ~np.asarray(chunk.train, bool),
+                "n_tokens": lengths,
+                "n_known": np.add.reduceat((c > 0)[seq].astype(np.int64), starts),
+                "train_tokens": n_train,
+                "base_score": np.add.reduceat(base[seq], starts),
+                "score": score,
+                "bits_per_byte": -score / math.log10(2) / np.maximum(np.asarray(chunk.bytes), 1),
+            }
+        )
 
     return run
 
@@ -482,89 +549,71 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
 
     (id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte), a row per input row. Tokens are
     lower-cased words and one end. ``base_score`` is the add-0.1 unigram's log10 probability, ``score`` the
-    model's. The model, a proper distribution over token sequences:
-
-    1. Words of every chunk of rows are numbered; (word, count in training rows) is summed over all chunks. This
-       table holds every word of the corpus and grows with it.
-    2. A word is spelled as bits of a Huffman code of its symbols. Bit predictors with hashed contexts (1, 3, 5
-       symbols, the whole prefix) hold counts of the training words in tables of fixed size; logistic mixing weighs
-       them by gates of the prefix's count, learned online with the word at hand left out, and an adaptive
-       refinement corrects the mixed bit. A word's first symbol comes from the end of the word before.
-    3. Each word is priced once; spelling and frequency are mixed by one share, chosen on the training words.
-    4. Prices go back to the chunks by a join on the word. There the frequencies of classes of texts, and then the
-       text's own words so far, are mixed in online, gated by how well each did on the text before the token.
-
-    A chunk holds about 16 MB of text, so a word has at most one row a chunk, however frequent. Null and empty texts have the
-    end only. Null ids and repeated rows are rows like others; other columns are not read; a null ``train`` counts as
-    held out. An empty table gives an empty result; without training rows the scores come from empty counts.
+    model's. The model, a distribution over token sequences:
+
+    1. Words of every chunk of rows are numbered; the distinct words of a chunk, with their counts in training
+       rows, are dealt to buckets by hash and summed. This table holds every word of the corpus and grows with it.
+    2. A word is spelled as bits of a Huffman code of its symbols. Bit predictors with hashed contexts (1, 3 and 5
+       symbols, the whole prefix) hold counts of all training words in tables of fixed size; logistic mixing weighs
+       them by gates of the prefix's count, and an adaptive refinement corrects the mixed bit. Weights and
+       refinement are learned online on about ``FITTED_WORDS`` training words, picked by hash, each left out of the
+       counts once. A word's first symbol comes from the end of the word before.
+    3. Each word is priced once in its bucket; spelling and frequency are mixed by one share.
+    4. Prices go back to the chunks. There the frequencies of classes of texts, and then the text's own words so
+       far, are mixed in online, gated by how well each did on the text before the token.
+
+    A chunk holds about 32 MB of text, and a word one entry a chunk, however frequent, so neither chunks nor buckets
+    have hot ones. Null and empty texts have the end only. Null ids and repeated rows are rows like others; other
+    columns are not looked at; a null ``train`` counts as held out. An empty table gives an empty result; without
+    training rows the scores come from empty counts.
     """
-    context = docs.sparkSession.sparkContext
+    spark, context = docs.sparkSession, docs.sparkSession.sparkContext
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    chunk_schema = f"chunk string, ids array<{kind}>, train array<boolean>, lengths array<int>, bytes array<bigint>, seq binary, first binary, gate binary, words array<binary>, counts array<array<int>>, cells array<int>, cell_counts array<bigint>"
-    chunks = cut_lineage(rows.mapInArrow(_chunks(to_arrow_type(rows.schema["id"].dataType)), chunk_schema))
-    held = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "z")).select("chunk", "at", F.col("z.words").alias("word"), F.col("z.counts").alias("cs"))
-    by_class = [F.sum(F.get("cs", F.lit(k))) for k in range(CLASSES)]
-    vocabulary = held.groupBy("word").agg(F.array(*by_class).alias("cs"))
-    vocabulary = cut_lineage(vocabulary.withColumn("c", F.aggregate("cs", F.lit(0).cast("bigint"), lambda a, x: a + x)))
-    totals = vocabulary.agg(F.count(F.when(F.col("c") > 0, 1)), *[F.coalesce(F.sum(F.get("cs", F.lit(k))), F.lit(0)) for k in range(CLASSES)]).first()
-    n_words, class_totals = int(totals[0]), np.array(totals[1:], np.float64)
-    n_train = int(class_totals.sum())
+    id_type = rows.schema["id"].dataType
+    buckets = scale_parts(rows, text_bytes(rows, "text"), BUCKET_BYTES, least=16)
+    types = _chunk_types(to_arrow_type(id_type))
+    folder = scratch(spark, "lm")
+    schema = T.StructType([T.StructField(c, from_arrow_type(t)) for c, t in types.items()])
+    schema["ids"].dataType.elementType = id_type
+    rows.mapInArrow(_chunks(types["ids"].value_type, buckets), schema).write.parquet(f"{folder}/chunks")
+    chunks = spark.read.schema(schema).parquet(f"{folder}/chunks")
+    texts, held = chunks.filter("bucket < 0"), chunks.filter("bucket >= 0").select("chunk", "bucket", "words", "counts")
+
+    held.groupBy("bucket").applyInPandas(_merged, "bucket int, words binary, counts binary, n bigint, totals array<bigint>").write.parquet(f"{folder}/vocabulary")
+    vocabulary = spark.read.schema("bucket int, words binary, counts binary, n bigint, totals array<bigint>").parquet(f"{folder}/vocabulary")
+    by_class = [F.coalesce(F.sum(F.get("totals", F.lit(k))), F.lit(0)) for k in range(CLASSES)]
+    n_words, *class_totals = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), *by_class).first()
+    ends = np.array(texts.agg(*[F.coalesce(F.sum(F.get("ends", F.lit(k))), F.lit(0)) for k in range(CLASSES)]).first(), np.int64)
+    totals = np.array(class_totals, np.int64) + ends
+    n_train, n_words = int(totals.sum()), n_words + int(ends.sum() > 0)
     cells = np.zeros(FIRST_GATES * 256, np.int64)
-    counted = chunks.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("z")).groupBy(F.col("z.cells").alias("cell")).agg(F.sum("z.cell_counts").alias("n")).toPandas()
+    counted = texts.select(F.explode(F.arrays_zip("cells", "cell_counts")).alias("z")).groupBy(F.col("z.cells").alias("cell")).agg(F.sum("z.cell_counts").alias("n")).toPandas()
     cells[counted["cell"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    by_symbol = cells.reshape(FIRST_GATES, 256).sum(axis=0)
 
-    trained = vocabulary.filter("c > 0 AND word <> X''").select("word", "c")
-    symbols = trained.mapInPandas(_symbol_counts, "symbol int, n double").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
-    frequency = cells.reshape(FIRST_GATES, 256).sum(axis=0).astype(float)
+    packed = vocabulary.select("words", "counts")
+    symbols = packed.mapInPandas(_symbol_counts, "symbol int, n double").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
+    frequency = by_symbol.astype(float)
     frequency[symbols["symbol"].to_numpy(np.int64)] += symbols["n"].to_numpy()
     code = Code.build(frequency)
-
-    spans = trained.coalesce(max(2, context.defaultParallelism)).mapInPandas(_bit_counts(code), "table int, span int, zeros binary, ones binary")
+    spans = packed.coalesce(max(2, context.defaultParallelism)).mapInPandas(_bit_counts(code), "table int, span int, zeros binary, ones binary")
     spans = spans.groupBy("table", "span").applyInPandas(_sum_spans, "table int, span int, zeros binary, ones binary")
     tables = Tables()
-    unpack = zstandard.ZstdDecompressor()
     for r in spans.collect():  # tables of fixed size
         for table, blob in ((tables.zeros, r["zeros"]), (tables.ones, r["ones"])):
-            part = np.frombuffer(unpack.decompress(bytes(blob)), np.float32)
+            part = _opened(bytes(blob), np.float32)
             table[r["table"]][r["span"] * SPAN : r["span"] * SPAN + len(part)] = part
+    every = max(1, n_words // FITTED_WORDS)
+    sample = sorted((bytes(r["word"]), r["c"]) for r in packed.mapInPandas(_sampled(every), "word binary, c bigint").collect())
+    mixer, share = _fitted(code, tables, [w for w, _ in sample], np.array([c for _, c in sample], np.float64), by_symbol)
+
     sent = context.broadcast(tables)
-    mixer = Mixer(code, None, np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (GATES, 1)))
-
-    learned = trained.mapInPandas(_learned_weights(sent, mixer), "gate int, n double, w array<double>").collect()
-    total = np.zeros(GATES)
-    mean = np.zeros_like(mixer.weights)
-    for r in sorted(learned, key=lambda r: (r["gate"], r["n"], r["w"])):
-        total[r["gate"]] += r["n"]
-        mean[r["gate"]] += r["n"] * np.array(r["w"])
-    mixer.weights = np.where(total[:, None] > 0, mean / np.maximum(total, 1e-9)[:, None], mixer.weights)
-    sums = trained.mapInPandas(_refinement(sent, mixer), "at int, zeros double, ones double").groupBy("at").agg(F.sum("zeros").alias("z"), F.sum("ones").alias("o")).toPandas()
-    middle = (np.arange(GATES * BUCKETS) % BUCKETS - BUCKETS // 2) * 12 / (BUCKETS // 2)
-    refined = middle.copy()
-    at, zero, one = sums["at"].to_numpy(np.int64), sums["z"].to_numpy(), sums["o"].to_numpy()
-    near = _squash(middle[at])
-    refined[at] = np.clip(np.log((one + 2 * near) / (zero + 2 * (1 - near))), -12, 12)
-    mixer.refined = refined
-
-    priced = cut_lineage(vocabulary.mapInPandas(_priced(sent, mixer, class_totals), "word binary, c bigint, symbol int, cost double, fair double, classes array<bigint>"))
-    sent.unpersist()
-    by_symbol = cells.reshape(FIRST_GATES, 256).sum(axis=0)
-    lam = _share(priced, by_symbol)
-    prior = np.r_[0.1, 0.9 * (class_totals + 1) / (class_totals + 1).sum()]
-    shared = context.broadcast((_first_table(cells, code), lam, n_train, n_words, by_symbol, prior))
-    back = held.select("chunk", "at", "word").join(priced.select("word", "c", "cost", "classes"), "word").select(F.col("chunk").alias("of"), "at", "c", "cost", "classes")
-    lean = chunks.select("chunk", "ids", "train", "lengths", "bytes", "seq", "first", "gate")
-    scored = lean.groupBy("chunk").cogroup(back.groupBy("of")).applyInPandas(
-        _score_chunk(shared), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-    )
-    return scored.withColumnRenamed("id", id_col)
-
-
-def _share(priced: DataFrame, by_symbol: np.ndarray) -> float:
-    """The share of a word's frequency against its spelling that suits the training words, each left out once."""
-    totals = F.array(*[F.lit(float(max(n - 1, 1))) for n in by_symbol])
-    seen = (F.col("c") - 1) / F.element_at(totals, F.col("symbol") + 1)
-    shares = [0.02, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97]
-    sums = [F.sum(F.col("c") * F.log(s * seen + (1 - s) * F.pow(F.lit(2.0), -F.col("fair")) + 1e-300)) for s in shares]
-    found = priced.filter(f"c > 0 AND symbol <> {END}").agg(*sums).first()
-    return max(zip(found, shares, strict=True))[1] if found[0] is not None else 0.5
+    small = replace(mixer, tables=None)
+    prices = held.select("chunk", "bucket", "words").groupBy("bucket").cogroup(vocabulary.select(F.col("bucket").alias("of"), F.col("bucket").alias("bucket"), "words", "counts").groupBy("of"))
+    prices = prices.applyInPandas(_priced(sent, small, totals), "chunk bigint, bucket int, c binary, cost binary, codes binary")
+    prior = np.r_[0.1, 0.9 * (totals + 1) / (totals + 1).sum()]
+    shared = context.broadcast((_first_table(cells, code), share, n_train, n_words, by_symbol, prior, int(ends.sum()), _class_codes(ends[None], totals)[0]))
+    lean = texts.select("chunk", "ids", "train", "lengths", "bytes", "seq", "first", "gate")
+    kind = id_type.simpleString()
+    scored = lean.groupBy("chunk").cogroup(prices.withColumnRenamed("chunk", "of").groupBy("of"))
+    return scored.applyInPandas(_score_chunk(shared), f"id {kind}, " + ", ".join(f"{c} {t}" for c, t in RESULT.items())).withColumnRenamed("id", id_col)
