@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.bpe import bpe_decode, bpe_encode, load_ranks
+from marquee.llm.bpe import bpe_encode, load_ranks
 from marquee.llm.common import importable, scratch, table
 from marquee.llm.decontaminate import without_leaks
 from marquee.llm.jaccard import first_of_each_class
@@ -47,9 +47,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the hash of the bytes that they decode to."""
     importable(spark)
     ranks, pattern = load_ranks(public_tokenizers.path(RANKS)), public_tokenizers.PATTERN
-    encoded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern).drop("text")
-    decoded = bpe_decode(encoded, ranks, pattern)
-    return decoded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
+    both = bpe_encode(docs.select("doc_id", "lang", "source", "text"), ranks, pattern, bytes_col="bytes")
+    return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -181,16 +181,14 @@ class Codec:
         ids = self.flat[np.arange(upto[-1]) + np.repeat(starts - upto[:-1], sizes)]
         return ids, upto[np.concatenate([[0], np.cumsum(count, dtype=np.int64)])]
 
-    def decode(self, docs: list[np.ndarray]) -> list[bytes]:
-        """Bytes of each document's ids, by a join with the vocabulary and an ordered aggregation."""
-        lengths = [len(d) for d in docs]
-        if not sum(lengths):
-            return [b""] * len(docs)
-        doc = np.repeat(np.arange(len(docs), dtype=np.int32), lengths)
-        found = self._query(DECODE, "tokens", {"doc": doc, "pos": np.arange(len(doc), dtype=np.int64), "id": np.concatenate(docs).astype(np.int32)})
-        out = [b""] * len(docs)
-        for k, text in zip(found.column("doc").to_pylist(), found.column("hex").to_pylist(), strict=True):
-            out[k] = bytes.fromhex(text)
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Bytes of the ids of each document, by a join with the vocabulary and an ordered aggregation."""
+        out = [b""] * (len(ends) - 1)
+        if len(ids):
+            doc = np.repeat(np.arange(len(out), dtype=np.int32), np.diff(ends))
+            found = self._query(DECODE, "tokens", {"doc": doc, "pos": np.arange(len(doc), dtype=np.int32), "id": ids})
+            for k, text in zip(found.column("doc").to_pylist(), found.column("hex").to_pylist(), strict=True):
+                out[k] = bytes.fromhex(text or "")
         return out
 
 
@@ -213,28 +211,33 @@ def _unpack(packed: bytes) -> dict[bytes, int]:
     return ranks
 
 
-def _extended(df: DataFrame, drop: str | None, name: str, kind: T.DataType) -> tuple[list[str], T.StructType]:
-    fields = [f for f in df.schema.fields if f.name not in (drop, name)]
-    return [f.name for f in fields], T.StructType([*fields, T.StructField(name, kind)])
+def _added(df: DataFrame, new: dict[str, T.DataType]) -> tuple[list[str], T.StructType]:
+    """Columns of ``df`` that stay, and the schema with the new columns behind them."""
+    fields = [f for f in df.schema.fields if f.name not in new]
+    return [f.name for f in fields], T.StructType([*fields, *(T.StructField(n, t) for n, t in new.items())])
 
 
-def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text", ids_col: str = "ids", bytes_col: str | None = None) -> DataFrame:
     """``df`` with the token ids (array of int) of its text in ``ids_col``, which replaces a column of that name.
 
-    Each match of ``pattern`` is encoded by itself, without special tokens. Ranks are sent with a broadcast, as
-    large as the given vocabulary. Null and empty texts have no ids. Any other column, null or repeated row goes
-    through as it is; an empty table gives an empty result. A word of over 128 bytes is merged by a heap, since the
-    recursion would take as many steps as it has bytes; the result is the same.
+    With ``bytes_col``, the ids are decoded in the same task and their bytes put there. Each match of ``pattern`` is
+    encoded by itself, without special tokens. Ranks are sent with a broadcast, as large as the given
+    vocabulary. Null and empty texts have no ids. Any other column, null or repeated row goes through as it is; an
+    empty table gives an empty result. A word of over 128 bytes is merged by a heap, since the recursion would
+    take as many steps as it has bytes; the result is the same.
     """
     shared = df.sparkSession.sparkContext.broadcast(_pack(ranks))
-    names, schema = _extended(df, None, ids_col, T.ArrayType(T.IntegerType()))
+    new: dict[str, T.DataType] = {ids_col: T.ArrayType(T.IntegerType())} | ({bytes_col: T.BinaryType()} if bytes_col else {})
+    names, schema = _added(df, new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value, pattern)
         for batch in slices(batches, text_col, ENCODE_CHARS):
             flat, ends = own.encode(batch.column(text_col).to_pylist())
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), ids], [*names, ids_col])
+            made = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))]
+            if bytes_col:
+                made.append(pa.array(own.decode(flat, ends), pa.binary()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), *made], [*names, *new])
 
     return df.mapInArrow(run, schema)
 
@@ -242,16 +245,17 @@ def bpe_encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: s
 def bpe_decode(df: DataFrame, ranks: dict[bytes, int], pattern: str, ids_col: str = "ids", bytes_col: str = "bytes") -> DataFrame:
     """``df`` with the bytes of its token ids in ``bytes_col``. Null ids or arrays give no bytes; unknown ids none."""
     shared = df.sparkSession.sparkContext.broadcast(_pack(ranks))
-    names, schema = _extended(df, None, bytes_col, T.BinaryType())
+    names, schema = _added(df, {bytes_col: T.BinaryType()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(shared.value, pattern)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                ids = part.column(ids_col)
-                docs = [np.array([], np.int32) if not v.is_valid else v.values.drop_null().to_numpy() for v in ids]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(own.decode(docs), pa.binary())], [*names, bytes_col])
+                docs = [np.array([], np.int32) if not v.is_valid else v.values.drop_null().to_numpy() for v in part.column(ids_col)]
+                ends = np.cumsum([0, *map(len, docs)])
+                made = pa.array(own.decode(np.concatenate(docs or [np.zeros(0, np.int32)]).astype(np.int32), ends), pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), made], [*names, bytes_col])
 
     return df.mapInArrow(run, schema)
 

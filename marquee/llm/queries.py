@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 import corpus_pipeline
-from marquee.llm.bpe import bpe_decode, bpe_encode, ids_digest, load_ranks
+from marquee.llm.bpe import bpe_encode, ids_digest, load_ranks
 from marquee.llm.chat import format_conversations, read_back
 from marquee.llm.common import scratch, table
 from marquee.llm.decontaminate import find_leaks
@@ -75,9 +75,8 @@ def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
-    encoded = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, pattern)
-    decoded = bpe_decode(encoded.drop("text"), ranks, pattern)
-    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+    both = bpe_encode(table(spark, folder, "documents").select("doc_id", "text"), ranks, pattern, bytes_col="bytes")
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_lm_score, op3_decontamination, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe)}

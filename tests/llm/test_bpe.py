@@ -28,7 +28,7 @@ def test_random_texts(ranks, plain):
     flat, ends = own.encode(texts)
     for k, text in enumerate(texts):
         assert flat[ends[k] : ends[k + 1]].tolist() == plain(text), text[:50]
-    decoded = own.decode([flat[ends[k] : ends[k + 1]] for k in range(len(texts))])
+    decoded = own.decode(flat, ends)
     assert [d.decode() for d in decoded] == texts
 
 
@@ -52,6 +52,8 @@ def test_rows(spark, ranks, plain):
     df, rows = odd_documents(spark)
     out = bpe_decode(bpe_encode(df, ranks, PATTERN), ranks, PATTERN).collect()
     assert sorted((repr((r["doc_id"], r["ids"], bytes(r["bytes"]).decode())) for r in out)) == sorted(repr((r[0], plain(r[1] or ""), r[1] or "")) for r in rows)
+    both = bpe_encode(df, ranks, PATTERN, bytes_col="bytes").select("doc_id", "ids", "bytes").collect()
+    assert sorted((repr((r["doc_id"], r["ids"], bytes(r["bytes"]).decode())) for r in both)) == sorted(repr((r[0], plain(r[1] or ""), r[1] or "")) for r in rows)
 
 
 def test_empty_table_and_unknown_ids(spark, ranks):
