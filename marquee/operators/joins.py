@@ -13,6 +13,7 @@ from marquee.functions.tokens import ngrams
 from marquee.session import cut_lineage, fits_broadcast
 
 MAX_TITLES_PER_DAY = 100  # looked for in every post; more are found by their words
+SALT_ROWS = 1_000_000  # rows of one key that a task joins
 
 
 def salted_join(
@@ -21,17 +22,23 @@ def salted_join(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "inner",
-    salts: int = 16,
+    part_rows: int = SALT_ROWS,
 ) -> DataFrame:
-    """Shuffle join whose hot keys are split over ``salts`` tasks.
+    """Shuffle join whose hot keys are split, each over as many tasks as its own rows need.
 
-    Rows of ``large`` get a salt from their ``spread`` columns; each row of ``small`` is repeated once
-    per salt, so every pair still meets exactly once.
+    The rows of ``large`` are counted by key (reduced before the shuffle); a key of more than ``part_rows`` rows
+    gets a salt for each such part. There are at most rows / ``part_rows`` hot keys, so their table is
+    small. Rows of ``large`` take one of their key's salts by their ``spread`` columns; rows of ``small`` are
+    repeated for the salts of their own key only, so every pair still meets exactly once.
     """
-    salt = "_salt"
-    left = large.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, salt], how).drop(salt)
+    salt, salts = "_salt", "_salts"
+    hot = large.groupBy(*keys).count().filter(F.col("count") > part_rows)
+    hot = cut_lineage(hot.select(*keys, F.ceil(F.col("count") / part_rows).cast("int").alias(salts)))
+    side = F.broadcast(hot) if fits_broadcast(hot) else hot
+    parts = F.coalesce(salts, F.lit(1))
+    left = large.join(side, list(keys), "left").withColumn(salt, F.pmod(F.xxhash64(*spread), parts).cast("int"))
+    right = small.join(side, list(keys), "left").withColumn(salt, F.explode(F.sequence(F.lit(0), parts - 1)))
+    return left.drop(salts).join(right.drop(salts), [*keys, salt], how).drop(salt)
 
 
 def distinct_ids(df: DataFrame, col: str = "tweet_id") -> DataFrame:
@@ -77,7 +84,7 @@ def mention_join(
     """Each post with every title of its day that it holds as a phrase of whole words.
 
     ``titles`` has one row per (day, title); ``posts`` must have no title column. The cleaned title is
-    searched. A few titles a day, measured, are broadcast and looked for in each post, so posts are not
+    searched. Posts that share an id, or have none, are each taken for themselves. A few titles a day, measured, are broadcast and looked for in each post, so posts are not
     shuffled and a hot title costs nothing extra. More are found by an equi-join: the runs of words of a
     post, of the lengths that titles have, against the titles. Only ids and hashes are shuffled, salted,
     and only real mentions (but for hash collisions, which a last check removes) come out, however many
@@ -106,11 +113,11 @@ def mention_join(
     post_runs = posts.select(post_key, day, F.explode(runs).alias("_words")).select(
         post_key, day, F.xxhash64("_words").alias("_run")
     )
-    found = salted_join(post_runs, keyed, [day, "_run"], [post_key]).drop("_run")
+    found = salted_join(post_runs, keyed, [day, "_run"], [post_key]).select(post_key, day, title, "_phrase").distinct()
+    found = found.select(F.col(post_key).alias("_key"), F.col(day).alias("_day"), title, "_phrase")
     return (
-        posts.join(found, [post_key, day])
+        posts.join(found, F.col(post_key).eqNullSafe(F.col("_key")) & (F.col(day) == F.col("_day")))
         .filter(F.contains(F.coalesce(words(text), F.lit("")), F.col("_phrase")))
-        .drop("_phrase")
         .select(day, *[c for c in posts.columns if c != day], title)
     )
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from marquee.session import cut_lineage
 
-# Spark prunes each map task to n rows per group before the shuffle up to this n
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
+# The first rows of each part of a group are picked before those of the group, in so many parts
+PARTS = 64
+MOST_IN_ONE_TASK = 1_000_000
 
 _ID_BITS = 33  # monotonically_increasing_id() = partition << 33 | row within partition
 
@@ -57,13 +57,20 @@ def top_n(
     n: int,
     name: str | None = None,
 ) -> DataFrame:
-    """First ``n`` rows of each group by ``order``; keeps the row number when ``name`` is given."""
-    number = name or "_row_number"
-    if n <= GROUP_LIMIT:
-        window = Window.partitionBy(*within).orderBy(*order)
-        numbered = df.withColumn(number, F.row_number().over(window))
+    """First ``n`` rows of each group by ``order``; keeps the row number (int) when ``name`` is given.
+
+    A group is cut into ``PARTS`` parts by a hash of its rows, and the first ``n`` of each part are picked before
+    the first ``n`` of those, so a huge group is worked on by many tasks and one sees ``PARTS * n`` of its rows
+    at most. When that is still many (``n`` of several thousand), rows are numbered by a distributed sort instead.
+    """
+    number, part = name or "_row_number", "_part"
+    if n * PARTS <= MOST_IN_ONE_TASK:
+        window = Window.orderBy(*order)
+        dealt = df.withColumn(part, F.pmod(F.xxhash64(*df.columns), F.lit(PARTS)))
+        first = dealt.withColumn(number, F.row_number().over(window.partitionBy(*within, part))).filter(F.col(number) <= n)
+        numbered = first.drop(part, number).withColumn(number, F.row_number().over(window.partitionBy(*within)))
     else:
-        numbered = ranked(df, order, within, number)
+        numbered = ranked(df, order, within, number).withColumn(number, F.col(number).cast("int"))
     kept = numbered.filter(F.col(number) <= n)
     return kept if name else kept.drop(number)
 
@@ -73,8 +80,7 @@ def top_n_per_day(
 ) -> DataFrame:
     """The n best titles of each day by gross, numbered from 1 in ``rank``."""
     columns = [c for c in chart.columns if c != "rank"]
-    ranked_rows = top_n(chart.select(*columns), [day], [F.desc(gross), F.asc(title)], n, "rank")
-    return ranked_rows.withColumn("rank", F.col("rank").cast("int"))
+    return top_n(chart.select(*columns), [day], [F.desc(gross), F.asc(title)], n, "rank")
 
 
 def recent_n_per_title(

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.entities import let
 from marquee.functions.tokens import ENGLISH_STOPWORDS, casual_tokenize, clean_tokens, pos_to_wordnet
 from marquee.operators.joins import dictionary_join
 from marquee.session import cut_lineage
 
-MAX_WORD = 24  # longest word a hashtag is split into
+MAX_WORD = 24  # default for the longest piece a hashtag is split into
 
 
 def token_rows(df: DataFrame, key: Sequence[str], tokens: str = "tokens") -> DataFrame:
@@ -25,15 +26,22 @@ def token_rows(df: DataFrame, key: Sequence[str], tokens: str = "tokens") -> Dat
     return rows.filter(F.col("pos").isNotNull())
 
 
+def _one_per_key(table: DataFrame, key: Sequence[str], value: str) -> DataFrame:
+    """One ``value`` a key: the most frequent, by a count column ``n`` or the number of rows; of equal ones the least."""
+    n = F.sum("n") if "n" in table.columns else F.count(F.lit(1))
+    counted = table.groupBy(*key, value).agg(n.alias("n"))
+    return cut_lineage(counted.groupBy(*key).agg(F.min_by(value, F.struct(-F.col("n"), value)).alias(value)))
+
+
 def pos_lookup(rows: DataFrame, lexicon: DataFrame, spread: Sequence[str]) -> DataFrame:
-    """Add ``tag``: the most frequent tag of the token by ``lexicon(token, tag)``, else ``NN``."""
-    tagged = dictionary_join(rows, lexicon.select("token", "tag"), ["token"], spread)
+    """Add ``tag``: the most frequent tag of the token by ``lexicon(token, tag[, n])``, else ``NN``."""
+    tagged = dictionary_join(rows, _one_per_key(lexicon, ["token"], "tag"), ["token"], spread)
     return tagged.withColumn("tag", F.coalesce("tag", F.lit("NN")))
 
 
 def lemma_lookup(rows: DataFrame, lemmas: DataFrame, spread: Sequence[str]) -> DataFrame:
-    """Add ``lemma``: by ``lemmas(token, wordclass, lemma)``, else the token itself."""
-    known = lemmas.select("token", "wordclass", "lemma")
+    """Add ``lemma``: the most frequent one by ``lemmas(token, wordclass, lemma[, n])``, else the token itself."""
+    known = _one_per_key(lemmas, ["token", "wordclass"], "lemma")
     found = dictionary_join(rows, known, ["token", "wordclass"], spread)
     return found.withColumn("lemma", F.coalesce("lemma", "token"))
 
@@ -47,17 +55,17 @@ def lemmatize(
 ) -> DataFrame:
     """Replace each token by its lemma, given its word class.
 
-    Documents are hashed by key once, before they are exploded; tagging, lemma lookup and the regrouping
-    then keep that partitioning when the dictionaries are small enough to broadcast, so exploded tokens
-    are not shuffled. The positions restore the order.
+    Every row gets a number of its own, written once, so rows that share ``key`` stay apart. Rows are hashed by that
+    number before they are exploded; tagging, lemma lookup and the regrouping then keep that partitioning
+    when the dictionaries are small enough to broadcast, so exploded tokens are not shuffled. The positions
+    restore the order.
     """
-    key = list(key)
-    rest = [c for c in df.columns if c not in (*key, tokens)]
-    docs = df.repartition(*key)
+    rest = [c for c in df.columns if c != tokens]
+    docs = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id())).repartition("_row")
     rows = docs.select(
-        *key, F.col(tokens).isNull().alias("_absent"), F.posexplode_outer(tokens).alias("pos", "token")
+        "_row", F.col(tokens).isNull().alias("_absent"), F.posexplode_outer(tokens).alias("pos", "token")
     )
-    spread = [*key, "pos"]
+    spread = ["_row", "pos"]
     if lexicon is not None:
         rows = pos_lookup(rows, lexicon, spread)
         rows = rows.withColumn("wordclass", pos_to_wordnet("tag"))
@@ -67,13 +75,12 @@ def lemmatize(
     placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "lemma"))
     in_order = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["lemma"])
     lemmatized = (
-        rows.groupBy(*key, "_absent")
+        rows.groupBy("_row", "_absent")
         .agg(in_order.alias("_lemmas"))
-        .select(*key, F.when(~F.col("_absent"), F.col("_lemmas")).alias(tokens))
+        .select("_row", F.when(~F.col("_absent"), F.col("_lemmas")).alias(tokens))
     )
-    if rest:  # the other columns come back by key; the tokens are not made again for that
-        lemmatized = docs.select(*key, *rest).join(lemmatized, key)
-    return lemmatized.select(*df.columns)
+    # the other columns come back by number; the tokens are not made again for that
+    return docs.select("_row", *rest).join(lemmatized, "_row").select(*df.columns)
 
 
 def tokenize_posts(
@@ -101,76 +108,54 @@ def _tag_text(element: Column) -> Column:
     return F.regexp_replace(F.lower(element), "[^a-z0-9]", "")
 
 
-def _best_split(tag: Column, scores: Column, total: Column) -> Column:
+def _best_split(tag: str, spans: list[dict], total: float) -> list[str]:
     """Words of the most probable split of ``tag``.
 
-    ``scores`` maps "start:end" of the pieces that are words to log10 of their share; a piece that is no
-    word costs more the longer it is. One step per end position keeps the best score and last start.
+    ``spans`` are the pieces that are words (start, end, score: log10 of their share). A piece that is no word, of up to the
+    longest piece's length, costs more the longer it is. Keeps the best score and last start of every end.
     """
-    unknown = F.lit(1.0) - F.log10(total)
-
-    def step(best: Column, end: Column) -> Column:
-        starts = F.sequence(F.greatest(end - F.lit(MAX_WORD), F.lit(0)), end - F.lit(1))
-        options = F.transform(
-            starts,
-            lambda start: F.struct(
-                (
-                    F.get(best, start)["score"]
-                    + F.coalesce(
-                        F.element_at(scores, F.concat_ws(":", start, end)),
-                        unknown - (end - start).cast("double"),
-                    )
-                ).alias("score"),
-                start.alias("start"),
-            ),
-        )
-        return F.concat(best, F.array(F.array_max(options)))
-
-    nothing = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start")))
-    ends = F.when(F.length(tag) > 0, F.sequence(F.lit(1), F.length(tag))).otherwise(F.array().cast("array<int>"))
+    longest, scores = spans[0]["limit"], {(s["start"], s["end"]): s["score"] for s in spans if s["score"] is not None}
+    unknown = 1.0 - math.log10(total)
+    best = [(0.0, 0)]
+    for end in range(1, len(tag) + 1):
+        best.append(max((best[start][0] + scores.get((start, end), unknown - (end - start)), start) for start in range(max(0, end - longest), end)))
+    words, end = [], len(tag)
+    while end:
+        start = best[end][1]
+        words.append(tag[start:end])
+        end = start
+    return words[::-1]
 
-    def back(best: Column) -> Column:
-        start = F.struct(F.length(tag).alias("end"), F.array().cast("array<string>").alias("words"))
 
-        def cut(state: Column, end: Column) -> Column:
-            first = F.get(best, end)["start"]
-            word = F.substring(tag, first + F.lit(1), end - first)
-            here = F.struct(first.alias("end"), F.concat(F.array(word), state["words"]).alias("words"))
-            return F.when(state["end"] == end, here).otherwise(state)
+def _split_all(tags: pd.Series, spans: pd.Series, total: pd.Series) -> pd.Series:
+    return pd.Series([_best_split(t, s, n) for t, s, n in zip(tags, spans, total, strict=True)], dtype=object)
 
-        return F.aggregate(F.reverse(ends), start, cut)["words"]
 
-    return let(F.aggregate(ends, nothing, step), back)
+def hashtag_words(tags: DataFrame, word_counts: DataFrame, max_word: int = MAX_WORD) -> DataFrame:
+    """``tag, words`` for distinct ``tag`` texts, from ``word_counts(word, n)``.
 
-
-def hashtag_words(tags: DataFrame, word_counts: DataFrame) -> DataFrame:
-    """``tag, words`` for distinct ``tag`` texts, from ``word_counts(word, n)``."""
+    Pieces of up to ``max_word`` characters are joined with the words; the best split of a tag then takes time in
+    proportion to its length.
+    """
     size = word_counts.agg(F.sum("n").cast("double")).scalar()
     logs = word_counts.select("word", F.log10(F.col("n") / size).alias("score"))
     spans = F.flatten(
         F.transform(
             F.sequence(F.lit(0), F.length("tag") - F.lit(1)),
             lambda start: F.transform(
-                F.sequence(start + F.lit(1), F.least(start + F.lit(MAX_WORD), F.length("tag"))),
-                lambda end: F.struct(
-                    F.concat_ws(":", start, end).alias("span"),
-                    F.substring(F.col("tag"), start + F.lit(1), end - start).alias("word"),
-                ),
+                F.sequence(start + F.lit(1), F.least(start + F.lit(max_word), F.length("tag"))),
+                lambda end: F.struct(start.alias("start"), end.alias("end"), F.substring(F.col("tag"), start + F.lit(1), end - start).alias("word")),
             ),
         )
     )
     pieces = tags.filter(F.length("tag") > 0).select("tag", F.inline(spans))
-    known = dictionary_join(pieces, logs, ["word"], ["tag", "span"]).filter(F.col("score").isNotNull())
-    scores = known.groupBy("tag").agg(
-        F.map_from_entries(F.collect_list(F.struct("span", "score"))).alias("scores")
-    )
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    return (
-        tags.join(scores, "tag", "left")
-        .withColumn("scores", F.coalesce("scores", empty))
-        .withColumn("total", size)
-        .select("tag", _best_split(F.col("tag"), F.col("scores"), F.col("total")).alias("words"))
-    )
+    known = dictionary_join(pieces, logs, ["word"], ["tag", "start", "end"])
+    # one piece without a score keeps a tag that holds no word
+    kept = known.filter(F.col("score").isNotNull() | ((F.col("start") == 0) & (F.col("end") == 1)))
+    found = kept.groupBy("tag").agg(F.collect_list(F.struct("start", "end", "score", F.lit(max_word).alias("limit"))).alias("spans"))
+    split = F.pandas_udf(_split_all, "array<string>")("tag", "spans", F.coalesce(size, F.lit(1.0)))
+    empty = tags.filter(F.length("tag") == 0).select("tag", F.array().cast("array<string>").alias("words"))
+    return found.select("tag", split.alias("words")).unionByName(empty)
 
 
 def segment_hashtags(
@@ -179,6 +164,7 @@ def segment_hashtags(
     *,
     key: Sequence[str],
     text: str = "tweet_text",
+    max_word: int = MAX_WORD,
 ) -> DataFrame:
     """Replace each space-separated element that holds ``#`` by its words; the rest stays as it is.
 
@@ -193,8 +179,8 @@ def segment_hashtags(
         F.explode(
             F.array_distinct(F.transform(F.filter(elements, lambda e: F.contains(e, F.lit("#"))), _tag_text))
         ).alias("tag"),
-    )
-    split = cut_lineage(hashtag_words(uses.select("tag").distinct(), word_counts))
+    ).distinct()
+    split = cut_lineage(hashtag_words(uses.select("tag").distinct(), word_counts, max_word))
     replaced = (
         dictionary_join(uses, split, ["tag"], key)
         .groupBy(*key)

@@ -299,3 +299,24 @@ def test_every_kind_is_found(spark):
 def test_spans_in_order_of_place_then_kind(spark):
     texts = ["a www.x.com/:) 1,234.5 (: b", "no spans here"]
     assert column(spark, texts, T.protected_spans) == [["www.x.com/:)", "1,234", ".", "(:"], []]
+
+
+def test_a_token_with_several_tags_stays_one_token(spark):
+    docs = spark.createDataFrame([("t", ["run", "fast"]), ("t", ["run", "fast"]), ("u", []), ("v", None)], "k string, tokens array<string>")
+    lexicon = spark.createDataFrame([("run", "NN", 2), ("run", "VB", 5), ("run", "VB", 1), ("fast", "RB", 1), ("fast", "JJ", 1)], "token string, tag string, n int")
+    lemmas = spark.createDataFrame([("run", "v", "go"), ("run", "v", "run"), ("run", "v", "go"), ("fast", "a", "quick")], "token string, wordclass string, lemma string")
+    got = X.lemmatize(docs, ["k"], lemmas, lexicon)
+    assert sorted(map(str, (r.tokens for r in got.collect()))) == sorted(map(str, [["go", "quick"], ["go", "quick"], [], None]))
+    tagged = {(r.token, r.tag) for r in X.pos_lookup(X.token_rows(docs, ["k"]), lexicon, ["k", "pos"]).collect()}
+    assert tagged == {("run", "VB"), ("fast", "JJ")}
+
+
+def test_long_hashtags_take_time_in_proportion(spark):
+    words = spark.createDataFrame([("good", 10), ("movie", 5)], "word string, n long")
+    rows = [(1, "#" + "goodmovie" * 1200), (1, "#" + "goodmovie" * 1200), (2, "#" + "q" * 5000), (3, "#"), (4, "x #goodmovie! y")]
+    posts = spark.createDataFrame(rows, "id int, tweet_text string")
+    start = time.monotonic()
+    got = sorted((r.id, r.tweet_text) for r in X.segment_hashtags(posts, words, key=["id"]).collect())
+    assert time.monotonic() - start < 15
+    assert got[0] == got[1] == (1, " ".join(["good movie"] * 1200)) and got[2][1].replace(" ", "") == "q" * 5000
+    assert got[4] == (4, "x good movie y")
