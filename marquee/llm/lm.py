@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
 from marquee.llm.common import scale_parts, scratch, slices, text_bytes, words
 
-CHUNK_BYTES = 32_000_000
+CHUNK_BYTES = 12_000_000
 BUCKET_BYTES = 8_000_000  # text for each bucket of words
 END, STOP = 0x0A, 0x20  # symbols that no word holds: end of the text, end of a word
 # Bit predictors of the symbols of a word after its first, by context: one, three and five symbols before, and all before in the
@@ -115,7 +115,8 @@ def _chunks(id_type: pa.DataType, buckets: int):
         for k, batch in enumerate(slices(batches, "text", CHUNK_BYTES)):
             numbers = _Numbers()
             rows, sizes, kinds = [], [], []
-            for text in batch.column("text").to_pylist():
+            for value in batch.column("text"):
+                text = value.as_py()
                 found = words(text)
                 rows.append(np.array(list(map(numbers.__getitem__, found)), np.int32))
                 kinds.append(_class_of(found))
@@ -562,7 +563,7 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
     4. Prices go back to the chunks. There the frequencies of classes of texts, and then the text's own words so
        far, are mixed in online, gated by how well each did on the text before the token.
 
-    A chunk holds about 32 MB of text, and a word one entry a chunk, however frequent, so neither chunks nor buckets
+    A chunk holds about 12 MB of text, and a word one entry a chunk, however frequent, so neither chunks nor buckets
     have hot ones. Null and empty texts have the end only. Null ids and repeated rows are rows like others; other
     columns are not looked at; a null ``train`` counts as held out. An empty table gives an empty result; without
     training rows the scores come from empty counts.
