@@ -33,12 +33,13 @@ def annotation_queue(scored: DataFrame, threshold: float = THRESHOLD) -> DataFra
     return queue_position(unsure(scored, threshold)).withColumn("method", F.lit("manual-annotation"))
 
 
-def label_by_hand(
-    scored: DataFrame, annotations: DataFrame, threshold: float = THRESHOLD
-) -> DataFrame:
-    """Answered rows of the queue, ready for the labeled table."""
-    labeled = drop_unlabeled(apply_annotations(annotation_queue(scored, threshold), annotations))
-    return labeled.drop("pos")
+def label_by_hand(queue: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Answered rows of a published queue, ready for the labeled table.
+
+    Answers name places of that very queue; it is read, never worked out anew, so later posts, models or thresholds
+    can't move a label to another post.
+    """
+    return drop_unlabeled(apply_annotations(queue, annotations)).drop("pos")
 
 
 def update_validation(

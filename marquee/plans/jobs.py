@@ -18,10 +18,11 @@ from marquee.functions.scalars import (
     search_filter,
     year_of,
 )
-from marquee.operators.aggregates import high_water_mark, title_metrics
+from marquee.operators.aggregates import class_counts, high_water_mark, title_metrics
 from marquee.operators.joins import mention_join, metadata_lookup, unlabeled_posts
 from marquee.operators.labeling import (
     THRESHOLD,
+    annotation_queue,
     label_by_hand,
     labeled_rows,
     self_train,
@@ -33,16 +34,18 @@ from marquee.operators.models import (
     retrain,
     score,
     text_model,
+    tokenizer_of,
     tune,
 )
 from marquee.operators.ranking import recent_n_per_title, sample_per_title
-from marquee.schemas import BOXOFFICE, LABELED, METRICS, TABLES, TRAINING, TWEETS, VALIDATION
+from marquee.schemas import BOXOFFICE, CLASSES, LABELED, METRICS, QUARANTINE, QUEUE, TABLES, TRAINING, TWEETS, VALIDATION
 from marquee.session import cut_lineage
 from marquee.sources.readers import (
     chart_rows,
     extract_chart,
     flatten_posts,
     normalize_metadata,
+    quarantined,
     read_table,
 )
 from marquee.sources.sinks import (
@@ -94,6 +97,10 @@ class NoChartError(RuntimeError):
     """There is no usable chart for the day."""
 
 
+class OutdatedQueueError(ValueError):
+    """Answers for a session that is not published."""
+
+
 # --- Gathering ----------------------------------------------------------------------------------
 
 
@@ -149,15 +156,27 @@ def ingest_day(
     first_date: str = FIRST_DATE,
     titles_per_day: int = TITLES_PER_DAY,
     posts_per_title: int = POSTS_PER_TITLE,
+    skip_unreadable: bool = False,
 ) -> Date:
     """Gather the next day from staged pages (gross_date, html), posts and metadata; returns the day.
 
-    Posts and metadata are appended before the chart. The chart is the water mark, so a run that breaks
-    off is simply run again: rows that are there already are skipped.
+    Chart rows that can't be read are kept in the quarantine table and hold the day: it is not gathered until its page
+    is mended, or ``skip_unreadable`` says to go on without them. Posts and metadata are appended before the
+    chart. The chart is the water mark, so a run that breaks off is simply run again: rows that are there
+    already are skipped.
     """
     day = next_date(store, first_date)
     page = pages.filter(F.col("gross_date") == F.lit(day))
-    chart = cut_lineage(chart_rows(extract_chart(page, titles_per_day)))
+    extracted = cut_lineage(extract_chart(page, titles_per_day))
+    chart, unreadable = chart_rows(extracted), quarantined(extracted)
+    known = store.read(QUARANTINE).filter(F.col("gross_date") == F.lit(day))
+    fresh = cut_lineage(unreadable.select(*QUARANTINE.columns).exceptAll(known))
+    lost = unreadable.count()
+    if lost:
+        if not fresh.isEmpty():
+            store.append(fresh, QUARANTINE)
+        if not skip_unreadable:
+            raise NoChartError(f"{lost} chart rows of {day} can't be read; they are in the quarantine table")
     if chart.isEmpty():
         raise NoChartError(f"no usable chart for {day}")
     store.append(daily_posts(chart, posts, day, posts_per_title), TWEETS, "skip")
@@ -190,6 +209,13 @@ def daily_metrics(store: Store, model: PipelineModel, day) -> int:
     return store.append(metrics_rows(score(model, pull_posts(store, day))), METRICS, "skip")
 
 
+def missing_days(store: Store) -> list[Date]:
+    """Charted days without metrics, oldest first: those whose run broke after gathering, and the newest."""
+    charted = store.read(BOXOFFICE, ["gross_date"]).distinct()
+    made = store.read(METRICS, ["pred_date"]).distinct()
+    return [r[0] for r in charted.join(made, F.col("gross_date") == F.col("pred_date"), "left_anti").orderBy("gross_date").collect()]
+
+
 # --- Labelling and training ---------------------------------------------------------------------
 
 
@@ -213,14 +239,36 @@ def init_model(store: Store, train: DataFrame, version: str, grid=GRID, folds: i
     return tuned
 
 
+def publish_queue(store: Store, model: PipelineModel, day, count: int = LABELS_PER_TITLE, threshold: float = THRESHOLD) -> str:
+    """Write the posts of a day that the model is unsure of, numbered, for annotators; returns the session.
+
+    Answers (pos, attempt, answer) of the session go to ``update_model``. A session that is there is kept as it is.
+    """
+    session = str(day)
+    scored = score(model, pull_posts(store, day, count))
+    queue = annotation_queue(cut_lineage(scored), threshold).withColumn("session", F.lit(session))
+    if store.read(QUEUE, ["session"]).filter(F.col("session") == session).isEmpty():
+        store.append(queue, QUEUE)
+    return session
+
+
+def published(store: Store, session: str) -> DataFrame:
+    """The queue of a session; fails when there is none."""
+    queue = store.read(QUEUE).filter(F.col("session") == session).drop("session")
+    if queue.isEmpty():
+        raise OutdatedQueueError(f"no queue is published for session {session}")
+    return queue
+
+
 @dataclass(frozen=True)
 class Update:
-    """A refitted model and the validation accuracy before and after."""
+    """A refitted model, the validation accuracy before and after, and rows added by class for each method."""
 
     model: PipelineModel
     old_accuracy: float | None
     new_accuracy: float | None
     labeled: int
+    counts: dict[str, dict[int, int]]
 
 
 def update_model(
@@ -231,25 +279,30 @@ def update_model(
     annotations: DataFrame | None = None,
     count: int = LABELS_PER_TITLE,
     threshold: float = THRESHOLD,
+    session: str | None = None,
 ) -> Update | None:
     """Label some of the day's posts, refit, and compare on the validation set.
 
-    None when the day has no unlabelled posts: the model in use stays.
+    ``annotations`` answer the queue published for ``session`` (the day's by default). The refitted model keeps the
+    tokenizing stages of the one in use. None when the day has no unlabelled posts and there are no answers: the
+    model in use stays.
     """
     scored = cut_lineage(score(model, pull_posts(store, day, count)))
-    if scored.isEmpty():
+    if scored.isEmpty() and annotations is None:
         return None
     parts = [self_train(scored, threshold)]
     if annotations is not None:
-        parts.append(label_by_hand(scored, annotations, threshold))
-    labeled = store.append(labeled_rows(*parts), LABELED, "skip")
-    refitted = retrain(text_model(**params), store.read(TRAINING), store.read(LABELED))
+        parts.append(label_by_hand(published(store, session or str(day)), annotations))
+    rows = cut_lineage(labeled_rows(*parts))
+    counts = {r["method"]: dict(zip(CLASSES, r[1:], strict=True)) for r in class_counts(rows, ["method"]).collect()}
+    labeled = store.append(rows, LABELED, "skip")
+    refitted = retrain(text_model(tokenizer=tokenizer_of(model), **params), store.read(TRAINING), store.read(LABELED))
     validation = store.read(VALIDATION)
     scores = {
         r["model"]: r["accuracy"]
         for r in compare_before_after(score(model, validation), score(refitted, validation)).collect()
     }
-    return Update(refitted, scores.get("old"), scores.get("new"), labeled)
+    return Update(refitted, scores.get("old"), scores.get("new"), labeled, counts)
 
 
 def daily_backend(
@@ -260,11 +313,16 @@ def daily_backend(
     annotations: DataFrame | None = None,
     **options,
 ) -> Date:
-    """One day: gather, metrics with the model in use, then label, refit and store."""
+    """One day: gather, metrics with the model in use, then label, refit and store.
+
+    Metrics are made for every charted day that has none, so a day whose run broke off after gathering is made up.
+    The queue of unsure posts is published before labelling; ``annotations`` answer the day's queue.
+    """
     day = ingest_day(store, pages, posts, metadata, **options)
     model, params = load_model(store.spark, store.model_path)
-    daily_metrics(store, model, day)
+    for missing in missing_days(store):
+        daily_metrics(store, model, missing)
+    publish_queue(store, model, day)
     update = update_model(store, model, params, day, annotations)
     save_model(update.model if update else None, store.model_path, str(day), params)
     return day
-

@@ -98,7 +98,26 @@ METRICS = Table(
 
 TRAINING = Table("training", struct("tweet_text string, label int"))
 
-TABLES = {t.name: t for t in (BOXOFFICE, MOVIES, TWEETS, VALIDATION, LABELED, METRICS, TRAINING)}
+# What annotators see: the posts of one session, numbered. ``session`` names the day and model it was made with.
+QUEUE = Table(
+    "queue",
+    struct(
+        "session string, pos long, title string, tweet_id long, tweet_text string, "
+        "pr_neg double, pr_neu double, pr_pos double, method string"
+    ),
+    ("session", "pos"),
+)
+
+# Chart rows that could not be read, by day; a day with such rows is not gathered.
+QUARANTINE = Table(
+    "quarantine",
+    struct(
+        "gross_date date, rank int, title string, daily_gross long, todate_gross long, "
+        "release_day int, theaters int, problem string"
+    ),
+)
+
+TABLES = {t.name: t for t in (BOXOFFICE, MOVIES, TWEETS, VALIDATION, LABELED, METRICS, TRAINING, QUEUE, QUARANTINE)}
 
 AUTHOR = struct(
     "id long, name string, verified boolean, followers_count long, friends_count long, "

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee.operators.aggregates import title_metrics
 from marquee.operators.models import fit_text_model
 from marquee.plans import jobs
-from marquee.schemas import BOXOFFICE, LABELED, METRICS, MOVIES, POST, TRAINING, TWEETS, VALIDATION
+from marquee.schemas import BOXOFFICE, LABELED, METRICS, MOVIES, POST, QUARANTINE, QUEUE, TRAINING, TWEETS, VALIDATION
 from marquee.sources import sinks
 from marquee.streaming.metrics import stream_metrics
 from tests.test_sources_and_sinks import chart_page, chart_row
@@ -71,7 +71,13 @@ def test_a_day_is_gathered(store, staged):
     assert set(movies) == {"The Fog: Part 2", "Up"}
     assert (movies["The Fog: Part 2"].imdbrating, movies["Up"].runtime, movies["Up"].search_date) == (6.5, 96, DAY)
 
-    assert jobs.ingest_day(store, *staged) == DAY + dt.timedelta(1)
+    for _ in range(2):  # an unreadable row holds the day, and is kept once
+        with pytest.raises(jobs.NoChartError, match="quarantine"):
+            jobs.ingest_day(store, *staged)
+    held = store.read(QUARANTINE).collect()
+    assert [(r["rank"], r.gross_date, r.problem) for r in held] == [(2, DAY + dt.timedelta(1), "too few cells")]
+    assert jobs.next_date(store) == DAY + dt.timedelta(1)
+    assert jobs.ingest_day(store, *staged, skip_unreadable=True) == DAY + dt.timedelta(1)
     assert store.read(BOXOFFICE).count() == 3 and store.read(TWEETS).count() == 5
     with pytest.raises(jobs.NoChartError):
         jobs.ingest_day(store, *staged)
@@ -138,13 +144,21 @@ def test_update(store, model):
     answers = spark.createDataFrame([(i, 0, "1") for i in range(4)] + [(4, 0, "s"), (5, 0, "q")], "pos long, attempt int, answer string")
     jobs.init_validation(store, DAY, answers, count=3)
     assert store.read(VALIDATION).count() == 4
-    update = jobs.update_model(store, model, {"C": 10.0}, DAY, answers, count=10, threshold=0.7)
+    with pytest.raises(jobs.OutdatedQueueError):
+        jobs.update_model(store, model, {"C": 10.0}, DAY, answers, count=10, threshold=0.99)
+    assert jobs.publish_queue(store, model, DAY, count=10, threshold=0.99) == str(DAY)
+    seen = {r.pos: r.tweet_id for r in store.read(QUEUE).collect()}
+    answers = answers.filter(F.col("pos").isin(list(seen)))
+    update = jobs.update_model(store, model, {"C": 10.0}, DAY, answers, count=10, threshold=0.99)
+    assert sum(sum(c.values()) for c in update.counts.values()) == update.labeled
+    by_hand = {r.tweet_id for r in store.read(LABELED).collect() if r.method == "manual-annotation"}
+    assert by_hand == {seen[p] for p in seen if p < 4}
     labeled = store.read(LABELED).collect()
     assert update.labeled == len(labeled) > 0
     assert 0 <= update.old_accuracy <= 1 and 0 <= update.new_accuracy <= 1
     for r in labeled:
         best = max(r.pr_neg, r.pr_neu, r.pr_pos)
-        assert (best >= 0.7) == (r.method == "self-training")
+        assert (best >= 0.99) == (r.method == "self-training")
     assert jobs.update_model(store, model, {"C": 10.0}, DAY + dt.timedelta(1)) is None
     with pytest.raises(ValueError):
         jobs.init_validation(store, DAY, answers, method="other")
@@ -161,6 +175,42 @@ def test_the_whole_day(store, staged):
     assert params == tuned.params
 
 
+def test_broken_days_are_made_up(store, staged, monkeypatch):
+    spark = store.spark
+    grid = {"C": [1.0], "binary": [False], "max_features": [50], "max_n": [1]}
+    jobs.init_model(store, labelled_texts(spark), "2016-12-31", grid, folds=2)
+    pages, posts, metadata = staged
+    pages = pages.unionByName(pages.filter(F.col("gross_date") == F.lit(DAY)).withColumn("gross_date", F.lit(DAY + dt.timedelta(1))))
+    pages = pages.filter(~((F.col("gross_date") == F.lit(DAY + dt.timedelta(1))) & F.contains("html", F.lit("broken"))))
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "daily_metrics", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            jobs.daily_backend(store, pages, posts, metadata)
+    assert jobs.missing_days(store) == [DAY]
+    assert jobs.daily_backend(store, pages, posts, metadata) == DAY + dt.timedelta(1)
+    made = {r.pred_date for r in store.read(METRICS).collect()}
+    assert DAY in made
+
+
+def test_refits_keep_the_tokenizer(store, tmp_path):
+    from marquee.operators.models import PostTokenizer
+
+    spark = store.spark
+    lemmas = str(tmp_path / "lemmas")
+    spark.createDataFrame([("films", "n", "film"), ("film", "n", "film")], "token string, wordclass string, lemma string").write.parquet(lemmas)
+    tokenizer = PostTokenizer(lemmaPath=lemmas)
+    train = labelled_texts(spark)
+    store.replace(train, TRAINING)
+    fill_tweets(store, 30)
+    model = fit_text_model(train, C=10.0, tokenizer=tokenizer)
+    sinks.save_model(model, store.model_path, "1", {"C": 10.0})
+    loaded, params = sinks.load_model(spark, store.model_path)
+    store.append(spark.createDataFrame([("v", 900 + i, f"{WORDS[i]} films", i) for i in (-1, 0, 1)], VALIDATION.schema), VALIDATION)
+    update = jobs.update_model(store, loaded, params, DAY, count=10, threshold=0.5)
+    assert update.model.stages[0].getOrDefault("lemmaPath") == lemmas
+    assert "film" in update.model.stages[2].vocabulary and "films" not in update.model.stages[2].vocabulary
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = []
     for i in range(200):
