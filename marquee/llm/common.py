@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 from pathlib import Path
@@ -18,7 +20,7 @@ from marquee.session import ensure_checkpoint_dir
 ROOT = str(Path(__file__).resolve().parents[2])
 
 # Python works on slices of about this many characters of text at a time, whatever the batch Spark sends.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 
 
 def importable(spark: SparkSession) -> SparkSession:
@@ -54,12 +56,21 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_CHARS
             stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
+
+
+def release() -> None:
+    """Give memory that Python no longer uses back to the machine; a worker process lives on for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)) is not None:
+        trim(0)
 
 
 class WordHashes(dict):
     """Word -> 64-bit hash, kept for words already seen."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

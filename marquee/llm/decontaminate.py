@@ -45,7 +45,7 @@ def slot_of(token: str) -> int:
 class _Lexicon:
     """Words by number: hash with numbers and units replaced, hash with names replaced too, slot, and plain form."""
 
-    LIMIT = 500_000
+    LIMIT = 150_000
 
     def __init__(self) -> None:
         self.clear()
