@@ -21,9 +21,9 @@ from marquee.llm.common import slices
 
 # The recursion takes a step a merge, so a word of n bytes costs n * n rows; longer words go by a heap instead.
 LONGEST_RECURSIVE = 128
-WORDS_A_QUERY = 30_000
-KEPT_WORDS = 500_000
-ENCODE_CHARS = 2_000_000
+WORDS_A_QUERY = 15_000
+KEPT_WORDS = 300_000
+ENCODE_CHARS = 1_000_000
 
 # A step spreads the words that go on into token-position rows, joins adjacent pairs with the merges, takes each word's
 # pair of least rank (the leftmost of equal ones), and contracts it; a word without one is done.

@@ -21,13 +21,20 @@ ROOT = str(Path(__file__).resolve().parents[2])
 
 # Python works on slices of about this many characters of text at a time, whatever the batch Spark sends.
 SLICE_CHARS = 4_000_000
+ARROW_ROWS = 2_000
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package when the driver found it without PYTHONPATH."""
+    """Make a session ready for this package's Python tasks.
+
+    Workers can import the package when the driver found it without PYTHONPATH, and get ``ARROW_ROWS`` rows at a time:
+    texts are long, and a batch is held by the executor and by its worker at once.
+    """
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(p for p in (ROOT, env.get("PYTHONPATH", "")) if p)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark
 
 
@@ -59,6 +66,20 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, size: int = SLICE_CHARS
     release()
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of about ``size`` bytes of the text column, or one row."""
+    held, total = [], 0
+    for part in slices(batches, text, size):
+        bytes_ = pc.sum(pc.binary_length(part.column(text))).as_py() or 0
+        if held and total + bytes_ > size:
+            yield pa.concat_batches(held)
+            held, total = [], 0
+        held.append(part)
+        total += bytes_
+    if held:
+        yield pa.concat_batches(held)
+
+
 def release() -> None:
     """Give memory that Python no longer uses back to the machine; a worker process lives on for other tasks."""
     gc.collect()

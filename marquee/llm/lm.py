@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
-from marquee.llm.common import scale_parts, scratch, slices, text_bytes, words
+from marquee.llm.common import gathered, scale_parts, scratch, text_bytes, words
 
 CHUNK_BYTES = 12_000_000
 BUCKET_BYTES = 8_000_000  # text for each bucket of words
@@ -112,7 +112,7 @@ def _chunks(id_type: pa.DataType, buckets: int):
     types = _chunk_types(id_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, batch in enumerate(slices(batches, "text", CHUNK_BYTES)):
+        for k, batch in enumerate(gathered(batches, "text", CHUNK_BYTES)):
             numbers = _Numbers()
             rows, sizes, kinds = [], [], []
             for value in batch.column("text"):
