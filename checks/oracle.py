@@ -3,10 +3,20 @@
 from __future__ import annotations
 
 from checks.views import with_views
-from marquee.functions.tokens import ENGLISH_STOPWORDS, NEGATORS
 
 ORACLE: dict[str, str] = {}
 
+# The English stop words and the words that begin a negation, as they are documented
+STOPWORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its itself "
+    "they them their theirs themselves what which who whom this that these those am is are was were be been being have has had having "
+    "do does did doing a an the and but if or because as until while of at by for with about against between into through during before "
+    "after above below to from up down in out on off over under again further then once here there when where why how all any both each "
+    "few more most other some such no nor not only own same so than too very s t can will just don should now d ll m o re ve y ain aren "
+    "couldn didn doesn hadn hasn haven isn ma mightn mustn needn shan shouldn wasn weren won wouldn"
+).split()
+NEGATION = "never no nothing nowhere noone none not havent hasnt hadnt cant couldnt shouldnt wont wouldnt dont doesnt didnt isnt arent aint".split()
+
 
 def add(name: str, sql: str, *extra: str) -> None:
     ORACLE[name] = with_views(sql, *extra)
@@ -190,7 +200,34 @@ add(
 )
 add(
     "s10_csv_lines",
-    "SELECT concat('\"', CAST(gross_date AS VARCHAR), '\",', rank, ',\"', title, ' \"\"x\"\"\",', daily_gross) AS value FROM {boxoffice_fx}",
+    "SELECT concat('\"', CAST(gross_date AS VARCHAR), '\",', rank, ',\"', title, ' \"\"x\"\"\",', daily_gross, ',', CAST(daily_gross AS DOUBLE), ',', theaters / 10000.0) AS value FROM {boxoffice_fx}",
+)
+LABELED_TEXT = "{{tweets_fx}} t JOIN {{sentiment_fx}} s ON t.tweet_id = s.tweet_id"
+for name, extra, where in (
+    ("s1_read_labeled_text", "", ""),
+    ("s2_read_positional_tsv", "", ""),
+    ("s3_read_datasets", "t.lang AS dataset, ", " WHERE t.lang IN ('en', 'de')"),
+):
+    group = "GROUP BY ALL"
+    add(
+        name,
+        f"SELECT {extra}md5(translate(t.tweet_text, chr(10) || chr(13) || chr(9), '   ')) AS text_hash, CAST(s.label AS VARCHAR) AS label, "
+        f"count(*) AS n FROM {LABELED_TEXT.replace('{{', '{').replace('}}', '}')}{where} {group}",
+    )
+add(
+    "s9_replace_table",
+    f"SELECT title, CAST(tweet_date AS VARCHAR) AS pred_date, round(avg(CASE WHEN c = -1 THEN 1.0 ELSE 0.0 END), 6) AS pr_cls_neg, "
+    f"round(avg(pr_pos), 6) AS avg_pr_pos FROM (SELECT *, {ARGMAX} AS c FROM {{scores_fx}}) q GROUP BY title, tweet_date",
+)
+add(
+    "s11_create_tables",
+    "SELECT t.title, t.tweet_id, md5(t.tweet_text) AS text_hash, CAST(s.label AS BIGINT) AS label, 0::BIGINT AS before "
+    "FROM {tweets_fx} t JOIN {sentiment_fx} s ON t.tweet_id = s.tweet_id",
+)
+add(
+    "s12_append_metadata",
+    f"SELECT title, concat(CAST(year AS VARCHAR), '-01-01') AS search_date, {DIGITS.format(RUNTIME)} AS runtime, {DIGITS.format(VOTES)} AS imdbvotes "
+    "FROM (SELECT title, year, min(json) AS json FROM {movie_json_fx} GROUP BY title, year) q",
 )
 
 # --- Tokens ---
@@ -221,13 +258,13 @@ add(
 )
 SCOPE = f"""marked AS (SELECT tweet_id, pos, CASE WHEN negator > coalesce(mark, -1) AND NOT is_mark THEN concat(token, '_NEG') ELSE token END AS token
  FROM (SELECT *, max(CASE WHEN is_negator THEN pos END) OVER w AS negator, max(CASE WHEN is_mark THEN pos END) OVER w AS mark
-  FROM (SELECT *, token IN ({quoted(NEGATORS)}) OR contains(token, 'n''t') AS is_negator, token IN ('.', ':', ';', '!', '?') AS is_mark FROM tok) a
+  FROM (SELECT *, token IN ({quoted(NEGATION)}) OR contains(token, 'n''t') AS is_negator, token IN ('.', ':', ';', '!', '?') AS is_mark FROM tok) a
   WINDOW w AS (PARTITION BY tweet_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) b)"""
 UNMARKED = f"unmarked AS (SELECT tweet_id, pos, {sub('token', f'({PUNCT}{{{{2,}}}})_NEG', chr(92) + '1')} AS token FROM marked)"
 FILTERED = (
     f"filtered AS (SELECT * FROM unmarked WHERE NOT regexp_matches(token, '^({PUNCT}|[0-9,.]+|{W}{{{{1,2}}}})(_NEG)?$'))"
 )
-NO_STOPS = f"kept AS (SELECT * FROM filtered WHERE regexp_replace(token, '_NEG$', '') NOT IN ({quoted(ENGLISH_STOPWORDS)}))"
+NO_STOPS = f"kept AS (SELECT * FROM filtered WHERE regexp_replace(token, '_NEG$', '') NOT IN ({quoted(STOPWORDS)}))"
 add("t4_mark_negation", per_post("marked"), TOK, SCOPE)
 add("t5_unmark_emoticons", per_post("unmarked"), TOK, SCOPE, UNMARKED)
 add("t6_filter_tokens", per_post("filtered"), TOK, SCOPE, UNMARKED, FILTERED)
@@ -245,12 +282,12 @@ add(
 TERMS = "terms AS (SELECT token AS term, count(*) AS total, count(DISTINCT tweet_id) AS docs FROM tok GROUP BY token)"
 add(
     "t10_vocabulary",
-    "(SELECT term, total AS n, docs, FALSE AS is_binary FROM terms ORDER BY n DESC, term LIMIT 500) UNION ALL "
-    "(SELECT term, docs AS n, docs, TRUE AS is_binary FROM terms ORDER BY n DESC, term LIMIT 500)",
+    "(SELECT term, total AS n, docs, FALSE AS is_binary FROM terms ORDER BY n DESC, term LIMIT 20000) UNION ALL "
+    "(SELECT term, docs AS n, docs, TRUE AS is_binary FROM terms ORDER BY n DESC, term LIMIT 20000)",
     TOK,
     TERMS,
 )
-VOCAB = "vocab AS (SELECT * FROM terms ORDER BY total DESC, term LIMIT 2000)"
+VOCAB = "vocab AS (SELECT * FROM terms ORDER BY total DESC, term LIMIT 20000)"
 TF = "tf AS (SELECT tweet_id, token AS term, CAST(count(*) AS DOUBLE) AS w FROM tok WHERE token IN (SELECT term FROM vocab) GROUP BY 1, 2)"
 IDF = """weighted AS (SELECT tweet_id, t.term, w * (ln((1.0 + (SELECT count(*) FROM {tweets_fx})) / (1.0 + docs)) + 1) AS w
  FROM tf t JOIN vocab v ON t.term = v.term)"""
@@ -273,6 +310,22 @@ EDGE = braces(r"""[''"“”‘’«»{}()\[\]*&]+""")
 OFF = r"[:;.,\s]"
 LEFT = sub("tweet_text", rf"(^|{OFF})({EDGE})([a-zA-Z0-9])", r"\1\2 \3")
 add("t17_split_edge_punct", f"SELECT tweet_id, {sub(LEFT, rf'([a-zA-Z0-9])({EDGE})($|{OFF})', r'\1 \2\3')} AS tweet_text FROM {{tweets_fx}}")
+# What the fixture wrote around a post's text, as tokens
+CASE = "CAST(tweet_id % 9 AS INT)"
+HEADS = {0: "concat('RT @user', tweet_id, ' :')", 1: "concat('@user', tweet_id)", 4: "concat('i saw #', title, ' at 12:30 for $7.50 , 1,234 people !!!')", 5: "concat('loved ', upper(title), ' ...')"}
+TAILS = {1: "concat('#', title)", 2: "'it was not good at all . :-) yes'", 3: "'see https://t.example.com/a/b?x=1 & more'", 6: "'said Dr. O''Neil <3'"}
+
+
+def ends(name: str, heads: dict[int, str], tails: dict[int, str]) -> None:
+    def pick(by: dict[int, str]) -> str:
+        return f"CASE {CASE} " + " ".join(f"WHEN {k} THEN {v}" for k, v in by.items()) + " ELSE '' END"
+
+    add(name, f"SELECT tweet_id, {pick(heads)} AS head, {pick(tails)} AS tail FROM {{tweets_fx}}")
+
+
+ends("t18_fixture_spans", {4: "concat('#', title, ' 12:30 $7.50 , 1,234 !!!')"}, {2: "'. :-)'", 6: "'Dr. O''Neil <3'"})
+ends("t19_fixture_tokens", HEADS, {k: TAILS[k] for k in (1, 2)})
+ends("t20_fixture_tokens", HEADS, TAILS)
 add(
     "t20_characters_kept",
     rf"SELECT tweet_id, {sub(UNESCAPED.format('tweet_text'), r'\s+')} AS characters FROM {{tweets_fx}}",
@@ -400,3 +453,15 @@ add(
     f"SELECT title, CAST(tweet_date AS VARCHAR) AS pred_date, {SHARES}, {MEANS} FROM "
     f"(SELECT *, {ARGMAX} AS c FROM {{open_fx}}) q GROUP BY title, tweet_date",
 )
+add(
+    "d3_labeled_rows",
+    f"""SELECT title, tweet_id, CAST({ARGMAX} AS BIGINT) AS label, 'self-training' AS method, round(pr_neg, 6) AS pr_neg FROM {{open_fx}}
+ WHERE greatest(open_fx.pr_neg, open_fx.pr_neu, open_fx.pr_pos) >= 0.9
+ UNION ALL SELECT k.title, k.tweet_id, k.label, 'manual-annotation', round(q.pr_neg, 6) FROM ({KEPT}) k JOIN {{queue_fx}} q ON q.pos = k.pos""",
+    ANSWERED,
+)
+add(
+    "d4_missing_days",
+    "SELECT DISTINCT CAST(gross_date AS VARCHAR) AS gross_date FROM {boxoffice_fx} WHERE gross_date NOT IN "
+    "(SELECT DATE '1992-01-01' + CAST(tweet_id % 3000 AS INT) FROM {scores_fx})",
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,15 +20,15 @@ from marquee.operators import models as M
 from marquee.operators import ranking as R
 from marquee.operators import text as X
 from marquee.plans import jobs
-from marquee.schemas import Table, struct
-from marquee.session import cut_lineage
+from marquee.schemas import BOXOFFICE, LABELED, METRICS, MOVIES, QUEUE, VALIDATION, Table, struct
+from marquee.session import cut_lineage, ensure_checkpoint_dir
 from marquee.sources import readers, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 DAY = "2017-01-03"
+VOCABULARY = 20_000
 FIXTURE_TOKEN = r"[\p{L}\p{N}_']+|[^\p{L}\p{N}_' \t\n\r\f]+"
-SMALL_GRID = {"C": [1.0, 10.0], "binary": [True, False], "max_features": [500, 2_000], "max_n": [1]}
 
 
 def query(*views: str):
@@ -423,7 +424,85 @@ def s8_append_keyed(tweets, sentiment):
 
 @query("boxoffice_fx")
 def s10_csv_lines(chart):
-    return sinks.csv_lines(chart.select("gross_date", "rank", F.concat("title", F.lit(' "x"')).alias("title"), "daily_gross"))
+    doubles = [F.col("daily_gross").cast("double").alias("gross"), (F.col("theaters") / 10_000).alias("share")]
+    return sinks.csv_lines(chart.select("gross_date", "rank", F.concat("title", F.lit(' "x"')).alias("title"), "daily_gross", *doubles))
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/query-{uuid4().hex}"
+
+
+def _one_line(tweets: DataFrame) -> DataFrame:
+    return tweets.withColumn("tweet_text", F.translate("tweet_text", "\n\r\t", "   "))
+
+
+def _write_tsv(df: DataFrame, path: str, encoding: str = "UTF-8") -> str:
+    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "encoding": encoding, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(**options).csv(path)
+    return path
+
+
+def _hashed(df: DataFrame, text: str, *by: str) -> DataFrame:
+    return df.groupBy(*by, F.md5(text).alias("text_hash"), text_of("label").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("tweets_fx", "sentiment_fx")
+def s1_read_labeled_text(tweets, sentiment):
+    """Labelled posts written as delimited text and read back."""
+    rows = _one_line(tweets).join(sentiment.select("tweet_id", F.col("label").alias("sentiment")), "tweet_id")
+    path = _write_tsv(rows.select("tweet_id", "tweet_text", "sentiment"), _folder(tweets.sparkSession))
+    return _hashed(readers.read_labeled_text(tweets.sparkSession, path, "tweet_text", "sentiment"), "tweet_text")
+
+
+@query("tweets_fx", "sentiment_fx")
+def s2_read_positional_tsv(tweets, sentiment):
+    rows = _one_line(tweets).join(sentiment.select("tweet_id", "label"), "tweet_id")
+    path = _write_tsv(rows.select("tweet_text", "label", "tweet_id"), _folder(tweets.sparkSession))
+    return _hashed(readers.read_positional_tsv(tweets.sparkSession, path), "text")
+
+
+@query("tweets_fx", "sentiment_fx")
+def s3_read_datasets(tweets, sentiment):
+    """Two corpora in two encodings."""
+    rows = _one_line(tweets).join(sentiment.select("tweet_id", "label"), "tweet_id")
+    files = {}
+    for lang, encoding in (("en", "UTF-8"), ("de", "ISO-8859-1")):
+        path = _write_tsv(rows.filter(F.col("lang") == lang).select("tweet_text", "label"), _folder(tweets.sparkSession), encoding)
+        files[lang] = (path, encoding)
+    return _hashed(readers.read_datasets(tweets.sparkSession, files), "text", "dataset")
+
+
+@query("scores_fx")
+def s9_replace_table(scores):
+    """Metrics replaced by themselves plus what is new, read back."""
+    store = jobs.Store(scores.sparkSession, _folder(scores.sparkSession)).create()
+    rows = jobs.metrics_rows(_classed(scores))
+    store.replace(rows.filter("pred_date < date'2017-01-04'"), METRICS)
+    store.replace(store.read(METRICS).unionByName(rows.filter("pred_date >= date'2017-01-04'").select(*METRICS.columns)), METRICS)
+    return rounded(store.read(METRICS).select("title", "pred_date", "pr_cls_neg", "avg_pr_pos"))
+
+
+@query("tweets_fx", "sentiment_fx")
+def s11_create_tables(tweets, sentiment):
+    """Created tables are empty and typed; rows appended to one are read back."""
+    store = jobs.Store(tweets.sparkSession, _folder(tweets.sparkSession)).create()
+    rows = sentiment.select("tweet_id", "title", "label").join(tweets.select("tweet_id", "tweet_text"), "tweet_id")
+    before = store.read(VALIDATION).count()
+    store.append(rows, VALIDATION)
+    read = store.read(VALIDATION)
+    return read.select("title", "tweet_id", F.md5("tweet_text").alias("text_hash"), long_of("label").alias("label"), F.lit(before).cast("bigint").alias("before"))
+
+
+@query("movie_json_fx")
+def s12_append_metadata(movies):
+    """Metadata appended twice: the second time nothing is new."""
+    store = jobs.Store(movies.sparkSession, _folder(movies.sparkSession)).create()
+    first = movies.groupBy("title", "year").agg(F.min("json").alias("json"))
+    for year in (2016, 2017, 2017):
+        found = readers.normalize_metadata(first.filter(F.col("year") == year).select("title", "json"))
+        sinks.append_metadata(found, store.paths["movies"], f"{year}-01-01")
+    return rounded(store.read(MOVIES).select("title", "search_date", "runtime", "imdbvotes"))
 
 
 # --- Tokens -------------------------------------------------------------------------------------
@@ -485,13 +564,10 @@ def t9_ngrams(tweets):
 @query("tweets_fx")
 def t10_vocabulary(tweets):
     docs = tokens_of(tweets)
-    modes = [V.vocabulary(docs, 500, binary).withColumn("is_binary", F.lit(binary)) for binary in (False, True)]
+    modes = [V.vocabulary(docs, VOCABULARY, binary).withColumn("is_binary", F.lit(binary)) for binary in (False, True)]
     return rounded(modes[0].unionByName(modes[1]))
 
 
-VOCABULARY = 2_000
-
-
 def _term_weights(tweets: DataFrame, weight) -> DataFrame:
     """Per term: number of documents and sum of the weights ``weight`` gives to the count vectors."""
     docs = tokens_of(tweets)
@@ -553,6 +629,34 @@ def t17_split_edge_punct(tweets):
     return tweets.select("tweet_id", T.split_edge_punct("tweet_text").alias("tweet_text"))
 
 
+def _ends(tweets: DataFrame, tokens: Column, heads: dict[int, int], tails: dict[int, int]) -> DataFrame:
+    """The first and last tokens of the posts whose beginning or end the fixture wrote, by ``tweet_id % 9``."""
+    case = F.col("tweet_id") % 9
+
+    def count(sizes: dict[int, int]) -> Column:
+        return F.coalesce(*[F.when(case == k, F.lit(n)) for k, n in sizes.items()], F.lit(0))
+
+    made = tweets.select("tweet_id", tokens.alias("tokens"))
+    head = F.array_join(F.slice("tokens", F.lit(1), count(heads)), " ")
+    tail = F.array_join(F.reverse(F.slice(F.reverse("tokens"), F.lit(1), count(tails))), " ")
+    return made.select("tweet_id", head.alias("head"), tail.alias("tail"))
+
+
+@query("tweets_fx")
+def t18_fixture_spans(tweets):
+    return _ends(tweets, T.protected_spans(T.squeeze_whitespace("tweet_text")), {4: 6}, {2: 2, 6: 3})
+
+
+@query("tweets_fx")
+def t19_fixture_tokens(tweets):
+    return _ends(tweets, T.split_tokens(T.squeeze_whitespace("tweet_text")), {0: 3, 1: 1, 4: 11, 5: 3}, {1: 1, 2: 9})
+
+
+@query("tweets_fx")
+def t20_fixture_tokens(tweets):
+    return _ends(tweets, T.tokenize_raw("tweet_text"), {0: 3, 1: 1, 4: 11, 5: 3}, {1: 1, 2: 9, 3: 4, 6: 4})
+
+
 @query("tweets_fx")
 def t18_protected_spans(tweets):
     return joined(tweets, T.protected_spans(T.squeeze_whitespace("tweet_text")))
@@ -607,14 +711,14 @@ def _training(tweets: DataFrame, sentiment: DataFrame) -> DataFrame:
 @query("tweets_fx", "sentiment_fx")
 def m2_text_model_score(tweets, sentiment):
     """M1, M2 and M5: fit on the labelled posts, score all."""
-    model = M.fit_text_model(_training(tweets, sentiment), max_features=5_000)
+    model = M.fit_text_model(_training(tweets, sentiment))
     return M.score(model, tweets.select("title", "tweet_id", "tweet_text")).drop("tweet_text")
 
 
 @query("tweets_fx", "sentiment_fx")
 def m5_score_is_consistent(tweets, sentiment):
     """Probabilities add up to one and the class is the most probable one."""
-    scored = M.score(M.fit_text_model(_training(tweets, sentiment), max_features=500), tweets)
+    scored = M.score(M.fit_text_model(_training(tweets, sentiment)), tweets)
     total = F.col("pr_neg") + F.col("pr_neu") + F.col("pr_pos")
     best = S.argmax_label("pr_neg", "pr_neu", "pr_pos")
     return scored.select("title", "tweet_id", six(total).alias("total"), (best == F.col("pr_class")).alias("is_best"))
@@ -627,7 +731,8 @@ def m3_stratified_folds(sentiment):
 
 @query("tweets_fx", "sentiment_fx")
 def m3_tune(tweets, sentiment):
-    tuned = M.tune(_training(tweets, sentiment), ["tweet_id"], SMALL_GRID, folds=3, refit=False)
+    """The whole grid by five folds: 180 fits."""
+    tuned = M.tune(_training(tweets, sentiment), ["tweet_id"], refit=False)
     rows = [(r["C"], r["binary"], r["max_features"], r["max_n"], r["accuracy"]) for r in tuned.results]
     schema = "C double, is_binary boolean, max_features int, max_n int, accuracy double"
     return tweets.sparkSession.createDataFrame(rows, schema)
@@ -636,7 +741,7 @@ def m3_tune(tweets, sentiment):
 @query("tweets_fx", "sentiment_fx")
 def m4_retrain(tweets, sentiment):
     labeled, validation = parts_of(_training(tweets, sentiment))
-    model = M.retrain(M.text_model(C=10.0, max_features=5_000, max_n=2), validation, labeled)
+    model = M.retrain(M.text_model(C=10.0, max_n=2), validation, labeled)
     return M.score(model, tweets.select("title", "tweet_id", "tweet_text")).drop("tweet_text")
 
 
@@ -685,7 +790,7 @@ def m13_compare_models(tweets, sentiment):
     corpus = _training(tweets, sentiment).select(
         F.col("tweet_id").alias("row_id"), F.col("tweet_text").alias("text"), text_of("label").alias("label")
     )
-    return A.accuracy(M.compare_models(corpus, _word_counts(tweets), max_features=5_000), ["model"])
+    return A.accuracy(M.compare_models(corpus, _word_counts(tweets)), ["model"])
 
 
 @query("predictions_fx")
@@ -715,6 +820,31 @@ def d1_daily_posts(tweets):
     return found.select("title", "tweet_id", "tweet_retweet", "tweet_mention", "tweet_text")
 
 
+@query("scores_fx", "tweets_fx", "queue_fx", "answers_fx", "open_fx")
+def d3_labeled_rows(scores, tweets, queue, answers, posts):
+    """What a labelling run appends: sure posts by their class, and answers to a published queue."""
+    store = jobs.Store(tweets.sparkSession, _folder(tweets.sparkSession)).create()
+    texts = tweets.select("tweet_id", "tweet_text")
+    published = queue.join(texts, "tweet_id").withColumns({"session": F.lit("s"), "method": F.lit("manual-annotation")})
+    store.append(published, QUEUE)
+    by_hand = L.label_by_hand(jobs.published(store, "s"), answers)
+    sure = L.self_train(posts.join(texts, "tweet_id"))
+    store.append(L.labeled_rows(sure, by_hand), LABELED, "skip")
+    return rounded(store.read(LABELED).select("title", "tweet_id", "label", "method", "pr_neg"))
+
+
+@query("boxoffice_fx", "scores_fx")
+def d4_missing_days(chart, scores):
+    """Charted days that have no metrics yet, which a daily run makes up."""
+    spark = chart.sparkSession
+    store = jobs.Store(spark, _folder(spark)).create()
+    store.append(R.top_n_per_day(chart, 10), BOXOFFICE)
+    day = F.date_add(F.lit(pd.Timestamp("1992-01-01").date()), (F.col("tweet_id") % 3000).cast("int"))
+    store.append(jobs.metrics_rows(_classed(scores.withColumn("tweet_date", day))), METRICS, "skip")
+    days = [(str(d),) for d in jobs.missing_days(store)]
+    return spark.createDataFrame(days, "gross_date string")
+
+
 @query("scores_fx", "sentiment_fx")
 def d2_daily_metrics(scores, sentiment):
     free = J.unlabeled_posts(scores, *parts_of(sentiment))

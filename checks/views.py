@@ -6,7 +6,9 @@ from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marquee.session import spread_scan
+from marquee.operators.labeling import unsure
+from marquee.operators.ranking import queue_position
+from marquee.session import cut_lineage, spread_scan
 
 LONG_TEXTS = ("documents", "pages")  # work per row is high, so few large splits would idle cores
 
@@ -91,6 +93,9 @@ def _needs(name: str) -> list[str]:
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A given table or a view over the tables in ``folder``."""
+    if name == "queue_fx":  # its window in SQL would put every post into one task
+        queue = queue_position(unsure(view(spark, folder, "open_fx")))
+        return cut_lineage(queue.select("title", "tweet_id", "tweet_date", "pr_neg", "pr_neu", "pr_pos", "pos"))
     if name not in VIEWS:
         table = spark.read.parquet(f"{folder}/{name}.parquet")
         return spread_scan(table) if name in LONG_TEXTS else table

@@ -16,15 +16,15 @@ from marquee.schemas import POST, TABLES, Table
 
 
 def _read_delimited(spark: SparkSession, path, **options) -> DataFrame:
-    settings = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True, **options}
+    settings = {"sep": "\t", "header": True, "quote": '"', "escape": '"', **options}
     return spark.read.csv(path, **settings)
 
 
 def read_labeled_text(spark: SparkSession, path, textcol: str, labelcol: str, **options) -> DataFrame:
     """``tweet_text, label`` from two named columns; a missing or odd label fails the read.
 
-    Quoted fields may span lines; pass ``multiLine=False`` for files known to be line by line, so that
-    one large file is read by many tasks.
+    A row is a line, so that one large file is read by many tasks; pass ``multiLine=True`` for files whose quoted
+    fields span lines, which one task each must read.
     """
     raw = _read_delimited(spark, path, **options)
     label = F.col(labelcol).try_cast("int")
@@ -51,10 +51,8 @@ def read_datasets(spark: SparkSession, files: Mapping[str, tuple[str, str]], **o
 # --- Chart pages --------------------------------------------------------------------------------
 
 # The chart table's attributes and the cells of a row (from 0).
-CHART_TABLE = (
-    r'(?is)<table(?=[^>]*\bborder="?0)(?=[^>]*\bcellpadding="?5)(?=[^>]*\bcellspacing="?1)[^>]*>'
-    r"(.*?)</table>"
-)
+CHART_TABLE = r'(?is)<table(?=[^>]*\bborder="?0)(?=[^>]*\bcellpadding="?5)(?=[^>]*\bcellspacing="?1)[^>]*>(.*)\z'
+TABLE_TAGS = r"(?i)(?=</?table\b)"
 CHART_CELLS = {"title": 2, "daily_gross": 4, "theaters": 7, "todate_gross": 9, "release_day": 10}
 CHART_COUNT = 10
 
@@ -93,12 +91,37 @@ def html_rows(
     )
 
 
+def chart_table(html: Column | str) -> Column:
+    """Inside of the chart table, up to its own end tag or the end of the page; null when a page has none.
+
+    Tables inside its cells are left out, so they end neither the chart nor a row.
+    """
+    rest = F.regexp_extract(html, CHART_TABLE, 1)
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+
+    def step(state: Column, piece: Column) -> Column:
+        opens, ends = piece.rlike(r"(?i)^<table\b"), piece.rlike(r"(?i)^</table\b")
+        depth = state["depth"] + F.when(opens, 1).when(ends, -1).otherwise(0)
+        kept = F.when((depth == 0) & ends, F.regexp_replace(piece, r"^[^>]*>?", "")).when((depth == 0) & ~opens, piece)
+        here = F.struct(depth.alias("depth"), F.concat(state["kept"], F.array(F.coalesce(kept, F.lit("")))).alias("kept"))
+        return F.when(state["depth"] < 0, state).otherwise(here)
+
+    inside = F.aggregate(F.split(rest, TABLE_TAGS), start, step)["kept"]
+    return F.when(F.rlike(html, F.lit(CHART_TABLE)), F.array_join(inside, ""))
+
+
 def extract_chart(
     pages: DataFrame, n: int = CHART_COUNT, html: str = "html", day: str = "gross_date"
 ) -> DataFrame:
-    """Top-n chart rows of each day's page, with ``problem``: null, or why the row cannot be used."""
-    table = pages.select(day, F.regexp_extract(html, CHART_TABLE, 1).alias("_table"))
-    rows = html_rows(table, "_table", limit=n).drop("_table")
+    """Top-n chart rows of each day's page, with ``problem``: null, or why the row cannot be used.
+
+    A page without a chart table, or whose chart has no row, gives one row without rank that says so.
+    """
+    table = pages.select(day, chart_table(html).alias("_table"))
+    rows = html_rows(table.filter("_table IS NOT NULL"), "_table", limit=n).drop("_table")
+    found = F.size(F.regexp_extract_all("_table", F.lit(element_pattern("tr")), F.lit(1)))
+    lost = table.withColumn("problem", F.when(F.col("_table").isNull(), "no chart table").when(found < 2, "no chart rows"))
+    lost = lost.filter(F.col("problem").isNotNull()).drop("_table")
     cell = {name: F.get("cells", F.lit(at)) for name, at in CHART_CELLS.items()}
     typed = rows.select(
         day,
@@ -114,7 +137,7 @@ def extract_chart(
     problem = F.when(F.col("_cells") <= max(CHART_CELLS.values()), F.lit("too few cells")).when(
         F.concat_ws(", ", *missing) != "", F.concat(F.lit("unreadable: "), F.concat_ws(", ", *missing))
     )
-    return typed.withColumn("problem", problem).drop("_cells")
+    return typed.withColumn("problem", problem).drop("_cells").unionByName(lost, allowMissingColumns=True)
 
 
 def chart_rows(extracted: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def append_keyed(df: DataFrame, table: Table, path: str, on_conflict: str = "fai
         present = read_table(df.sparkSession, table, path)
         if table.date:
             present = _same_dates(present, incoming, table.date)
-        fresh = new_rows(incoming, present, table.key)
+        fresh = cut_lineage(new_rows(incoming, present, table.key))
     added = fresh.count()
     if on_conflict == "fail" and added < incoming.count():
         raise DuplicateKeyError(f"rows with a key already in {table.name}, or twice in the input")
@@ -125,8 +125,22 @@ def create_tables(spark: SparkSession, root: str, overwrite: bool = False) -> di
 # --- CSV ----------------------------------------------------------------------------------------
 
 
+def plain_decimal(col: Column) -> Column:
+    """A fractional number without an exponent: ``0.0001``, ``12345678.0``."""
+    text = col.cast("string")
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    mantissa = F.regexp_extract(text, r"^-?([0-9]+)\.([0-9]+)E", 1)
+    rest = F.regexp_replace(F.regexp_extract(text, r"^-?([0-9]+)\.([0-9]+)E", 2), "0+$", "")
+    power = F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), mantissa, rest)
+    whole = F.concat(mantissa, F.rpad(F.substring(rest, F.lit(1), power), power, "0"))
+    parts = F.substring(rest, power + 1, F.length(rest))
+    large = F.concat(whole, F.lit("."), F.when(parts == "", "0").otherwise(parts))
+    return F.when(power.isNull(), text).otherwise(F.concat(sign, F.when(power < 0, small).otherwise(large)))
+
+
 def csv_lines(df: DataFrame) -> DataFrame:
-    """One ``value`` per row: numbers bare, all else quoted with quotes doubled, null as ``""``."""
+    """One ``value`` per row: numbers bare and as plain decimals, all else quoted with quotes doubled, null as ``""``."""
 
     def field(f: T.StructField) -> Column:
         col = F.col(f"`{f.name}`")
@@ -134,7 +148,8 @@ def csv_lines(df: DataFrame) -> DataFrame:
             col = col.cast("int")
         if isinstance(f.dataType, T.TimestampType):
             col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
-        text = F.coalesce(col.cast("string"), F.lit(""))
+        text = plain_decimal(col) if isinstance(f.dataType, T.FractionalType) else col.cast("string")
+        text = F.coalesce(text, F.lit(""))
         if isinstance(f.dataType, (T.NumericType, T.BooleanType)):
             return F.when(col.isNull(), F.lit('""')).otherwise(text)
         return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))

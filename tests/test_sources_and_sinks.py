@@ -21,7 +21,7 @@ def write(folder: Path, name: str, text: str, encoding: str = "utf-8") -> str:
 
 def test_labeled_text(spark, tmp_path):
     path = write(tmp_path, "a.tsv", 'id\ttext\tsentiment\n1\t"say ""hi""\nthere"\t-1\n2\tplain, text\t1\n3\té\t0\n')
-    rows = readers.read_labeled_text(spark, path, "text", "sentiment").collect()
+    rows = readers.read_labeled_text(spark, path, "text", "sentiment", multiLine=True).collect()
     assert [(r.tweet_text, r.label) for r in rows] == [('say "hi"\nthere', -1), ("plain, text", 1), ("é", 0)]
 
 
@@ -63,7 +63,7 @@ def test_chart(spark):
         (dt.date(2017, 1, 1), 2, "C", 12, 9, 3, 1000),
     ]
     problems = {(r.gross_date.day, r.rank): r.problem for r in readers.quarantined(readers.extract_chart(pages)).collect()}
-    assert problems == {(2, 1): "unreadable: daily_gross", (2, 2): "too few cells", (2, 3): "unreadable: release_day"}
+    assert problems == {(2, 1): "unreadable: daily_gross", (2, 2): "too few cells", (2, 3): "unreadable: release_day", (3, None): "no chart table"}
 
 
 def test_chart_with_open_cells(spark):
@@ -72,6 +72,24 @@ def test_chart_with_open_cells(spark):
     assert [(r.title, r.daily_gross) for r in readers.chart_rows(readers.extract_chart(pages)).collect()] == [("X", 3)]
 
 
+def test_chart_pages_that_lose_nothing(spark):
+    opening = '<table border=0 cellpadding=5 cellspacing=1><tr><td>h</td></tr>'
+    rows = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in chart_row(t, "$3")) + "</tr>" for t in ("X", "Y"))
+    nested = rows.replace("<b>X</b>", "<b>X</b><table><tr><td>inner<table><tr><td>z</table></td></tr></table>")
+    pages = [opening + rows, opening + nested + "</table><table><tr><td>other</table>", opening + "</table>", "<table border=0><tr><td>x</table>", None]
+    df = spark.createDataFrame([(dt.date(2017, 1, k + 1), p) for k, p in enumerate(pages)], "gross_date date, html string")
+    found = readers.extract_chart(df)
+    assert sorted((r.gross_date.day, r.title) for r in readers.chart_rows(found).collect()) == [(1, "X"), (1, "Y"), (2, "X"), (2, "Y")]
+    assert sorted((r.gross_date.day, r.problem) for r in readers.quarantined(found).collect()) == [(3, "no chart rows"), (4, "no chart table"), (5, "no chart table")]
+
+
+def test_doubles_are_plain_decimals(spark):
+    values = [0.0001, 12345678.0, 0.5, -1.25e-7, 123456789.125, -3e20, 100.0, 0.0, None, 1.0, 1234567.75, 1e7]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in sinks.csv_lines(df).collect()]
+    assert got == ["0.0001", "12345678.0", "0.5", "-0.000000125", "123456789.125", "-3" + "0" * 20 + ".0", "100.0", "0.0", '""', "1.0", "1234567.75", "10000000.0"]
+
+
 def test_metadata(spark):
     rows = [
         (1, '{"Actors":"A, B","Runtime":"107 min","imdbVotes":"1,234","imdbRating":"7.5","Metascore":"N/A","Plot":"N/A"}'),
