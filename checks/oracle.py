@@ -103,6 +103,11 @@ MENTION = (
 )
 add("j2_mention_join", MENTION)
 add("j2_mention_join_many_titles", MENTION)
+add(
+    "j2_mention_join_repeated_ids",
+    f"""SELECT way, title, tweet_id, count(*) AS n FROM (SELECT title, tweet_id FROM ({MENTION}) a UNION ALL
+ SELECT title, CASE WHEN tweet_id % 10 <> 0 THEN tweet_id END FROM ({MENTION}) b) q, (VALUES ('few'), ('many')) w(way) GROUP BY ALL""",
+)
 add(
     "j3_metadata_lookup",
     """SELECT title, CAST(2017 AS BIGINT) AS year, CAST(found_year AS BIGINT) AS found_year, p_partkey FROM (
@@ -399,6 +404,9 @@ add(
     """SELECT tweet_id, CAST(label AS BIGINT) AS label,
  CAST((ROW_NUMBER() OVER (PARTITION BY label ORDER BY tweet_id) - 1) % 5 AS BIGINT) AS fold FROM {sentiment_fx}""",
 )
+for name in ("m1_softmax_optimum", "m12_ridge_optimum"):
+    add(name, "SELECT DISTINCT CAST(label AS BIGINT) AS label, TRUE AS penalty_is_one FROM {sentiment_fx}")
+add("s13_save_and_load_model", "SELECT tweet_id, TRUE AS same FROM {tweets_fx}")
 add("m5_score_is_consistent", "SELECT title, tweet_id, CAST(1.0 AS DOUBLE) AS total, TRUE AS is_best FROM {tweets_fx}")
 PR = "round(pr_neg, 6) AS pr_neg, round(pr_neu, 6) AS pr_neu, round(pr_pos, 6) AS pr_pos"
 add(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from uuid import uuid4
 
 import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from marquee.operators import models as M
 from marquee.operators import ranking as R
 from marquee.operators import text as X
 from marquee.plans import jobs
-from marquee.schemas import BOXOFFICE, LABELED, METRICS, MOVIES, QUEUE, VALIDATION, Table, struct
+from marquee.schemas import BOXOFFICE, CLASSES, LABELED, METRICS, MOVIES, QUEUE, VALIDATION, Table, struct
 from marquee.session import cut_lineage, ensure_checkpoint_dir
 from marquee.sources import readers, sinks
 
@@ -202,6 +203,17 @@ def j2_mention_join_many_titles(tweets):
     return J.mention_join(titles, tweets.drop("title"), max_per_day=0).select("title", "tweet_id")
 
 
+@query("tweets_fx")
+def j2_mention_join_repeated_ids(tweets):
+    """Posts twice, a tenth of the copies without id, by both ways of the join."""
+    titles = tweets.select("tweet_date", "title").distinct()
+    posts = tweets.drop("title")
+    ident = F.when(F.col("tweet_id") % 10 != 0, F.col("tweet_id"))
+    twice = posts.unionByName(posts.withColumn("tweet_id", ident))
+    ways = [J.mention_join(titles, twice, **options).withColumn("way", F.lit(way)) for way, options in (("few", {}), ("many", {"max_per_day": 0}))]
+    return ways[0].unionByName(ways[1]).groupBy("way", "title", "tweet_id").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("part", "movies_fx")
 def j3_metadata_lookup(part, movies):
     titles = part.select(F.col("p_brand").alias("title")).distinct().withColumn("year", F.lit(2017))
@@ -715,6 +727,62 @@ def m2_text_model_score(tweets, sentiment):
     return M.score(model, tweets.select("title", "tweet_id", "tweet_text")).drop("tweet_text")
 
 
+def _penalties(entries: DataFrame, residuals: DataFrame, weights: list) -> list[float]:
+    """The L2 penalty each class's weights w balance: at the optimum, minus (sum of residual x) w over w w.
+
+    A solver that ends at its step limit still balances along w, so this tells a wrong penalty, sign or target.
+    """
+    names = [f"r{k}" for k in range(len(weights))]
+    sums = entries.join(residuals, "tweet_id").groupBy("index").agg(*[F.sum(F.col("value") * F.col(n)).alias(n) for n in names])
+    rows = [(i, *map(float, w)) for i, w in enumerate(zip(*weights, strict=True))]
+    schema = "index int, " + ", ".join(f"w{k} double" for k in range(len(weights)))
+    both = sums.join(entries.sparkSession.createDataFrame(rows, schema), "index")
+    return list(both.agg(*[-F.sum(F.col(n) * F.col(f"w{k}")) / F.sum(F.col(f"w{k}") ** 2) for k, n in enumerate(names)]).first())
+
+
+@query("tweets_fx", "sentiment_fx")
+def m1_softmax_optimum(tweets, sentiment):
+    """The fitted weights of every class balance a penalty of 1 / C."""
+    train = _training(tweets, sentiment)
+    model = M.fit_text_model(train)
+    scored = cut_lineage(model.transform(train).select("tweet_id", "label", "features", vector_to_array("probability").alias("p")))
+    residuals = scored.select("tweet_id", *[(F.get("p", F.lit(k)) - (F.col("label") == c).cast("double")).alias(f"r{k}") for k, c in enumerate(CLASSES)])
+    weights = model.stages[-1].coefficientMatrix.toArray().tolist()
+    found = _penalties(V.vector_rows(scored, ["tweet_id"], "features"), residuals, weights)
+    return tweets.sparkSession.createDataFrame([(c, abs(p - 1) < 0.1) for c, p in zip(CLASSES, found, strict=True)], "label long, penalty_is_one boolean")
+
+
+@query("tweets_fx", "sentiment_fx")
+def m12_ridge_optimum(tweets, sentiment):
+    """The weights of every class balance the penalty of the normal equations."""
+    docs = tokens_of(tweets).join(sentiment.select("tweet_id", "label"), "tweet_id")
+    vocab = V.collect_vocabulary(V.vocabulary(docs, VOCABULARY))
+    weighted = V.tfidf(V.term_vector(docs, [t for t, _ in vocab]), V.smoothed_idf(vocab, docs.count()))
+    train = cut_lineage(M.indexed(weighted.select("tweet_id", "label", "features")))
+    models = M.ridge_classifier(train).models
+    residuals = train
+    for k, (m, c) in enumerate(zip(models, CLASSES, strict=True)):
+        target = F.when(F.col("label") == c, 1.0).otherwise(-1.0)
+        residuals = m.copy().setPredictionCol(f"p{k}").transform(residuals).withColumn(f"r{k}", F.col(f"p{k}") - target)
+    residuals = residuals.select("tweet_id", *[f"r{k}" for k in range(len(models))])
+    found = _penalties(V.vector_rows(train, ["tweet_id"], "features"), residuals, [m.coefficients.toArray().tolist() for m in models])
+    return tweets.sparkSession.createDataFrame([(c, abs(p - 1) < 0.1) for c, p in zip(CLASSES, found, strict=True)], "label long, penalty_is_one boolean")
+
+
+@query("tweets_fx", "sentiment_fx")
+def s13_save_and_load_model(tweets, sentiment):
+    """A stored model scores every post as the fitted one does."""
+    spark = tweets.sparkSession
+    model, path = M.fit_text_model(_training(tweets, sentiment)), _folder(spark)
+    sinks.save_model(model, path, "2017-01-01", {"C": 1.0})
+    loaded, params = sinks.load_model(spark, path)
+    texts = tweets.select("title", "tweet_id", "tweet_text")
+    one, two = (M.score(m, texts).select("tweet_id", "pr_class", "pr_neg") for m in (model, loaded))
+    both = one.join(two.toDF("tweet_id", "loaded_class", "loaded_neg"), "tweet_id")
+    same = (F.col("pr_class") == F.col("loaded_class")) & (F.abs(F.col("pr_neg") - F.col("loaded_neg")) < 1e-12)
+    return both.select("tweet_id", (same & F.lit(params == {"C": 1.0})).alias("same"))
+
+
 @query("tweets_fx", "sentiment_fx")
 def m5_score_is_consistent(tweets, sentiment):
     """Probabilities add up to one and the class is the most probable one."""
