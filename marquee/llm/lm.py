@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type, to_arrow_type
 
-from marquee.llm.common import gathered, scale_parts, scratch, text_bytes, words
+from marquee.llm.common import gathered, release, scale_parts, scratch, text_bytes, words
 
 CHUNK_BYTES = 12_000_000
 BUCKET_BYTES = 8_000_000  # text for each bucket of words
@@ -369,13 +369,14 @@ def _bit_counts(code: Code):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums, seen = [[np.zeros(1 << b) for b in TABLE_BITS] for _ in range(2)], False
         for found, counts in _learned(frames):
-            for part in _parts(found, 1_000_000):
+            for part in _parts(found, 200_000):
                 seen = True
                 owner, bit, slots = _decisions(found[part], code)
                 weight = counts[part][owner]
                 for k, slot in enumerate(slots):
                     for value in (0, 1):
                         sums[value][k] += np.bincount(slot, weights=weight * (bit == value), minlength=1 << TABLE_BITS[k])
+        release()
         for k, b in enumerate(TABLE_BITS if seen else ()):
             for span in range(max(1, (1 << b) // SPAN)):
                 part = slice(span * SPAN, (span + 1) * SPAN)
@@ -441,6 +442,8 @@ def _priced(shared, given: Mixer, totals: np.ndarray):
         for chunk, blob in zip(left["chunk"], left["words"], strict=True):
             at = np.array(list(map(number.__getitem__, _split(blob))), np.int64)
             out.append((chunk, right["bucket"].iloc[0], _packed(total[at]), _packed(cost[at]), _packed(codes[at])))
+        del number, found, counts, total, codes
+        release()
         return pd.DataFrame(out, columns=["chunk", "bucket", "c", "cost", "codes"])
 
     return run
@@ -497,6 +500,7 @@ def _score_chunk(shared):
             here = _with_classes(prob[span], CLASS_VALUES[codes[seq[span]]], prior, own)
             score[at:to] = np.add.reduceat(_with_cache(seq[span], here, own), starts[at:to] - starts[at]) / math.log(10)
             at = to
+        release()
         return pd.DataFrame(
             {
                 "id": chunk.ids,
