@@ -34,8 +34,9 @@ BUCKETS = 33
 FIRST_GATES = 1024
 PSEUDO = 0.3
 RATE = 0.02
-# The mixer's weights, its refinement and the share of word frequencies are fitted on about so many training words
-FITTED_WORDS = 100_000
+# Weights are learned online by several learners, each on the buckets of about so many training words, and averaged
+LEARNER_WORDS = 50_000
+SHARES = (0.02, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97)
 CACHE_SHARES = (0.0, 0.03, 0.1, 0.3)
 # Texts are dealt to classes by their most frequent word; what a class leaves to the model of all texts
 CLASSES = 16
@@ -309,14 +310,17 @@ class Mixer:
     def bucket(self, mixed: np.ndarray, gate: np.ndarray) -> np.ndarray:
         return gate * BUCKETS + np.clip(np.rint(mixed * (BUCKETS // 2) / 12), -(BUCKETS // 2), BUCKETS // 2).astype(np.int64) + BUCKETS // 2
 
-    def costs(self, found: list[bytes], own: bool = False) -> np.ndarray:
-        """Bits that each word takes after its first symbol."""
+    def costs(self, found: list[bytes]) -> np.ndarray:
+        """Bits that each word takes after its first symbol, a row each: by all counts, and with the word itself left out once."""
         owner, bit, slots = _decisions(found, self.code)
-        x, gate = self.inputs(slots, bit, own)
-        mixed = self.mixed(x, gate)
-        if self.refined is not None:
-            mixed = (mixed + self.refined[self.bucket(mixed, gate)]) / 2
-        return np.bincount(owner, weights=np.log1p(np.exp(np.where(bit == 1, -mixed, mixed))) / math.log(2), minlength=len(found))
+        out = []
+        for own in (False, True):
+            x, gate = self.inputs(slots, bit, own)
+            mixed = self.mixed(x, gate)
+            if self.refined is not None:
+                mixed = (mixed + self.refined[self.bucket(mixed, gate)]) / 2
+            out.append(np.bincount(owner, weights=np.log1p(np.exp(np.where(bit == 1, -mixed, mixed))) / math.log(2), minlength=len(found)))
+        return np.array(out)
 
 
 def _parts(found: list[bytes], size: int = 100_000) -> Iterator[slice]:
@@ -349,17 +353,6 @@ def _symbol_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"symbol": np.arange(256), "n": total})
 
 
-def _sampled(every: int):
-    """Words with a hash divisible by ``every``, as the counts of training texts have them."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for found, counts in _learned(frames):
-            keep = [k for k, w in enumerate(found) if xxhash.xxh64_intdigest(w, 7) % every == 0]
-            yield pd.DataFrame({"word": [found[k] for k in keep], "c": counts[keep].astype(np.int64)})
-
-    return run
-
-
 SPAN = 1 << 16
 
 
@@ -390,32 +383,61 @@ def _sum_spans(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"table": frame["table"].iloc[:1], "span": frame["span"].iloc[:1], "zeros": [_packed(total[0].astype(np.float32))], "ones": [_packed(total[1].astype(np.float32))]})
 
 
-def _fitted(code: Code, tables: Tables, found: list[bytes], counts: np.ndarray, by_symbol: np.ndarray) -> tuple[Mixer, float]:
-    """Weights learned online, then the refinement, then the share of word frequencies; each word left out once."""
-    mixer = Mixer(code, tables, np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (GATES, 1)))
-    sums = np.zeros((2, GATES * BUCKETS))
-    for learning in (True, False):
-        for part in _parts(found):
-            owner, bit, slots = _decisions(found[part], code)
-            x, gate = mixer.inputs(slots, bit, True)
-            count = counts[part][owner]
-            if learning:
+def _learned_weights(shared, given: Mixer):
+    """Weights learned online on the words of one learner's buckets, each word left out once: sums by gate."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        mixer, total = replace(given, tables=shared.value, weights=given.weights.copy()), np.zeros(GATES)
+        for found, counts in _learned([frame.sort_values("bucket")]):
+            order = sorted(range(len(found)), key=found.__getitem__)
+            found, counts = [found[k] for k in order], counts[order]
+            for part in _parts(found):
+                owner, bit, slots = _decisions(found[part], mixer.code)
+                x, gate = mixer.inputs(slots, bit, True)
+                count = counts[part][owner]
+                total += np.bincount(gate, weights=count, minlength=GATES)
                 for start in range(0, len(bit), 4096):
                     now = slice(start, start + 4096)
                     mixer.learn(x[:, now], gate[now], bit[now], count[now])
-            else:
-                at = mixer.bucket(mixer.mixed(x, gate), gate)
+        release()
+        return pd.DataFrame({"gate": np.arange(GATES), "n": total, "w": (mixer.weights * total[:, None]).tolist()})
+
+    return run
+
+
+def _refinement(shared, given: Mixer):
+    """Zeros and ones of all training words by bucket of the mixed bit, each word left out once."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mixer, sums = replace(given, tables=shared.value), np.zeros((2, GATES * BUCKETS))
+        for found, counts in _learned(frames):
+            for part in _parts(found):
+                owner, bit, slots = _decisions(found[part], mixer.code)
+                x, gate = mixer.inputs(slots, bit, True)
+                at, count = mixer.bucket(mixer.mixed(x, gate), gate), counts[part][owner]
                 for value in (0, 1):
                     sums[value] += np.bincount(at, weights=count * (bit == value), minlength=GATES * BUCKETS)
-    middle = (np.arange(GATES * BUCKETS) % BUCKETS - BUCKETS // 2) * 12 / (BUCKETS // 2)
-    near = _squash(middle)
-    mixer.refined = np.clip(np.log((sums[1] + 2 * near) / (sums[0] + 2 * (1 - near))), -12, 12)
-    if not len(found):
-        return mixer, 0.5
-    fair = np.concatenate([mixer.costs(found[part], True) for part in _parts(found)])
-    seen = (counts - 1) / np.maximum(by_symbol[[w[0] for w in found]] - 1, 1)
-    shares = (0.02, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.97)
-    return mixer, max(shares, key=lambda s: (counts * np.log(s * seen + (1 - s) * np.exp2(-fair) + 1e-300)).sum())
+        release()
+        yield pd.DataFrame({"at": np.arange(GATES * BUCKETS), "zeros": sums[0], "ones": sums[1]})
+
+    return run
+
+
+def _fitted(mixer: Mixer, shared, vocabulary: DataFrame, n_words: int) -> Mixer:
+    """The mixer with weights and refinement learned on every training word; sums by gate and bucket reach the driver."""
+    learner = (F.col("bucket") % max(1, n_words // LEARNER_WORDS)).alias("learner")
+    learned = vocabulary.select(learner, "bucket", "words", "counts").groupBy("learner").applyInPandas(_learned_weights(shared, mixer), "gate int, n double, w array<double>")
+    learned = learned.groupBy("gate").agg(F.sum("n").alias("n"), F.array(*[F.sum(F.get("w", F.lit(k))) for k in range(mixer.weights.shape[1])]).alias("w"))
+    weights = mixer.weights.copy()
+    for r in learned.filter("n > 0").collect():
+        weights[r["gate"]] = np.array(r["w"]) / r["n"]
+    mixer = replace(mixer, weights=weights)
+    sums = vocabulary.select("words", "counts").mapInPandas(_refinement(shared, mixer), "at int, zeros double, ones double")
+    counted = sums.groupBy("at").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toPandas()
+    near = _squash((np.arange(GATES * BUCKETS) % BUCKETS - BUCKETS // 2) * 12 / (BUCKETS // 2))
+    zeros, ones = np.zeros((2, GATES * BUCKETS))
+    zeros[counted["at"].to_numpy(np.int64)], ones[counted["at"].to_numpy(np.int64)] = counted["zeros"], counted["ones"]
+    return replace(mixer, refined=np.clip(np.log((ones + 2 * near) / (zeros + 2 * (1 - near))), -12, 12))
 
 
 def _class_codes(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
@@ -428,27 +450,39 @@ def _class_codes(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
 CLASS_VALUES = np.r_[0.0, np.exp(np.arange(1, 256) / CLASS_STEP - CLASS_FLOOR)]
 
 
-def _priced(shared, given: Mixer, totals: np.ndarray):
-    """Prices of a bucket's words, sent to each chunk in the order of its words."""
+def _priced(shared, given: Mixer, totals: np.ndarray, by_symbol: np.ndarray):
+    """Prices of each bucket's words, and the log likelihood of its training words under each of ``SHARES``, each word left out once."""
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mixer = replace(given, tables=shared.value)
-        found = _split(right["words"].iloc[0])
-        counts = _opened(right["counts"].iloc[0], np.int64).reshape(-1, CLASSES)
-        cost = np.concatenate([mixer.costs(found[part]) for part in _parts(found)]).astype(np.float32)
-        total, codes = counts.sum(axis=1), _class_codes(counts, totals)
-        number = dict(zip(found, range(len(found)), strict=True))
-        out = []
-        for chunk, blob in zip(left["chunk"], left["words"], strict=True):
-            at = np.array(list(map(number.__getitem__, _split(blob))), np.int64)
-            out.append((chunk, right["bucket"].iloc[0], _packed(total[at]), _packed(cost[at]), _packed(codes[at])))
-        del number, found, counts, total, codes
+        for frame in frames:
+            for bucket, blob, packed in zip(frame["bucket"], frame["words"], frame["counts"], strict=True):
+                found, counts = _split(blob), _opened(packed, np.int64).reshape(-1, CLASSES)
+                cost, fair = np.concatenate([mixer.costs(found[part]) for part in _parts(found)], axis=1)
+                total = counts.sum(axis=1)
+                seen = np.maximum(total - 1, 0) / np.maximum(by_symbol[[w[0] for w in found]] - 1, 1)
+                likely = [float((total * np.log(s * seen + (1 - s) * np.exp2(-fair) + 1e-300)).sum()) for s in SHARES]
+                yield pd.DataFrame({"bucket": [bucket], "words": [blob], "c": [_packed(total)], "cost": [_packed(cost.astype(np.float32))], "codes": [_packed(_class_codes(counts, totals))], "likely": [likely]})
         release()
-        return pd.DataFrame(out, columns=["chunk", "bucket", "c", "cost", "codes"])
 
     return run
 
 
+def _sent_back(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Prices of a bucket's words for each chunk, in the order of its words."""
+    found = _split(right["words"].iloc[0])
+    total, cost = _opened(right["c"].iloc[0], np.int64), _opened(right["cost"].iloc[0], np.float32)
+    codes = _opened(right["codes"].iloc[0], np.uint8).reshape(-1, CLASSES)
+    number = dict(zip(found, range(len(found)), strict=True))
+    out = []
+    for chunk, blob in zip(left["chunk"], left["words"], strict=True):
+        at = np.array(list(map(number.__getitem__, _split(blob))), np.int64)
+        out.append((chunk, right["bucket"].iloc[0], _packed(total[at]), _packed(cost[at]), _packed(codes[at])))
+    del number, found, total, cost, codes
+    release()
+    return pd.DataFrame(out, columns=["chunk", "bucket", "c", "cost", "codes"])
+
+
 def _first_table(cells: np.ndarray, code: Code) -> np.ndarray:
     """log10 probability of a word's first symbol by gate: bits along its code, mixed from three contexts.
 
@@ -560,10 +594,12 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
        rows, are dealt to buckets by hash and summed. This table holds every word of the corpus and grows with it.
     2. A word is spelled as bits of a Huffman code of its symbols. Bit predictors with hashed contexts (1, 3 and 5
        symbols, the whole prefix) hold counts of all training words in tables of fixed size; logistic mixing weighs
-       them by gates of the prefix's count, and an adaptive refinement corrects the mixed bit. Weights and
-       refinement are learned online on about ``FITTED_WORDS`` training words, picked by hash, each left out of the
-       counts once. A word's first symbol comes from the end of the word before.
-    3. Each word is priced once in its bucket; spelling and frequency are mixed by one share.
+       them by gates of the prefix's count, and an adaptive refinement corrects the mixed bit. Weights are learned
+       online on every training word by learners over some buckets each, and averaged by the bits that they saw;
+       the refinement is summed over every training word. Words are left out of the counts once for both. A word's
+       first symbol comes from the end of the word before.
+    3. Each word is priced once in its bucket; spelling and frequency are mixed by one share, the likeliest over every
+       training word.
     4. Prices go back to the chunks. There the frequencies of classes of texts, and then the text's own words so
        far, are mixed in online, gated by how well each did on the text before the token.
 
@@ -608,14 +644,16 @@ def score_documents(docs: DataFrame, train: Column, id_col: str = "doc_id", text
         for table, blob in ((tables.zeros, r["zeros"]), (tables.ones, r["ones"])):
             part = _opened(bytes(blob), np.float32)
             table[r["table"]][r["span"] * SPAN : r["span"] * SPAN + len(part)] = part
-    every = max(1, n_words // FITTED_WORDS)
-    sample = sorted((bytes(r["word"]), r["c"]) for r in packed.mapInPandas(_sampled(every), "word binary, c bigint").collect())
-    mixer, share = _fitted(code, tables, [w for w, _ in sample], np.array([c for _, c in sample], np.float64), by_symbol)
-
     sent = context.broadcast(tables)
-    small = replace(mixer, tables=None)
-    prices = held.select("chunk", "bucket", "words").groupBy("bucket").cogroup(vocabulary.select(F.col("bucket").alias("of"), F.col("bucket").alias("bucket"), "words", "counts").groupBy("of"))
-    prices = prices.applyInPandas(_priced(sent, small, totals), "chunk bigint, bucket int, c binary, cost binary, codes binary")
+    mixer = _fitted(Mixer(code, None, np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (GATES, 1))), sent, vocabulary, n_words)
+
+    kinds = "bucket int, words binary, c binary, cost binary, codes binary, likely array<double>"
+    vocabulary.select("bucket", "words", "counts").mapInPandas(_priced(sent, mixer, totals, by_symbol), kinds).write.parquet(f"{folder}/priced")
+    priced = spark.read.schema(kinds).parquet(f"{folder}/priced")
+    likely = priced.agg(*[F.sum(F.get("likely", F.lit(k))) for k in range(len(SHARES))]).first()
+    share = max(zip(likely, SHARES, strict=True), key=lambda x: x[0])[1] if sum(class_totals) else 0.5
+    prices = held.select("chunk", "bucket", "words").groupBy("bucket").cogroup(priced.select(F.col("bucket").alias("of"), "bucket", "words", "c", "cost", "codes").groupBy("of"))
+    prices = prices.applyInPandas(_sent_back, "chunk bigint, bucket int, c binary, cost binary, codes binary")
     prior = np.r_[0.1, 0.9 * (totals + 1) / (totals + 1).sum()]
     shared = context.broadcast((_first_table(cells, code), share, n_train, n_words, by_symbol, prior, int(ends.sum()), _class_codes(ends[None], totals)[0]))
     lean = texts.select("chunk", "ids", "train", "lengths", "bytes", "seq", "first", "gate")

@@ -108,3 +108,28 @@ def test_packed_classes_never_give_more():
     back = lm.CLASS_VALUES[lm._class_codes(counts, totals)]
     real = counts / totals
     assert ((back <= real * (1 + 1e-12)) & (back >= real * 0.9)).all() and ((back == 0) == (counts == 0)).all()
+
+
+def test_every_training_word_is_fitted_on(spark):
+    """Refinement sums and weights take in all training words, the hot one too, whatever the size of the vocabulary."""
+    importable(spark)
+    found = [b"hot", *(b"word%d" % k for k in range(400)), b"unseen"]
+    counts = np.zeros((len(found), lm.CLASSES), np.int64)
+    counts[:-1, 0] = [10_000, *range(1, 401)]
+    rows = [(b, lm._joined(found[b::4]), lm._packed(counts[b::4])) for b in range(4)]
+    vocabulary = spark.createDataFrame(rows, "bucket int, words binary, counts binary")
+    code, tables = lm.Code.build(np.ones(256)), lm.Tables()
+    owner, bit, slots = lm._decisions(found, code)
+    weight = counts.sum(axis=1)[owner].astype(float)
+    for k, slot in enumerate(slots):
+        np.add.at(tables.zeros[k], slot, weight * (bit == 0))
+        np.add.at(tables.ones[k], slot, weight * (bit == 1))
+    start = lm.Mixer(code, None, np.tile([0.1, 0.2, 0.3, 0.4, 0.0], (lm.GATES, 1)))
+    mixer = lm._fitted(start, spark.sparkContext.broadcast(tables), vocabulary, 10**9)
+    assert not np.allclose(mixer.weights, start.weights)
+    whole = lm.Mixer(code, tables, mixer.weights)
+    x, gate = whole.inputs(slots, bit, True)
+    at = whole.bucket(whole.mixed(x, gate), gate)
+    zeros, ones = (np.bincount(at, weights=weight * (bit == v), minlength=lm.GATES * lm.BUCKETS) for v in (0, 1))
+    near = lm._squash((np.arange(lm.GATES * lm.BUCKETS) % lm.BUCKETS - lm.BUCKETS // 2) * 12 / (lm.BUCKETS // 2))
+    assert np.allclose(mixer.refined, np.clip(np.log((ones + 2 * near) / (zeros + 2 * (1 - near))), -12, 12))
