@@ -142,7 +142,10 @@ def _filter_bits(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _occurrences(places: np.ndarray):
-    """How often the words of each wanted pattern occur, whatever follows them; ``places`` filters by hash bits."""
+    """How often the words of each wanted pattern occur, whatever follows them; ``places`` filters by hash bits.
+
+    Each of a text's ``copies`` counts as that part of it, so all of them together count once.
+    """
     wanted = np.zeros(1 << FILTER_BITS, bool)
     wanted[places] = True
     shift = np.uint64(64 - FILTER_BITS)
@@ -150,31 +153,42 @@ def _occurrences(places: np.ndarray):
     def run(batches):
         hashes = WordHashes()
         for batch in slices(batches, "text"):
-            hits = []
-            for text in batch.column("text").to_pylist():
+            hits, parts = [np.zeros(0, np.uint64)], [np.zeros(0)]
+            for text, copies in zip(batch.column("text").to_pylist(), batch.column("copies").to_pylist(), strict=True):
                 h = hashes.of(text.encode("utf-8", "surrogatepass").lower().split()) if text else ()
                 if len(h):
                     for x in (h, h[:-1] * np.uint64(3) + h[1:]):
                         hits.append(x[wanted[x >> shift]])
-            values, counts = np.unique(np.concatenate(hits), return_counts=True) if hits else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "n"])
+                        parts.append(np.full(len(hits[-1]), 1 / copies))
+            values, at = np.unique(np.concatenate(hits), return_inverse=True)
+            counts = np.bincount(at, weights=np.concatenate(parts), minlength=len(values))
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["h", "n"])
 
     return run
 
 
+def _with_copies(texts: DataFrame) -> DataFrame:
+    """Every row's text and how many rows hold it; only hashes of texts that occur more than once are joined back."""
+    hashed = texts.filter("text <> ''").withColumn("own", F.xxhash64("text"))
+    many = cut_lineage(hashed.groupBy("own").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"))
+    side = F.broadcast(many) if fits_broadcast(many) else many
+    return hashed.join(side, "own", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
+
+
 def score_patterns(edges: DataFrame, occurrences: DataFrame, rounds: int = 3, support: int = 3, limit: float = 0.6) -> DataFrame:
     """Patterns that find identifiers: (pattern, score) with score at least ``limit``.
 
-    ``edges`` (pattern, instance, seed) is the distinct graph; ``occurrences`` (pattern, n) says how often a
-    pattern's words occur at all. Each round: a pattern's score is the belief in its distinct instances over its
-    occurrences, for patterns with belief of at least ``support``; an instance's belief is 1 for seeds, else the best
-    score among its patterns. Each round is reduced by key before the shuffle.
+    ``edges`` (pattern, instance, seed, times) is the distinct graph and how often the pattern led to the instance;
+    ``occurrences`` (pattern, n) says how often a pattern's words occur at all. Each round: a pattern's score is the
+    share of its occurrences that led to an instance, weighed by the belief in that, for patterns whose distinct
+    instances have a belief of at least ``support`` together; an instance's belief is 1 for seeds, else the best score
+    among its patterns. Each round is reduced by key before the shuffle.
     """
     beliefs = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
     scores = None
     for _ in range(rounds):
-        mass = edges.join(beliefs, "instance").groupBy("pattern").agg(F.sum("belief").alias("mass"))
-        scores = cut_lineage(mass.filter(F.col("mass") >= support).join(occurrences, "pattern").select("pattern", F.least(F.lit(1.0), F.col("mass") / F.col("n")).alias("score")))
+        mass = edges.join(beliefs, "instance").groupBy("pattern").agg(F.sum("belief").alias("mass"), F.sum(F.col("belief") * F.col("times")).alias("led"))
+        scores = cut_lineage(mass.filter(F.col("mass") >= support).join(occurrences, "pattern").select("pattern", F.least(F.lit(1.0), F.col("led") / F.col("n")).alias("score")))
         told = edges.join(scores, "pattern").groupBy("instance").agg(F.max("score").alias("told"))
         seeds = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("seed"))
         beliefs = cut_lineage(seeds.join(told, "instance", "left").select("instance", F.greatest("seed", F.when(F.col("told") >= limit, F.col("told")).otherwise(0.0)).alias("belief")))
@@ -187,7 +201,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     The base kinds are found by their form. They seed a bootstrap: the words before a seed make lexical patterns;
     Spark scores the graph of patterns and instances for some rounds, a pattern by the share of its occurrences in
     the whole corpus that lead to a believed identifier; identifier-like values after high-scoring patterns are
-    added as kind ``context``. Copies of a text count once in the graph.
+    added as kind ``context``. Copies of a text count once, in the graph and in the occurrences.
 
     Null and empty texts have no spans. Null ids and repeated rows are rows like others. Equal starts of one kind
     cannot occur. An empty table gives an empty result; other columns are not looked at.
@@ -195,14 +209,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     scanned = cut_lineage(rows.mapInArrow(_scan, f"id {rows.schema['id'].dataType.simpleString()}, {_ROW}"))
     values = scanned.filter("size(found) > 0").select("key", F.explode("found").alias("f")).select("key", "f.*").select("*", F.explode("patterns").alias("pattern")).drop("patterns")
-    edges = values.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count_distinct("key").alias("n"))
-    seeded = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.count(F.lit(1)).alias("n"))
+    edges = values.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count_distinct("key", "s").alias("times"))
+    seeded = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.sum("times").cast("double").alias("n"))
     seeded = cut_lineage(seeded.filter(F.col("seeds") >= support))
-    edges = cut_lineage(edges.join(seeded.select("pattern"), "pattern").select("pattern", "instance", "seed"))
+    edges = cut_lineage(edges.join(seeded.select("pattern"), "pattern").select("pattern", "instance", "seed", "times"))
     hashed = cut_lineage(seeded.filter("pattern NOT LIKE '= %'").select("pattern").mapInPandas(_filter_bits, "h bigint, pattern string"))
     # the filter has 2^24 places whatever the number of patterns
     places = np.array([r[0] for r in hashed.select(F.shiftrightunsigned("h", 64 - FILTER_BITS)).distinct().collect()], np.int64)
-    counted = rows.select("text").mapInArrow(_occurrences(places), "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = _with_copies(rows.select("text")).mapInArrow(_occurrences(places), "h bigint, n double").groupBy("h").agg(F.round(F.sum("n")).alias("n"))
     occurrences = hashed.join(counted, "h").select("pattern", "n").union(seeded.filter("pattern LIKE '= %'").select("pattern", "n"))
     good = score_patterns(edges, cut_lineage(occurrences), rounds, support, limit).select("pattern")
     side = F.broadcast(good) if fits_broadcast(good) else good

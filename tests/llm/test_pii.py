@@ -99,3 +99,11 @@ def test_redact_keeps_rows_and_columns(spark):
     assert len(texts) == len(rows) and texts.count("<EMAIL>") == 3 and texts.count(None) == 1
     assert sum("<CONTEXT>" in (t or "") for t in texts) == 3
     assert redact(documents(spark, [])).count() == 0
+
+
+def test_copies_count_once(spark):
+    """A thousand copies of a seed text, or one identifier a thousand times, leave the other identifiers found."""
+    more = [(10_000 + k, "some words before it, write to me at user0@mail.example.org and others after 0") for k in range(1000)]
+    more += [(20_000 + k, f"in text {k} write to me at user1@mail.example.org now") for k in range(1000)]
+    found = {r["doc_id"]: r["spans"] for r in find_pii(documents(spark, contexts(12, 9) + more)).collect()}
+    assert all("context:" in found[100 + k] for k in range(3))
