@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -175,20 +175,39 @@ def _with_copies(texts: DataFrame) -> DataFrame:
     return hashed.join(side, "own", "left").select("text", F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
-def score_patterns(edges: DataFrame, occurrences: DataFrame, rounds: int = 3, support: int = 3, limit: float = 0.6) -> DataFrame:
+def _counted(rows: DataFrame, patterns: DataFrame, named: DataFrame) -> DataFrame:
+    """(pattern, n) for ``patterns``: how often their words occur in ``rows``; for ``name=value`` the counts of ``named``."""
+    hashed = cut_lineage(patterns.filter("pattern NOT LIKE '= %'").select("pattern").mapInPandas(_filter_bits, "h bigint, pattern string"))
+    # the filter has 2^24 places whatever the number of patterns
+    places = np.array([r[0] for r in hashed.select(F.shiftrightunsigned("h", 64 - FILTER_BITS)).distinct().collect()], np.int64)
+    own = named.join(patterns.filter("pattern LIKE '= %'"), "pattern").select("pattern", "n")
+    if not len(places):
+        return cut_lineage(own)
+    counted = rows.mapInArrow(_occurrences(places), "h bigint, n double").groupBy("h").agg(F.round(F.sum("n")).alias("n"))
+    return cut_lineage(hashed.join(counted, "h").select("pattern", "n").union(own))
+
+
+def score_patterns(edges: DataFrame, occurrences: Callable[[DataFrame], DataFrame], rounds: int = 3, support: int = 3, limit: float = 0.6) -> DataFrame:
     """Patterns that find identifiers: (pattern, score) with score at least ``limit``.
 
     ``edges`` (pattern, instance, seed, times) is the distinct graph and how often the pattern led to the instance;
-    ``occurrences`` (pattern, n) says how often a pattern's words occur at all. Each round: a pattern's score is the
+    ``occurrences`` gives (pattern, n), how often a pattern's words occur at all; it is asked for the patterns that reach
+    ``support`` in a round for the first time, so identifiers found in one round admit patterns in the next. Each round: a pattern's score is the
     share of its occurrences that led to an instance, weighed by the belief in that, for patterns whose distinct
     instances have a belief of at least ``support`` together; an instance's belief is 1 for seeds, else the best score
     among its patterns. Each round is reduced by key before the shuffle.
     """
     beliefs = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("belief"))
-    scores = None
+    scores = known = None
     for _ in range(rounds):
         mass = edges.join(beliefs, "instance").groupBy("pattern").agg(F.sum("belief").alias("mass"), F.sum(F.col("belief") * F.col("times")).alias("led"))
-        scores = cut_lineage(mass.filter(F.col("mass") >= support).join(occurrences, "pattern").select("pattern", F.least(F.lit(1.0), F.col("led") / F.col("n")).alias("score")))
+        mass = cut_lineage(mass.filter(F.col("mass") >= support))
+        new = mass.select("pattern") if known is None else cut_lineage(mass.select("pattern").join(known, "pattern", "left_anti"))
+        if known is None:
+            known = occurrences(new)
+        elif not new.isEmpty():
+            known = known.union(occurrences(new))
+        scores = cut_lineage(mass.join(known, "pattern").select("pattern", F.least(F.lit(1.0), F.col("led") / F.col("n")).alias("score")))
         told = edges.join(scores, "pattern").groupBy("instance").agg(F.max("score").alias("told"))
         seeds = edges.groupBy("instance").agg(F.max(F.col("seed").cast("double")).alias("seed"))
         beliefs = cut_lineage(seeds.join(told, "instance", "left").select("instance", F.greatest("seed", F.when(F.col("told") >= limit, F.col("told")).otherwise(0.0)).alias("belief")))
@@ -201,7 +220,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     The base kinds are found by their form. They seed a bootstrap: the words before a seed make lexical patterns;
     Spark scores the graph of patterns and instances for some rounds, a pattern by the share of its occurrences in
     the whole corpus that lead to a believed identifier; identifier-like values after high-scoring patterns are
-    added as kind ``context``. Copies of a text count once, in the graph and in the occurrences.
+    added as kind ``context``, and believed in the next round, in which they admit patterns that no seed follows. Copies of a text count once, in the graph and in the occurrences.
 
     Null and empty texts have no spans. Null ids and repeated rows are rows like others. Equal starts of one kind
     cannot occur. An empty table gives an empty result; other columns are not looked at.
@@ -210,15 +229,14 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
     scanned = cut_lineage(rows.mapInArrow(_scan, f"id {rows.schema['id'].dataType.simpleString()}, {_ROW}"))
     values = scanned.filter("size(found) > 0").select("key", F.explode("found").alias("f")).select("key", "f.*").select("*", F.explode("patterns").alias("pattern")).drop("patterns")
     edges = values.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count_distinct("key", "s").alias("times"))
-    seeded = edges.groupBy("pattern").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.sum("times").cast("double").alias("n"))
-    seeded = cut_lineage(seeded.filter(F.col("seeds") >= support))
-    edges = cut_lineage(edges.join(seeded.select("pattern"), "pattern").select("pattern", "instance", "seed", "times"))
-    hashed = cut_lineage(seeded.filter("pattern NOT LIKE '= %'").select("pattern").mapInPandas(_filter_bits, "h bigint, pattern string"))
-    # the filter has 2^24 places whatever the number of patterns
-    places = np.array([r[0] for r in hashed.select(F.shiftrightunsigned("h", 64 - FILTER_BITS)).distinct().collect()], np.int64)
-    counted = _with_copies(rows.select("text")).mapInArrow(_occurrences(places), "h bigint, n double").groupBy("h").agg(F.round(F.sum("n")).alias("n"))
-    occurrences = hashed.join(counted, "h").select("pattern", "n").union(seeded.filter("pattern LIKE '= %'").select("pattern", "n"))
-    good = score_patterns(edges, cut_lineage(occurrences), rounds, support, limit).select("pattern")
+    edges = cut_lineage(edges)
+    # belief in a pattern is at most the number of its instances, so smaller ones can reach support in no round
+    named = cut_lineage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.sum("times").cast("double").alias("n")).filter(F.col("instances") >= support))
+    seeds = edges.filter("seed").select("instance").distinct().withColumn("known", F.lit(True))
+    edges = edges.join(named.select("pattern"), "pattern").join(seeds, "instance", "left")
+    edges = cut_lineage(edges.select("pattern", "instance", F.coalesce("known", F.lit(False)).alias("seed"), "times"))
+    texts = _with_copies(rows.select("text"))
+    good = score_patterns(edges, lambda patterns: _counted(texts, patterns, named), rounds, support, limit).select("pattern")
     side = F.broadcast(good) if fits_broadcast(good) else good
     added = values.filter("NOT seed").join(side, "pattern").groupBy("key").agg(F.array_sort(F.collect_set(F.struct("s", "e"))).alias("added"))
     own = scanned.drop("found")

@@ -107,3 +107,13 @@ def test_copies_count_once(spark):
     more += [(20_000 + k, f"in text {k} write to me at user1@mail.example.org now") for k in range(1000)]
     found = {r["doc_id"]: r["spans"] for r in find_pii(documents(spark, contexts(12, 9) + more)).collect()}
     assert all("context:" in found[100 + k] for k in range(3))
+
+
+def test_second_hop(spark):
+    """Identifiers met after a seeded context admit another context, without a seed of its own, that finds further ones."""
+    rows = [(k, f"please write to me at user{k}@mail.example.org today") for k in range(20)]
+    rows += [(100 + k, f"please write to me at handle-{k}77 today") for k in range(8)]
+    rows += [(200 + k, f"the customer number handle-{k}77 was given") for k in range(8)]
+    rows += [(300 + k, f"the customer number other-{k}55 was given") for k in range(2)]
+    found = {r["doc_id"]: r["spans"] for r in find_pii(documents(spark, rows)).collect()}
+    assert all("context:" in found[k] for k in (*range(100, 108), *range(200, 208), 300, 301))
