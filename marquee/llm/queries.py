@@ -17,10 +17,13 @@ from marquee.llm.decontaminate import find_leaks
 from marquee.llm.html_text import extract_text
 from marquee.llm.jaccard import jaccard_classes
 from marquee.llm.lm import score_documents
+from marquee.llm.minmax import near_duplicate_classes
 from marquee.llm.pii import find_pii
+from marquee.llm.prefix_trie import prefix_trie
 from marquee.llm.quality import quality_verdicts
 from marquee.llm.toxicity import fit, score
 from marquee.llm.warc import read_archives, write_archives
+from marquee.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,7 +82,19 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest("ids").alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_lm_score, op3_decontamination, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe)}
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
+
+
+def op13_minmax_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_classes(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_lm_score, op3_decontamination, op4_ngram_jaccard_join, op5_html_text, op6_quality_rules, op7_toxicity, op8_warc_revisits, op9_pii, op10_byte_bpe, op11_prefix_trie, op12_whitening, op13_minmax_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE: dict[str, str] = {
@@ -123,5 +138,47 @@ m AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITIO
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
  CASE WHEN page_id < original THEN original END AS refers_to FROM m""",
 }
+# crc32 bit by bit: DuckDB has no function for it
+ORACLE["op11_prefix_trie"] = r"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rn
+ FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'r': r, 'x': x} ORDER BY rn) AS turns FROM t GROUP BY c),
+b AS (SELECT c, turns, list_transform(range(1, len(c::VARCHAR) + 1), lambda k: ascii(substr(c::VARCHAR, k, 1))::BIGINT) AS bytes FROM o),
+h AS (SELECT c, turns, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes),
+   lambda u, v: list_reduce(list_prepend(xor(u, v), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda p, q: xor(p >> 1, (p & 1) * 3988292384))), 4294967295) % 4 AS h FROM b),
+s AS (SELECT h.c, list_concat(coalesce(o.turns[1:h.h], []), h.turns[h.h + 1:]) AS s FROM h LEFT JOIN o ON o.c = h.c - h.c % 20),
+p AS (SELECT c, s, d, s[1:d] AS p FROM s, unnest(range(0, len(s) + 1)) AS u(d)),
+n AS (SELECT p, d, min(c) AS conv, count(*) AS n,
+  (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(any_value(s[d].x), '[^ 	-
+]+')) END AS saved,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '')) AS ends FROM p GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS children FROM n WHERE d > 0 GROUP BY 1, 2),
+m AS (SELECT n.*, coalesce(children, 0) AS children FROM n LEFT JOIN k ON k.d = n.d AND k.p = n.p),
+a AS (SELECT m.p[1:u.d] AS p, u.d, count(*) FILTER (children = 0) AS leaves, sum(saved) AS saved FROM m, unnest(range(0, m.d + 1)) AS u(d) GROUP BY 1, 2)
+SELECT m.conv AS conv_id, m.d AS depth, q.conv AS parent_conv_id, m.n AS n_convs, m.children AS n_children, a.leaves AS n_leaves,
+ a.saved::BIGINT AS saved_tokens, m.ends AS ends_sha256
+FROM m JOIN a ON a.d = m.d AND a.p = m.p LEFT JOIN n q ON q.d = m.d - 1 AND q.p = m.p[1:m.d - 1]"""
+
+
+def _linked_classes(width: int, percent: int, columns: str) -> str:
+    """Classes of documents whose shingle sets are alike, all pairs that share a shingle counted."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, hash(ws[i:i + {width - 1}]) AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {width - 2}, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= {percent} * (x.n + y.n - common)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+f AS (SELECT a, least(a, min(b)) AS component_id FROM r GROUP BY a),
+k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+d AS (SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(n_links, 0) AS n_links
+ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN f ON f.a = doc_id LEFT JOIN k ON k.a = doc_id)
+SELECT {columns} FROM d"""
+
+
+ORACLE["op4_ngram_jaccard_join"] = _linked_classes(4, 85, "doc_id, n_shingles, component_id, n_links")
+ORACLE["op13_minmax_dedup"] = _linked_classes(5, 85, "doc_id, n_shingles, component_id, doc_id = component_id AS kept")
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
