@@ -59,17 +59,17 @@ def test_odd_rows(spark):
 
 @pytest.mark.parametrize("share", [0.3, 0.6, 0.85])
 def test_signatures_agree_as_often_as_sets_are_alike(share):
-    """Unbiased, and with less variance than as many minima would have."""
+    """Unbiased, and as steady as twice as many hashes that give one value each."""
     rng = np.random.default_rng(9)
     rates = []
-    for _ in range(60):
+    for _ in range(1500):
         size = 200
         common = round(2 * size * share / (1 + share))
         a = rng.integers(0, 2**63, 2 * size - common, np.uint64)
         s = min_max([a[:size], a[size - common :]], 60)
         rates.append((s[0] == s[1]).mean())
     real = common / (2 * size - common)
-    assert abs(np.mean(rates) - real) < 0.02
+    assert abs(np.mean(rates) - real) < 0.005
     assert np.var(rates) < 1.15 * real * (1 - real) / 120
 
 
