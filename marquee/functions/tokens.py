@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 
 from marquee.functions.entities import decode_entities, let, unescape_html
 from marquee.functions.patterns import (
+    BEFORE_END,
     CASUAL_EMOTICON,
     CASUAL_HANDLE,
     CASUAL_TOKEN,
     CONTRACTION,
     EDGE_LEFT,
     EDGE_RIGHT,
+    LONG_RUN,
+    MARK,
+    REST_FORM,
     any_of,
+    first_pass,
     protected_kinds,
     protected_pattern,
+    second_pass,
 )
 from marquee.functions.scalars import SPACE_CHARS, strip_space
 
@@ -189,11 +195,34 @@ def protected_spans(col: Column | str, kind: str | None = None) -> Column:
 def split_tokens(col: Column | str, pattern: str | None = None) -> Column:
     """Split on spaces, with each protected span (URL, emoticon, number, ...) kept as one token.
 
-    No protected span has a space inside, so setting them off by spaces is enough.
+    No protected span has a space inside, so setting them off by spaces is enough. Texts with a run of
+    512 characters or more without a space are read in two passes, so that no run is searched again from each of its spans.
     """
-    spaced = F.regexp_replace(_col(col), pattern or protected_pattern(), " $0 ")
-    pieces = F.split(strip_space(spaced), rf"[{SPACE_CHARS}]* [{SPACE_CHARS}]*")
-    return F.filter(pieces, lambda t: t != "")
+    text = _col(col)
+
+    def pieces(spaced: Column) -> Column:
+        return F.filter(F.split(strip_space(spaced), rf"[{SPACE_CHARS}]* [{SPACE_CHARS}]*"), lambda t: t != "")
+
+    if pattern:
+        return pieces(F.regexp_replace(text, pattern, " $0 "))
+    return F.when(text.rlike(LONG_RUN), _long_pieces(text, pieces)).otherwise(pieces(F.regexp_replace(text, protected_pattern(), " $0 ")))
+
+
+def _long_pieces(text: Column, pieces: Callable[[Column], Column]) -> Column:
+    marked = F.regexp_replace(text, first_pass(), REST_FORM)
+
+    def opened(piece: Column) -> Column:
+        rest = F.concat(F.when(piece.startswith(MARK + BEFORE_END), " ").otherwise(""), F.translate(piece, MARK + BEFORE_END, ""))
+
+        def read_without(*kinds: str) -> Column:
+            return F.regexp_replace(rest, second_pass(("apostrophe_word", *kinds)), " $0 ")
+
+        spaced = F.when(~rest.contains("."), read_without("email", "host")).when(~rest.contains("@"), read_without("email")).otherwise(read_without())
+        read = pieces(F.substring(spaced, 2, 2**31 - 1))
+        kept = F.filter(F.array(strip_space(piece)), lambda t: t != "")
+        return F.when(piece.startswith(MARK), read).otherwise(kept)
+
+    return F.flatten(F.transform(F.split(marked, " "), opened))
 
 
 def tokenize_raw(col: Column | str, pattern: str | None = None) -> Column:

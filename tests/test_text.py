@@ -88,6 +88,30 @@ def test_long_runs_of_faces_take_time_in_proportion(spark, unit):
     assert time.monotonic() - start < 2 * len(texts)
 
 
+def test_long_runs_of_faces_take_four_times_as_long_for_four_times_the_length(spark):
+    units = ["^_^", "*_*", "x_x", "<-.->", "♥a", "~a", "#a", "a-b"]
+    column(spark, ["x" * 600], T.tokenize_raw)
+    took = []
+    for times in (10_000, 40_000):
+        start = time.monotonic()
+        for text, tokens in zip(texts := ["'" + unit * times for unit in units], column(spark, texts, T.tokenize_raw), strict=True):
+            assert "".join(tokens) == text
+        took.append(time.monotonic() - start)
+    assert took[1] < 8 * took[0]
+
+
+def test_long_runs_are_read_like_short_ones(spark):
+    """Two passes over a long run give the tokens of one pass over it."""
+    from marquee.functions.patterns import protected_pattern
+
+    rng = random.Random(9)
+    parts = ["a", "é", "日", ".", ",", "'", '"', ":", "-", "_", "(", "<", ">", "3", "#", "@", "o.O", "^_^", "http://", "www.", ".com", "-b",
+             "don't", "U.", "~", "=", "*", "|", "D", "&", "♥", "e@f.de", "foo.com", "Mr.", "*_*", "2:30", "1,234", "’", "U.S.A", "x" * 30]
+    texts = [rng.choice([" ", "  ", " \t"]).join("".join(rng.choice(parts) for _ in range(rng.choice([1, 3, 400]))) for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    texts += ["x" * 600 + end for end in ("", "'a", "a'b", "@b.de", ".com/it's", "'", " U.S.A", "\t ok")]
+    assert column(spark, texts, T.split_tokens) == column(spark, texts, lambda t: T.split_tokens(t, protected_pattern()))
+
+
 @pytest.mark.parametrize("unit", ["-", "<", ".", "=-", "*;", "a-b", "1,234,", "1.", "U.", "(;-;", "日本", "ab1", "<3", "!'"])
 def test_long_runs_do_not_exhaust_the_stack(spark, unit):
     text = "(" + unit * (4000 // len(unit))
