@@ -406,6 +406,12 @@ add(
 )
 for name in ("m1_softmax_optimum", "m12_ridge_optimum"):
     add(name, "SELECT DISTINCT CAST(label AS BIGINT) AS label, TRUE AS penalty_is_one FROM {sentiment_fx}")
+add(
+    "m3_tune_optimum",
+    "SELECT c::DOUBLE AS \"C\", b AS is_binary, m::INT AS max_features, n::INT AS max_n, f::INT AS fold, TRUE AS penalty_is_one "
+    "FROM unnest([0.1, 1.0, 10.0]) AS a(c), unnest([TRUE, FALSE]) AS b(b), unnest([5000, 10000, 20000]) AS c2(m), "
+    "unnest([1, 2]) AS d(n), unnest(range(5)) AS e(f)",
+)
 add("s13_save_and_load_model", "SELECT tweet_id, TRUE AS same FROM {tweets_fx}")
 add("m5_score_is_consistent", "SELECT title, tweet_id, CAST(1.0 AS DOUBLE) AS total, TRUE AS is_best FROM {tweets_fx}")
 PR = "round(pr_neg, 6) AS pr_neg, round(pr_neu, 6) AS pr_neu, round(pr_pos, 6) AS pr_pos"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,14 @@ def build_session(app: str = "marquee", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def reach_package(spark: SparkSession) -> SparkSession:
+    """Let Python tasks import this package where the driver found it without PYTHONPATH."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(p for p in (root, env.get("PYTHONPATH", "")) if p)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints: ``spark.checkpoint.dir``, or a scratch one in local mode only."""
     context = spark.sparkContext
