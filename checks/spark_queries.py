@@ -619,7 +619,8 @@ def _word_counts(tweets: DataFrame) -> DataFrame:
 @query("tweets_fx")
 def t14_segment_hashtags(tweets):
     docs = tweets.select("tweet_id", "tweet_text")
-    return X.segment_hashtags(docs, _word_counts(tweets), key=["tweet_id"])
+    pairs = cut_lineage(X.word_pairs(tokens_of(tweets)))
+    return X.segment_hashtags(docs, _word_counts(tweets), pair_counts=pairs)
 
 
 @query("tweets_fx")

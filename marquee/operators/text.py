@@ -108,33 +108,67 @@ def _tag_text(element: Column) -> Column:
     return F.regexp_replace(F.lower(element), "[^a-z0-9]", "")
 
 
-def _best_split(tag: str, spans: list[dict], total: float) -> list[str]:
+def _best_split(tag: str, spans: list[dict], pairs: list[dict] | None, total: float) -> list[str]:
     """Words of the most probable split of ``tag``.
 
     ``spans`` are the pieces that are words (start, end, score: log10 of their share). A piece that is no word, of up to the
-    longest piece's length, costs more the longer it is. Keeps the best score and last start of every end.
+    longest piece's length, costs more the longer it is. ``pairs`` are neighbouring words that are known as a pair
+    (start, middle, end, score: log10 of the pair's share of its first word); the second one then costs that instead. Keeps
+    the best score of every last piece, and the best one of every end.
     """
     longest, scores = spans[0]["limit"], {(s["start"], s["end"]): s["score"] for s in spans if s["score"] is not None}
+    after: dict[tuple[int, int], dict[int, float]] = {}
+    for pair in pairs if pairs is not None else ():
+        after.setdefault((pair["middle"], pair["end"]), {})[pair["start"]] = pair["score"]
     unknown = 1.0 - math.log10(total)
+    pieces: list[dict[int, tuple[float, int | None]]] = [{}]  # by end and start: score, start of the piece before
     best = [(0.0, 0)]
     for end in range(1, len(tag) + 1):
-        best.append(max((best[start][0] + scores.get((start, end), unknown - (end - start)), start) for start in range(max(0, end - longest), end)))
+        mine: dict[int, tuple[float, int | None]] = {}
+        for start in range(max(0, end - longest), end):
+            own = scores.get((start, end), unknown - (end - start))
+            known = after.get((start, end))
+            if not known:
+                mine[start] = (best[start][0] + own, best[start][1] if start else None)
+            else:
+                mine[start] = max((score + known.get(before, own), before) for before, (score, _) in pieces[start].items())
+        pieces.append(mine)
+        best.append(max((score, start) for start, (score, _) in mine.items()))
     words, end = [], len(tag)
+    start = best[end][1]
     while end:
-        start = best[end][1]
         words.append(tag[start:end])
-        end = start
+        start, end = pieces[end][start][1], start
     return words[::-1]
 
 
-def _split_all(tags: pd.Series, spans: pd.Series, total: pd.Series) -> pd.Series:
-    return pd.Series([_best_split(t, s, n) for t, s, n in zip(tags, spans, total, strict=True)], dtype=object)
+def _split_all(tags: pd.Series, spans: pd.Series, pairs: pd.Series, total: pd.Series) -> pd.Series:
+    return pd.Series([_best_split(t, s, p, n) for t, s, p, n in zip(tags, spans, pairs, total, strict=True)], dtype=object)
 
 
-def hashtag_words(tags: DataFrame, word_counts: DataFrame, max_word: int = MAX_WORD) -> DataFrame:
-    """``tag, words`` for distinct ``tag`` texts, from ``word_counts(word, n)``.
+def word_pairs(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``first, second, n``: how often a word follows another one; counted within documents before the shuffle."""
+    runs = F.zip_with(F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))), F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("first"), b.alias("second")))
+    return docs.filter(F.size(tokens) > 1).select(F.inline(runs)).groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
 
-    Pieces of up to ``max_word`` characters are joined with the words; the best split of a tag then takes time in
+
+def _known_pairs(known: DataFrame, word_counts: DataFrame, pair_counts: DataFrame) -> DataFrame:
+    """``tag, pairs``: neighbouring pieces of each tag that the pair table knows, scored by their share of the first word."""
+    firsts = word_counts.select(F.col("word").alias("first"), F.col("n").alias("n_first"))
+    shares = pair_counts.join(firsts, "first").select("first", "second", F.log10(F.col("n") / F.col("n_first")).alias("pair_score"))
+    words = known.filter(F.col("score").isNotNull())
+    left = words.select("tag", "start", F.col("end").alias("middle"), F.col("word").alias("first"))
+    right = words.select("tag", F.col("start").alias("middle"), "end", F.col("word").alias("second"))
+    found = dictionary_join(left.join(right, ["tag", "middle"]), cut_lineage(shares), ["first", "second"], ["tag", "middle"])
+    found = found.filter(F.col("pair_score").isNotNull())
+    return found.groupBy("tag").agg(F.collect_list(F.struct("start", "middle", "end", F.col("pair_score").alias("score"))).alias("pairs"))
+
+
+def hashtag_words(tags: DataFrame, word_counts: DataFrame, max_word: int = MAX_WORD, pair_counts: DataFrame | None = None) -> DataFrame:
+    """``tag, words`` for distinct ``tag`` texts, from ``word_counts(word, n)`` and, if given, ``pair_counts(first, second, n)``.
+
+    Each word of a split counts with its share of all words, or, where it and the word before are a known pair, with the
+    pair's share of the word before. Pieces of up to ``max_word`` characters are joined with the words; the best split of a tag then takes time in
     proportion to its length.
     """
     size = word_counts.agg(F.sum("n").cast("double")).scalar()
@@ -153,7 +187,11 @@ def hashtag_words(tags: DataFrame, word_counts: DataFrame, max_word: int = MAX_W
     # one piece without a score keeps a tag that holds no word
     kept = known.filter(F.col("score").isNotNull() | ((F.col("start") == 0) & (F.col("end") == 1)))
     found = kept.groupBy("tag").agg(F.collect_list(F.struct("start", "end", "score", F.lit(max_word).alias("limit"))).alias("spans"))
-    split = F.pandas_udf(_split_all, "array<string>")("tag", "spans", F.coalesce(size, F.lit(1.0)))
+    if pair_counts is not None:
+        found = found.join(_known_pairs(known, word_counts, pair_counts), "tag", "left")
+    else:
+        found = found.withColumn("pairs", F.lit(None).cast("array<struct<start:int,middle:int,end:int,score:double>>"))
+    split = F.pandas_udf(_split_all, "array<string>")("tag", "spans", "pairs", F.coalesce(size, F.lit(1.0)))
     empty = tags.filter(F.length("tag") == 0).select("tag", F.array().cast("array<string>").alias("words"))
     return found.select("tag", split.alias("words")).unionByName(empty)
 
@@ -162,16 +200,19 @@ def segment_hashtags(
     df: DataFrame,
     word_counts: DataFrame,
     *,
-    key: Sequence[str],
+    key: Sequence[str] = (),
     text: str = "tweet_text",
     max_word: int = MAX_WORD,
+    pair_counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Replace each space-separated element that holds ``#`` by its words; the rest stays as it is.
+    """Replace each space-separated element that holds ``#`` by its words (``hashtag_words``); the rest stays as it is.
 
     Only the distinct tags are split; the texts get them back by one join on tag rows (broadcast when
-    small, else salted) and one on the key.
+    small, else salted) and one on a number of their own, written once, so rows whose key is null or repeated are
+    treated like others. ``key`` is not needed any more.
     """
-    key = list(key)
+    key = ["_row"]
+    columns, df = df.columns, cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
     elements = F.split(F.col(text), " ", -1)
     tagged = df.filter(F.contains(F.col(text), F.lit("#")))
     uses = tagged.select(
@@ -180,7 +221,7 @@ def segment_hashtags(
             F.array_distinct(F.transform(F.filter(elements, lambda e: F.contains(e, F.lit("#"))), _tag_text))
         ).alias("tag"),
     ).distinct()
-    split = cut_lineage(hashtag_words(uses.select("tag").distinct(), word_counts, max_word))
+    split = cut_lineage(hashtag_words(uses.select("tag").distinct(), word_counts, max_word, pair_counts))
     replaced = (
         dictionary_join(uses, split, ["tag"], key)
         .groupBy(*key)
@@ -201,5 +242,5 @@ def segment_hashtags(
         df.join(replaced, key, "left")
         .withColumn(text, F.when(F.col("_words").isNotNull(), new_text).otherwise(F.col(text)))
         .drop("_words")
-        .select(*df.columns)
+        .select(*columns)
     )

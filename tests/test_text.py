@@ -225,6 +225,47 @@ def test_hashtags(spark):
     assert got == ["i love good movie and the movie 2 x", "no tags  here", "zzq ok", None, "good movie is a night"]
 
 
+def test_hashtags_by_pairs_and_without_keys(spark):
+    counts = spark.createDataFrame([("a", 500), ("miss", 50), ("amiss", 60), ("is", 300), ("this", 200), ("thi", 1), ("s", 90)], "word string, n long")
+    pairs = spark.createDataFrame([("a", "miss", 400), ("is", "a", 250)], "first string, second string, n long")
+    posts = spark.createDataFrame([(None, "x #AMiss"), (None, "#thisisamiss"), (3, None), (None, "none")], "id int, tweet_text string")
+    got = sorted(str(r.tweet_text) for r in X.segment_hashtags(posts, counts, key=["id"]).collect())
+    assert got == ["None", "none", "this is amiss", "x amiss"]
+    got = sorted(str(r.tweet_text) for r in X.segment_hashtags(posts, counts, key=["id"], pair_counts=pairs).collect())
+    assert got == ["None", "none", "this is a miss", "x a miss"]
+    docs = spark.createDataFrame([(["a", "b", "a", "b"],), (["b"],), ([],), (None,)], "tokens array<string>")
+    assert sorted(map(tuple, X.word_pairs(docs).collect())) == [("a", "b", 2), ("b", "a", 1)]
+
+
+def test_hashtag_split_by_pairs_is_the_best_one(spark):
+    from math import log10
+
+    rng = random.Random(6)
+    counts = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 3))): rng.randint(20, 50) for _ in range(12)}
+    known = sorted(counts)
+    pairs = {(rng.choice(known), rng.choice(known)): rng.randint(1, 20) for _ in range(40)}
+    tags = list({"".join(rng.choice("abc") for _ in range(rng.randint(1, 8))) for _ in range(30)})
+    rows = X.hashtag_words(
+        spark.createDataFrame([(t,) for t in tags], "tag string"),
+        spark.createDataFrame(list(counts.items()), "word string, n long"),
+        pair_counts=spark.createDataFrame([(*p, n) for p, n in pairs.items()], "first string, second string, n long"),
+    ).collect()
+    assert len(rows) == len(tags)
+
+    def value(words):
+        _, score = best_split(words[0], counts)
+        parts = zip([None, *words], words)
+        return sum(log10(pairs[p] / counts[p[0]]) if p in pairs else score(p[1]) for p in parts)
+
+    for r in rows:
+        splits = []
+        for cuts in range(2 ** (len(r.tag) - 1)):
+            ends = [i for i in range(1, len(r.tag)) if cuts >> (i - 1) & 1] + [len(r.tag)]
+            splits.append([r.tag[a:b] for a, b in zip([0, *ends], ends)])
+        assert "".join(r.words) == r.tag
+        assert value(r.words) == pytest.approx(max(map(value, splits)))
+
+
 def best_split(tag, counts):
     """Most probable split by trying all of them."""
     from math import log10
