@@ -59,14 +59,16 @@ def top_n(
 ) -> DataFrame:
     """First ``n`` rows of each group by ``order``; keeps the row number (int) when ``name`` is given.
 
-    A group is cut into ``PARTS`` parts by a hash of its rows, and the first ``n`` of each part are picked before
+    A group is cut into ``PARTS`` parts by a hash of its rows (but for map columns) and of the task they come from, so
+    that equal rows part too and a task that runs again deals alike, and the first ``n`` of each part are picked before
     the first ``n`` of those, so a huge group is worked on by many tasks and one sees ``PARTS * n`` of its rows
     at most. When that is still many (``n`` of several thousand), rows are numbered by a distributed sort instead.
     """
     number, part = name or "_row_number", "_part"
     if n * PARTS <= MOST_IN_ONE_TASK:
         window = Window.orderBy(*order)
-        dealt = df.withColumn(part, F.pmod(F.xxhash64(*df.columns), F.lit(PARTS)))
+        hashable = [F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind]
+        dealt = df.withColumn(part, F.pmod(F.xxhash64(F.spark_partition_id(), *hashable), F.lit(PARTS)))
         first = dealt.withColumn(number, F.row_number().over(window.partitionBy(*within, part))).filter(F.col(number) <= n)
         numbered = first.drop(part, number).withColumn(number, F.row_number().over(window.partitionBy(*within)))
     else:

@@ -151,3 +151,10 @@ def test_size_check(spark):
     df = spark.range(100)
     assert session.fits_broadcast(df, max_rows=100) and not session.fits_broadcast(df, max_rows=99)
     assert not session.fits_broadcast(df, max_bytes=500)
+
+
+def test_top_n_of_equal_rows_and_map_columns(spark):
+    rows = [("t", 1, {"a": 1})] * 500 + [("t", 0, {"b": 2}), ("u", 5, None)]
+    df = spark.createDataFrame(rows, "title string, v int, m map<string,int>").repartition(6)
+    got = sorted((r.title, r.n, r.v) for r in R.top_n(df, ["title"], ["v"], 3, "n").collect())
+    assert got == [("t", 1, 0), ("t", 2, 1), ("t", 3, 1), ("u", 1, 5)]
