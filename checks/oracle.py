@@ -254,6 +254,32 @@ def per_post(rows: str, value: str = "token", sep: str = " ") -> str:
 add("a6_term_counts", "SELECT token AS term, count(*) AS total, count(DISTINCT tweet_id) AS docs FROM tok GROUP BY token", TOK)
 PLURAL = "regexp_matches(token, '^[a-z]{{3,}}s$')"
 add("j5_lemmatize", per_post(f"(SELECT tweet_id, pos, CASE WHEN {PLURAL} THEN left(token, length(token) - 1) ELSE token END AS token FROM tok)"), TOK)
+CLASSED = """classed AS (SELECT k.tweet_id, k.pos, k.token, CASE tag WHEN 'VBG' THEN 'v' WHEN 'RB' THEN 'r' WHEN 'JJ' THEN 'a' ELSE 'n' END AS wordclass
+ FROM tok k LEFT JOIN lexicon x ON k.token = x.token)"""
+RULES = """rules AS (SELECT * FROM (VALUES ('n', 1, 's', ''), ('n', 2, 'ses', 's'), ('n', 3, 'ves', 'f'), ('n', 4, 'xes', 'x'), ('n', 5, 'zes', 'z'), ('n', 6, 'ches', 'ch'),
+ ('n', 7, 'shes', 'sh'), ('n', 8, 'men', 'man'), ('n', 9, 'ies', 'y'), ('v', 1, 's', ''), ('v', 2, 'ies', 'y'), ('v', 3, 'es', 'e'), ('v', 4, 'es', ''), ('v', 5, 'ed', 'e'),
+ ('v', 6, 'ed', ''), ('v', 7, 'ing', 'e'), ('v', 8, 'ing', ''), ('a', 1, 'er', ''), ('a', 2, 'est', ''), ('a', 3, 'er', 'e'), ('a', 4, 'est', 'e')) r(wordclass, place, ending, put))"""
+BASES = """bases AS (SELECT DISTINCT token AS word, 'n' AS wordclass FROM tok WHERE token NOT LIKE '%s' UNION ALL SELECT DISTINCT token, 'v' FROM tok WHERE token NOT LIKE '%ing')"""
+FORMS = """forms AS (SELECT DISTINCT token, wordclass, 0 AS place, token AS word FROM classed UNION ALL
+ SELECT c.token, c.wordclass, r.place, concat(left(c.token, length(c.token) - length(r.ending)), r.put) FROM (SELECT DISTINCT token, wordclass FROM classed) c
+ JOIN rules r ON c.wordclass = r.wordclass AND right(c.token, length(r.ending)) = r.ending)"""
+BY_ENDING = """by_ending AS (SELECT token, wordclass, word AS lemma FROM (SELECT f.token, f.wordclass, f.word,
+ row_number() OVER (PARTITION BY f.token, f.wordclass ORDER BY length(f.word), f.place) AS nth
+ FROM forms f JOIN bases b ON f.word = b.word AND f.wordclass = b.wordclass) q WHERE nth = 1)"""
+add(
+    "j5_lemmatize_endings",
+    per_post(
+        "(SELECT c.tweet_id, c.pos, CASE WHEN c.wordclass = 'n' AND regexp_matches(c.token, '^[a-z]{{3}}s$') THEN left(c.token, 3) ELSE coalesce(e.lemma, c.token) END AS token "
+        "FROM classed c LEFT JOIN by_ending e ON c.token = e.token AND c.wordclass = e.wordclass)"
+    ),
+    TOK,
+    LEXICON,
+    CLASSED,
+    RULES,
+    BASES,
+    FORMS,
+    BY_ENDING,
+)
 add("t2_pos_to_wordnet", "SELECT token, tag, CASE tag WHEN 'VBG' THEN 'v' WHEN 'RB' THEN 'r' ELSE 'a' END AS wordclass FROM lexicon", TOK, LEXICON)
 add(
     "t3_pos_lookup",

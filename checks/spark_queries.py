@@ -250,6 +250,18 @@ def j5_lemmatize(tweets):
     return joined(X.lemmatize(docs, ["tweet_id"], _lemma_table(tweets)), F.col("tokens"))
 
 
+@query("tweets_fx")
+def j5_lemmatize_endings(tweets):
+    """Short plurals by table, other tokens by their endings, tagged by the table of tags."""
+    docs = tokens_of(tweets).select("tweet_id", "tokens")
+    distinct = tokens_of(tweets).select(F.explode(F.array_distinct("tokens")).alias("word")).distinct()
+    word = F.col("word")
+    classes = F.array_compact(F.array(F.when(~word.endswith("s"), F.lit("n")), F.when(~word.endswith("ing"), F.lit("v"))))
+    words = distinct.select("word", F.explode(classes).alias("wordclass"))
+    short = _lemma_table(tweets).filter(F.length("token") == 4)
+    return joined(X.lemmatize(docs, ["tweet_id"], short, _tag_table(tweets), words=words), F.col("tokens"))
+
+
 # --- Aggregates ---------------------------------------------------------------------------------
 
 

@@ -15,6 +15,13 @@ from marquee.session import cut_lineage
 
 MAX_WORD = 24  # default for the longest piece a hashtag is split into
 
+# Endings of inflected words and what the base form has instead, by word class
+ENDINGS = {
+    "n": (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"), ("men", "man"), ("ies", "y")),
+    "v": (("s", ""), ("ies", "y"), ("es", "e"), ("es", ""), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", "")),
+    "a": (("er", ""), ("est", ""), ("er", "e"), ("est", "e")),
+}
+
 
 def token_rows(df: DataFrame, key: Sequence[str], tokens: str = "tokens") -> DataFrame:
     """One row per token: key, ``pos`` from 0, ``token``.
@@ -39,22 +46,64 @@ def pos_lookup(rows: DataFrame, lexicon: DataFrame, spread: Sequence[str]) -> Da
     return tagged.withColumn("tag", F.coalesce("tag", F.lit("NN")))
 
 
-def lemma_lookup(rows: DataFrame, lemmas: DataFrame, spread: Sequence[str]) -> DataFrame:
-    """Add ``lemma``: the most frequent one by ``lemmas(token, wordclass, lemma[, n])``, else the token itself."""
-    known = _one_per_key(lemmas, ["token", "wordclass"], "lemma")
-    found = dictionary_join(rows, known, ["token", "wordclass"], spread)
+def base_forms(token: Column, wordclass: Column) -> Column:
+    """What a token of a word class may be a form of: itself, then the token with each ending of the class replaced."""
+    by_class = F.when(F.lit(False), F.array(token))
+    for letter, endings in ENDINGS.items():
+        made = [
+            F.when(token.endswith(ending), F.concat(F.left(token, F.length(token) - len(ending)), F.lit(put)))
+            for ending, put in endings
+        ]
+        by_class = by_class.when(wordclass == letter, F.array(token, *made))
+    return by_class.otherwise(F.array(token))
+
+
+def ending_lemmas(tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """``token, wordclass, lemma`` of each distinct token of ``tokens(token, wordclass)`` that is a form of a known word.
+
+    ``words(word, wordclass)`` are the known base forms. Of several known forms the shortest is the lemma; of equally
+    short ones the token itself, then the one of the earlier ending. Endings are replaced once. Only distinct tokens
+    are shuffled, not their occurrences. Null words and tokens match nothing.
+    """
+    known = cut_lineage(words.select("word", "wordclass").dropna().distinct().withColumn("is_word", F.lit(True)))
+    distinct = tokens.select("token", "wordclass").distinct()
+    forms = distinct.select("token", "wordclass", F.posexplode(base_forms(F.col("token"), F.col("wordclass"))).alias("place", "word"))
+    found = dictionary_join(forms.filter("word <> ''"), known, ["word", "wordclass"], ["token"]).filter("is_word")
+    return cut_lineage(
+        found.groupBy("token", "wordclass").agg(F.min_by("word", F.struct(F.length("word"), "place")).alias("lemma"))
+    )
+
+
+def lemma_lookup(
+    rows: DataFrame, lemmas: DataFrame | None, spread: Sequence[str], words: DataFrame | None = None
+) -> DataFrame:
+    """Add ``lemma``: the most frequent one by ``lemmas(token, wordclass, lemma[, n])``, else that of the ending, else the token.
+
+    ``words(word, wordclass)`` holds base forms; without it no ending is looked at (see ``ending_lemmas``).
+    """
+    if lemmas is not None:
+        known = _one_per_key(lemmas, ["token", "wordclass"], "lemma")
+        found = dictionary_join(rows, known, ["token", "wordclass"], spread)
+    else:
+        found = rows.withColumn("lemma", F.lit(None).cast("string"))
+    if words is not None:
+        by_ending = ending_lemmas(rows, words).withColumnRenamed("lemma", "_by_ending")
+        found = dictionary_join(found, by_ending, ["token", "wordclass"], spread)
+        found = found.withColumn("lemma", F.coalesce("lemma", "_by_ending")).drop("_by_ending")
     return found.withColumn("lemma", F.coalesce("lemma", "token"))
 
 
 def lemmatize(
     df: DataFrame,
     key: Sequence[str],
-    lemmas: DataFrame,
+    lemmas: DataFrame | None,
     lexicon: DataFrame | None = None,
     tokens: str = "tokens",
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """Replace each token by its lemma, given its word class.
 
+    ``lemmas`` is looked at first (irregular forms), then endings are taken off to reach a base form in ``words``.
     Every row gets a number of its own, written once, so rows that share ``key`` stay apart. Rows are hashed by that
     number before they are exploded; tagging, lemma lookup and the regrouping then keep that partitioning
     when the dictionaries are small enough to broadcast, so exploded tokens are not shuffled. The positions
@@ -71,7 +120,7 @@ def lemmatize(
         rows = rows.withColumn("wordclass", pos_to_wordnet("tag"))
     else:
         rows = rows.withColumn("wordclass", F.lit("n"))
-    rows = lemma_lookup(rows, lemmas, spread)
+    rows = lemma_lookup(rows, lemmas, spread, words)
     placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "lemma"))
     in_order = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["lemma"])
     lemmatized = (
@@ -92,14 +141,15 @@ def tokenize_posts(
     lexicon: DataFrame | None = None,
     lemmas: DataFrame | None = None,
     stopwords: Sequence[str] = ENGLISH_STOPWORDS,
+    words: DataFrame | None = None,
 ) -> DataFrame:
     """Model tokens of a post: tokenize, lemmatize, mark negation, filter, drop stopwords.
 
-    ``lexicon`` and ``lemmas`` are the user's tables; without lemmas every token is its own lemma.
+    ``lexicon``, ``lemmas`` and ``words`` are the user's tables; without the last two every token is its own lemma.
     """
     tokens = df.withColumn(out, casual_tokenize(text))
-    if lemmas is not None:
-        tokens = lemmatize(tokens, key, lemmas, lexicon, out)
+    if lemmas is not None or words is not None:
+        tokens = lemmatize(tokens, key, lemmas, lexicon, out, words)
     return tokens.withColumn(out, clean_tokens(out, stopwords))
 
 

@@ -376,6 +376,26 @@ def test_a_token_with_several_tags_stays_one_token(spark):
     assert tagged == {("run", "VB"), ("fast", "JJ")}
 
 
+def test_lemmas_by_ending(spark):
+    known = "cat n, bus n, wolf n, box n, quiz n, church n, dish n, woman n, city n, make v, walk v, try v, go v, nice a, tall a, as n, a n, late a, lat a"
+    words = spark.createDataFrame([(*w.split(),) for w in known.split(", ")] + [(None, "n"), ("cat", "n")], "word string, wordclass string")
+    cases = {
+        ("cats", "n"): "cat", ("buses", "n"): "bus", ("bus", "n"): "bus", ("wolves", "n"): "wolf", ("boxes", "n"): "box", ("churches", "n"): "church",
+        ("dishes", "n"): "dish", ("women", "n"): "woman", ("cities", "n"): "city", ("making", "v"): "make", ("walked", "v"): "walk", ("tries", "v"): "try",
+        ("goes", "v"): "go", ("nicer", "a"): "nice", ("tallest", "a"): "tall", ("as", "n"): "a", ("later", "a"): "lat", ("s", "n"): None, ("", "n"): None,
+        ("cats", "v"): None, ("cats", "r"): None, ("dogs", "n"): None, (None, "n"): None,
+    }
+    tokens = spark.createDataFrame([*cases, *cases], "token string, wordclass string")
+    found = {(r.token, r.wordclass): r.lemma for r in X.ending_lemmas(tokens, words).collect()}
+    assert found == {k: v for k, v in cases.items() if v is not None}
+    docs = spark.createDataFrame([(1, ["cats", "went", "dogs", "buses"]), (1, []), (None, None)], "k int, tokens array<string>")
+    irregular = spark.createDataFrame([("buses", "n", "coach")], "token string, wordclass string, lemma string")
+    for table, last in ((irregular, "coach"), (None, "bus")):
+        got = X.lemmatize(docs, ["k"], table, words=words)
+        assert sorted(map(repr, (r.tokens for r in got.collect()))) == sorted(map(repr, [["cat", "went", "dogs", last], [], None]))
+    assert X.ending_lemmas(tokens, words.limit(0)).count() == 0 == X.ending_lemmas(tokens.limit(0), words).count()
+
+
 def test_long_hashtags_take_time_in_proportion(spark):
     words = spark.createDataFrame([("good", 10), ("movie", 5)], "word string, n long")
     rows = [(1, "#" + "goodmovie" * 1200), (1, "#" + "goodmovie" * 1200), (2, "#" + "q" * 5000), (3, "#"), (4, "x #goodmovie! y")]
