@@ -39,6 +39,10 @@ UNLIKELY = re.compile(
     r"header|masthead|footer|foot|sidebar|side|aside|widget|related|recommended|comment|comments|disqus|respond|replies|reply|discussion|cookie|cookies|consent|gdpr|"
     r"notice|notices|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|form|search|copyright|disclaimer|pagination|pager|skip|hidden|tags|toolbar|alert|tracking)(?:$|[^a-z])"
 )
+# words that an article's own parts carry too: there such a part goes only when it is short or full of links
+DOUBTFUL = frozenset("share sharing social related recommended tags skip side foot promo promotion discussion notice notices disclaimer copyright alert".split())
+NOTICES = frozenset("notice notices disclaimer copyright alert".split())
+LONG_PART, LONG_PARAGRAPH = 200, 40  # characters
 KEEPS = frozenset({"html", "body", "article", "main"})
 LAYOUT = re.compile(r"(?:no|has|with|without|left|right|one|two)[-_ ]?(?:sidebar|header|footer|nav|banner|menu)s?")
 HEADING = re.compile(r"(?:^|[^a-z])(?:header|masthead)(?=$|[^a-z])")
@@ -49,10 +53,10 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "score", "chars", "link_chars", "label")
+    __slots__ = ("tag", "parent", "parts", "dropped", "score", "chars", "link_chars", "label", "doubt")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool, label: str = ""):
-        self.tag, self.parent, self.dropped, self.label = tag, parent, dropped, label
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, label: str = "", doubt: int = 0):
+        self.tag, self.parent, self.dropped, self.label, self.doubt = tag, parent, dropped, label, doubt
         self.parts: list[Node | str] = []
         self.score = 0.0
         self.chars = self.link_chars = 0
@@ -132,8 +136,11 @@ def tree(html: str, by_label: bool = True) -> Node:
             continue
         attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[3])} if "=" in m[3] else {}
         label = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().strip()
-        out = parent.dropped or _dropped(tag, attributes, label if by_label else "", m[3], open_)
-        node = Node(tag, parent, out, label)
+        out = parent.dropped or _dropped(tag, attributes, m[3], open_)
+        doubt = 0
+        if by_label and not out and label and tag not in KEEPS:
+            out, doubt = _unlikely(tag, label, open_)
+        node = Node(tag, parent, out, label, doubt)
         if not out:
             parent.parts.append(node)
         if not m[3].rstrip().endswith("/") or tag in BLOCKS:
@@ -141,19 +148,34 @@ def tree(html: str, by_label: bool = True) -> Node:
     return root
 
 
-def _dropped(tag: str, attributes: dict[str, str], label: str, raw: str, above: list[Node]) -> bool:
+def _dropped(tag: str, attributes: dict[str, str], raw: str, above: list[Node]) -> bool:
     if tag in DROPPED or attributes.get("role", "").lower() in DROPPED_ROLES or attributes.get("aria-hidden") == "true":
         return True
     if tag == "header" and not any(n.tag in ("article", "main") for n in above):
         return True
-    if "hidden" in raw.lower().split() or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in KEEPS or not label:
-        return False
+    return "hidden" in raw.lower().split() or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+def _unlikely(tag: str, label: str, above: list[Node]) -> tuple[bool, int]:
+    """Whether the label tells that an element is no main text; how many characters it must have where that is in doubt."""
     label = LAYOUT.sub(" ", label.replace("_", " "))
-    if any(n.tag in ("article", "main") for n in above):  # an article's own heading
+    within = any(n.tag in ("article", "main") for n in above)
+    if within:  # an article's own heading
         label = HEADING.sub(" ", label)
-    return bool(UNLIKELY.search(label))
+    if not UNLIKELY.search(label):
+        return False, 0
+    words = {w for w in re.findall("[a-z]+", label) if UNLIKELY.search(w)}
+    if not within or words - DOUBTFUL:
+        return True, 0
+    return False, LONG_PARAGRAPH if tag in ("p", "blockquote") and not words & NOTICES else LONG_PART
+
+
+def _settle(root: Node) -> None:
+    """Take elements in doubt out that are short or of which a quarter is links."""
+    doubtful = [n for n in _measure(root) if n.doubt]
+    for node in doubtful:
+        if node.chars < node.doubt or link_density(node) >= 0.25:
+            node.parts, node.dropped = [], True
 
 
 def _measure(root: Node) -> list[Node]:
@@ -161,6 +183,7 @@ def _measure(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
+        node.chars = node.link_chars = 0
         order.append(node)
         stack += [p for p in node.parts if isinstance(p, Node)]
     for node in reversed(order):
@@ -196,6 +219,7 @@ def container(root: Node) -> list[Node]:
     element around it, half as much to the next, and a third to the third. An element's points are discounted by
     the share of its characters that are links; article and main elements start with more.
     """
+    _settle(root)
     order = _measure(root)
     scored: dict[int, Node] = {}
     for node in order:
@@ -245,7 +269,7 @@ def container(root: Node) -> list[Node]:
 
 
 def blocks(nodes: list[Node]) -> list[str]:
-    """Texts of the blocks in page order, white space run together; lists of links only are left out."""
+    """Texts of the blocks in page order, white space run together; lists of links only are left out, but for an article's own."""
     out: list[str] = []
     run: list[str] = []
 
@@ -255,6 +279,10 @@ def blocks(nodes: list[Node]) -> list[str]:
             out.append(text)
         run.clear()
 
+    up = nodes[0] if nodes else None
+    while up is not None and up.tag != "article":
+        up = up.parent
+    own = up is not None
     stack: list[Node | str | None] = []
     for n in reversed(nodes):
         stack += [None, n]
@@ -266,7 +294,7 @@ def blocks(nodes: list[Node]) -> list[str]:
             run.append(p)
         elif p.tag in BLOCKS:
             end()
-            if p.tag in ("ul", "ol", "menu") and link_density(p) > 0.8:
+            if not own and p.tag in ("ul", "ol", "menu") and link_density(p) > 0.8:
                 continue
             stack.append(None)
             stack += reversed(p.parts)
@@ -277,7 +305,12 @@ def blocks(nodes: list[Node]) -> list[str]:
 
 
 def main_text(html: str | None) -> str:
-    """The article of a page: its blocks joined by one line end; empty for null, empty or textless pages."""
+    """The article of a page: its blocks joined by one line end; empty for null, empty or textless pages.
+
+    Inside an article or main element a part whose label may be the article's own (``share-intro``, ``notice``) stays
+    when it is long (40 characters for a paragraph, 200 for other parts and for notices) and less than a quarter
+    links; elsewhere, and for labels of adverts, menus, forms and comments, the label decides.
+    """
     if not html:
         return ""
     found = blocks(container(tree(html))) or blocks(container(tree(html, by_label=False)))

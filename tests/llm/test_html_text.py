@@ -36,6 +36,26 @@ def test_cases(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("inside", "text"),
+    [
+        ("<ul><li><a href=/a>First source</a></li><li><a href=/b>Second source</a></li></ul>", "First source\nSecond source"),
+        (f"<div class='notice'><p>{PARA * 4}</p></div>", PARA * 4),
+        (f"<p class='share-intro'>{PARA}</p>", PARA),
+        (f"<div class='related-work'><h2>Work</h2><p>{PARA}</p><p>{PARA} <a href=/x>one</a></p><p>{PARA}</p></div>", f"Work\n{PARA}\n{PARA} one\n{PARA}"),
+        ("<div class='notice'>We have moved.</div>", ""),
+        ("<p class=share>Share this</p>", ""),
+        (f"<div class=related><a href=/x>{PARA * 4}</a></div>", ""),
+        (f"<div class='comments'><p>{PARA * 9}</p></div>", ""),
+        (f"<div class='ad promo'><p>{PARA * 9}</p></div>", ""),
+        (f"<div class='related'><p>{PARA * 3}</p><div class='share'>Tell a friend</div></div>", PARA * 3),
+    ],
+)
+def test_parts_of_an_article(inside, text):
+    page = f"<ul><li><a href=/m>menu</a></ul><article><h1>T</h1><p>{PARA}</p>{inside}<p>end</p></article><div class='notice'>{PARA * 9}</div>"
+    assert main_text(page) == "\n".join(filter(None, ["T", PARA, text, "end"]))
+
+
 def test_links_count_against_a_block():
     links = "".join(f"<p><a href=/{k}>{PARA}</a></p>" for k in range(9))
     assert main_text(f"<div>{links}</div><div><p>{PARA}</p><p>{PARA} {PARA}</p></div>") == f"{PARA}\n{PARA} {PARA}"
