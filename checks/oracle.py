@@ -432,6 +432,10 @@ add(
 )
 for name in ("m1_softmax_optimum", "m12_ridge_optimum"):
     add(name, "SELECT DISTINCT CAST(label AS BIGINT) AS label, TRUE AS penalty_is_one FROM {sentiment_fx}")
+add(
+    "m10_hinge_optimum",
+    "SELECT DISTINCT CAST(label AS BIGINT) AS label, TRUE AS length_is_best, TRUE AS intercept_is_best FROM {sentiment_fx}",
+)
 add(
     "m3_tune_optimum",
     "SELECT c::DOUBLE AS \"C\", b AS is_binary, m::INT AS max_features, n::INT AS max_n, f::INT AS fold, TRUE AS penalty_is_one "

@@ -783,6 +783,28 @@ def m12_ridge_optimum(tweets, sentiment):
     return tweets.sparkSession.createDataFrame([(c, abs(p - 1) < 1e-3) for c, p in zip(CLASSES, found, strict=True)], "label long, penalty_is_one boolean")
 
 
+@query("tweets_fx", "sentiment_fx")
+def m10_hinge_optimum(tweets, sentiment):
+    """Neither other lengths of a class's weights nor other intercepts lower its hinge loss plus penalty."""
+    docs = tokens_of(tweets).join(sentiment.select("tweet_id", "label"), "tweet_id")
+    vocab = V.collect_vocabulary(V.vocabulary(docs, VOCABULARY))
+    weighted = V.tfidf(V.term_vector(docs, [t for t, _ in vocab]), V.smoothed_idf(vocab, docs.count()))
+    train = cut_lineage(M.indexed(weighted.select("tweet_id", "label", "features")))
+    scored, losses, steps = train, [], (-0.1, 0.0, 0.1)
+    for k, (m, c) in enumerate(zip(M.hinge_classifier().fit(train).models, CLASSES, strict=True)):
+        scored = m.copy().setRawPredictionCol(f"r{k}").setPredictionCol(f"p{k}").transform(scored)
+        product, sign = vector_to_array(f"r{k}")[1] - m.intercept, F.when(F.col("label") == c, 1.0).otherwise(-1.0)
+        norm = float(m.coefficients.dot(m.coefficients))
+
+        def loss(scale, shift, level=m.intercept, product=product, sign=sign, norm=norm):
+            return F.avg(F.greatest(F.lit(0.0), 1 - sign * (scale * product + level + shift))) + 0.5 * M.HINGE_PENALTY * scale**2 * norm
+
+        losses += [loss(1 + s, 0.0).alias(f"scale{k}{i}") for i, s in enumerate(steps)] + [loss(1.0, s).alias(f"level{k}{i}") for i, s in enumerate(steps)]
+    row = scored.agg(*losses).first()
+    best = [tuple(row[f"{kind}{k}1"] <= min(row[f"{kind}{k}0"], row[f"{kind}{k}2"]) + 1e-9 for kind in ("scale", "level")) for k in range(len(CLASSES))]
+    return tweets.sparkSession.createDataFrame([(c, *b) for c, b in zip(CLASSES, best, strict=True)], "label long, length_is_best boolean, intercept_is_best boolean")
+
+
 @query("tweets_fx", "sentiment_fx")
 def s13_save_and_load_model(tweets, sentiment):
     """A stored model scores every post as the fitted one does."""
