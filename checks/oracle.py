@@ -287,6 +287,48 @@ add(
     TOK,
     LEXICON,
 )
+AFTER_SHORT = "length(prev) < 4"
+TAGGED = f"""tagged AS (SELECT *, CASE WHEN token LIKE '%ing' THEN CASE WHEN {AFTER_SHORT} THEN 'VBG' ELSE 'NN' END
+ WHEN token LIKE '%er' THEN CASE WHEN {AFTER_SHORT} THEN 'JJ' WHEN length(prev) > 7 THEN 'RB' ELSE 'NN' END
+ WHEN token LIKE '%ly' THEN 'RB' WHEN token LIKE '%ble' THEN 'JJ' WHEN length(token) < 4 THEN 'DT' ELSE 'NN' END AS tag
+ FROM (SELECT *, coalesce(lag(token) OVER (PARTITION BY tweet_id ORDER BY pos), '.') AS prev FROM tok WHERE tweet_id % 2 = 0) q)"""
+PAIRED = "paired AS (SELECT token, tag, coalesce(lag(tag) OVER (PARTITION BY tweet_id ORDER BY pos), '') AS before FROM tagged)"
+TAGS = "tags AS (SELECT tag, count(*) AS total FROM paired GROUP BY tag)"
+EMITS = """emits AS MATERIALIZED (SELECT token, tag, CAST(round(ln(count(*) / any_value(total)) * -1e6) AS BIGINT) AS cost
+ FROM paired JOIN tags USING (tag) GROUP BY token, tag)"""
+STEPS = """steps AS MATERIALIZED (SELECT b.before, t.tag, CAST(round(ln((coalesce(p.n, 0) + 1) / (b.n + (SELECT count(*) FROM tags))) * -1e6) AS BIGINT) AS step
+ FROM (SELECT g.before, count(p.before) AS n FROM (SELECT tag AS before FROM tags UNION ALL SELECT '') g LEFT JOIN paired p ON p.before = g.before GROUP BY g.before) b
+ CROSS JOIN tags t LEFT JOIN (SELECT before, tag, count(*) AS n FROM paired GROUP BY before, tag) p ON p.before = b.before AND p.tag = t.tag)"""
+CHOICES = """choices AS MATERIALIZED (SELECT k.tweet_id, k.pos, coalesce(e.tag, 'NN') AS tag, coalesce(e.cost, 0) AS cost, count(*) OVER (PARTITION BY k.tweet_id, k.pos) AS alts
+ FROM tok k LEFT JOIN emits e ON k.token = e.token)"""
+# a token of one tag cuts the path: only runs of tokens of several tags are gone through
+RUNS = """runs AS (SELECT a.tweet_id, a.pos AS first, a.pos, a.tag, a.cost + s.step AS cost, [a.tag] AS path
+ FROM choices a LEFT JOIN choices p ON p.tweet_id = a.tweet_id AND p.pos = a.pos - 1 JOIN steps s ON s.before = coalesce(p.tag, '') AND s.tag = a.tag
+ WHERE a.alts > 1 AND coalesce(p.alts, 1) = 1
+ UNION ALL SELECT * FROM (SELECT a.tweet_id, r.first, a.pos, a.tag, r.cost + s.step + a.cost AS cost, list_append(r.path, a.tag) AS path
+ FROM runs r JOIN choices a ON a.tweet_id = r.tweet_id AND a.pos = r.pos + 1 AND a.alts > 1 JOIN steps s ON s.before = r.tag AND s.tag = a.tag
+ QUALIFY row_number() OVER (PARTITION BY a.tweet_id, a.pos, a.tag ORDER BY r.cost + s.step, r.tag) = 1) q)"""
+CHEAPEST = """cheapest AS (SELECT r.tweet_id, r.first, r.path FROM runs r LEFT JOIN choices n ON n.tweet_id = r.tweet_id AND n.pos = r.pos + 1
+ LEFT JOIN steps s ON s.before = r.tag AND s.tag = n.tag WHERE coalesce(n.alts, 1) = 1
+ QUALIFY row_number() OVER (PARTITION BY r.tweet_id, r.first ORDER BY r.cost + coalesce(s.step, 0), r.tag) = 1)"""
+add(
+    "t3_context_tags",
+    per_post(
+        "(SELECT tweet_id, pos, tag FROM choices WHERE alts = 1 UNION ALL "
+        "SELECT tweet_id, first + generate_subscripts(path, 1) - 1, unnest(path) FROM cheapest)",
+        "tag",
+    ).replace("AS tokens", "AS tags"),
+    TOK,
+    TAGGED,
+    PAIRED,
+    TAGS,
+    EMITS,
+    STEPS,
+    CHOICES,
+    RUNS,
+    CHEAPEST,
+)
+ORACLE["t3_context_tags"] = ORACLE["t3_context_tags"].replace("WITH ", "WITH RECURSIVE ", 1)
 SCOPE = f"""marked AS (SELECT tweet_id, pos, CASE WHEN negator > coalesce(mark, -1) AND NOT is_mark THEN concat(token, '_NEG') ELSE token END AS token
  FROM (SELECT *, max(CASE WHEN is_negator THEN pos END) OVER w AS negator, max(CASE WHEN is_mark THEN pos END) OVER w AS mark
   FROM (SELECT *, token IN ({quoted(NEGATION)}) OR contains(token, 'n''t') AS is_negator, token IN ('.', ':', ';', '!', '?') AS is_mark FROM tok) a

@@ -7,7 +7,7 @@ from uuid import uuid4
 
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.views import view
@@ -19,6 +19,7 @@ from marquee.operators import joins as J
 from marquee.operators import labeling as L
 from marquee.operators import models as M
 from marquee.operators import ranking as R
+from marquee.operators import tagging as G
 from marquee.operators import text as X
 from marquee.operators.solvers import balanced_penalties
 from marquee.plans import jobs
@@ -550,6 +551,21 @@ def t3_pos_lookup(tweets):
     return tagged.groupBy("token", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("tweets_fx")
+def t3_context_tags(tweets):
+    """Tags learned from every other post, whose tags hang on the token before, and put on all posts."""
+    rows = X.token_rows(tokens_of(tweets.filter("tweet_id % 2 = 0")), ["tweet_id"])
+    before = F.coalesce(F.lag("token").over(Window.partitionBy("tweet_id").orderBy("pos")), F.lit("."))
+    after_short = F.length(before) < 4
+    tag = F.when(F.endswith("token", F.lit("ing")), F.when(after_short, "VBG").otherwise("NN"))
+    tag = tag.when(F.endswith("token", F.lit("er")), F.when(after_short, "JJ").when(F.length(before) > 7, "RB").otherwise("NN"))
+    tag = tag.when(F.endswith("token", F.lit("ly")), "RB").when(F.endswith("token", F.lit("ble")), "JJ")
+    tag = tag.when(F.length("token") < 4, "DT").otherwise("NN")
+    model = G.tag_model(rows.withColumn("tag", tag), ["tweet_id"])
+    tagged = G.context_tags(tokens_of(tweets).select("tweet_id", "tokens"), model)
+    return tagged.select("tweet_id", F.array_join("tags", " ").alias("tags"))
+
+
 @query("tweets_fx")
 def t4_mark_negation(tweets):
     return joined(tokens_of(tweets), T.mark_negation("tokens"))

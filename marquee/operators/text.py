@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.tokens import ENGLISH_STOPWORDS, casual_tokenize, clean_tokens, pos_to_wordnet
 from marquee.operators.joins import dictionary_join
+from marquee.operators.tagging import TagModel, context_tags
 from marquee.session import cut_lineage
 
 MAX_WORD = 24  # default for the longest piece a hashtag is split into
@@ -100,26 +101,33 @@ def lemmatize(
     lexicon: DataFrame | None = None,
     tokens: str = "tokens",
     words: DataFrame | None = None,
+    context: TagModel | None = None,
 ) -> DataFrame:
     """Replace each token by its lemma, given its word class.
 
-    ``lemmas`` is looked at first (irregular forms), then endings are taken off to reach a base form in ``words``.
+    Word classes come from tags in context where a ``context`` model is given, else from the ``lexicon``, else all are
+    nouns. ``lemmas`` is looked at first (irregular forms), then endings are taken off to reach a base form in ``words``.
     Every row gets a number of its own, written once, so rows that share ``key`` stay apart. Rows are hashed by that
     number before they are exploded; tagging, lemma lookup and the regrouping then keep that partitioning
     when the dictionaries are small enough to broadcast, so exploded tokens are not shuffled. The positions
     restore the order.
     """
-    rest = [c for c in df.columns if c != tokens]
+    columns, rest = df.columns, [c for c in df.columns if c != tokens]
+    if context is not None:
+        df = context_tags(df, context, tokens, "_context_tags")
     docs = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id())).repartition("_row")
-    rows = docs.select(
-        "_row", F.col(tokens).isNull().alias("_absent"), F.posexplode_outer(tokens).alias("pos", "token")
-    )
+    absent = F.col(tokens).isNull().alias("_absent")
     spread = ["_row", "pos"]
-    if lexicon is not None:
-        rows = pos_lookup(rows, lexicon, spread)
-        rows = rows.withColumn("wordclass", pos_to_wordnet("tag"))
+    if context is not None:
+        pairs = F.arrays_zip(F.col(tokens).alias("token"), F.col("_context_tags").alias("tag"))
+        rows = docs.select("_row", absent, F.posexplode_outer(pairs).alias("pos", "_pair"))
+        rows = rows.select("_row", "_absent", "pos", "_pair.token", pos_to_wordnet(F.col("_pair.tag")).alias("wordclass"))
     else:
-        rows = rows.withColumn("wordclass", F.lit("n"))
+        rows = docs.select("_row", absent, F.posexplode_outer(tokens).alias("pos", "token"))
+        if lexicon is not None:
+            rows = pos_lookup(rows, lexicon, spread).withColumn("wordclass", pos_to_wordnet("tag"))
+        else:
+            rows = rows.withColumn("wordclass", F.lit("n"))
     rows = lemma_lookup(rows, lemmas, spread, words)
     placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "lemma"))
     in_order = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["lemma"])
@@ -129,7 +137,7 @@ def lemmatize(
         .select("_row", F.when(~F.col("_absent"), F.col("_lemmas")).alias(tokens))
     )
     # the other columns come back by number; the tokens are not made again for that
-    return docs.select("_row", *rest).join(lemmatized, "_row").select(*df.columns)
+    return docs.select("_row", *rest).join(lemmatized, "_row").select(*columns)
 
 
 def tokenize_posts(
@@ -142,14 +150,16 @@ def tokenize_posts(
     lemmas: DataFrame | None = None,
     stopwords: Sequence[str] = ENGLISH_STOPWORDS,
     words: DataFrame | None = None,
+    context: TagModel | None = None,
 ) -> DataFrame:
     """Model tokens of a post: tokenize, lemmatize, mark negation, filter, drop stopwords.
 
-    ``lexicon``, ``lemmas`` and ``words`` are the user's tables; without the last two every token is its own lemma.
+    ``lexicon``, ``lemmas`` and ``words`` are the user's tables, ``context`` the model of the user's tagged texts; without
+    ``lemmas`` and ``words`` every token is its own lemma.
     """
     tokens = df.withColumn(out, casual_tokenize(text))
     if lemmas is not None or words is not None:
-        tokens = lemmatize(tokens, key, lemmas, lexicon, out, words)
+        tokens = lemmatize(tokens, key, lemmas, lexicon, out, words, context)
     return tokens.withColumn(out, clean_tokens(out, stopwords))
 
 
