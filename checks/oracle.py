@@ -534,6 +534,16 @@ add(
   WHERE p.tweet_date = DATE '2017-01-03' AND lang = 'en' AND NOT regexp_matches(tweet_text, 'https?://') AND NOT {RT}) q
  QUALIFY ROW_NUMBER() OVER (PARTITION BY title ORDER BY tweet_id % 86400 DESC, tweet_id DESC) <= 5""",
 )
+add(
+    "d4_ingest_days",
+    f"""SELECT CAST(tweet_date AS VARCHAR) AS gross_date, title, CAST(rank AS BIGINT) AS rank, daily_gross, tweet_id,
+ md5(trim({sub(sub(f"regexp_replace({RAW}, concat('(?i)#?', title), '', 'g')", '  +', ' '), r'^\s+|\s+$')})) AS tweet_text
+ FROM (SELECT t.title, t.rank, t.daily_gross, p.tweet_date, p.tweet_id, p.tweet_text FROM
+  (SELECT tweet_date, title, count(*) AS daily_gross, row_number() OVER (PARTITION BY tweet_date ORDER BY count(*) DESC, title) AS rank FROM {{tweets_fx}} GROUP BY 1, 2) t
+  JOIN {{tweets_fx}} p ON p.tweet_date = t.tweet_date AND contains({WORDS.format('p.tweet_text')}, {WORDS.format('t.title')})
+  WHERE rank <= 10 AND lang = 'en' AND NOT regexp_matches(tweet_text, 'https?://') AND NOT {RT}) q
+ QUALIFY ROW_NUMBER() OVER (PARTITION BY tweet_date, title ORDER BY tweet_id % 86400 DESC, tweet_id DESC) <= 200""",
+)
 add(
     "d2_daily_metrics",
     f"SELECT title, CAST(tweet_date AS VARCHAR) AS pred_date, {SHARES}, {MEANS} FROM "

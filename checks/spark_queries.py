@@ -23,7 +23,7 @@ from marquee.operators import tagging as G
 from marquee.operators import text as X
 from marquee.operators.solvers import balanced_penalties
 from marquee.plans import jobs
-from marquee.schemas import BOXOFFICE, CLASSES, LABELED, METRICS, MOVIES, QUEUE, VALIDATION, Table, struct
+from marquee.schemas import BOXOFFICE, CLASSES, LABELED, METRICS, MOVIES, QUEUE, TWEETS, VALIDATION, Table, struct
 from marquee.session import cut_lineage, ensure_checkpoint_dir
 from marquee.sources import readers, sinks
 
@@ -375,13 +375,12 @@ def s4_extract_top_rows(pages):
     return rows.select("page_id", long_of("rank").alias("rank"), F.get("cells", F.lit(0)).alias("cell"))
 
 
-@query("boxoffice_fx")
-def s4_extract_chart(chart):
-    """Chart pages written from the chart, one per day, and read back."""
+def _chart_pages(chart: DataFrame, release_day: Column) -> DataFrame:
+    """Chart pages, one per day, written from chart rows."""
     cells = [F.lit(""), F.lit(""), F.col("title"), F.lit(""), F.concat(F.lit("$"), F.format_number("daily_gross", 0)), F.lit(""), F.lit("")]
-    cells += [text_of("theaters"), F.lit(""), F.format_number("daily_gross", 0), F.when(F.col("rank") == 2, "n/a").otherwise(text_of("rank"))]
+    cells += [text_of("theaters"), F.lit(""), F.format_number("daily_gross", 0), release_day]
     row = F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *cells), F.lit("</td></tr>\n"))
-    pages = (
+    return (
         chart.withColumn("row", row)
         .groupBy("gross_date")
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "row"))), lambda r: r["row"]), "").alias("rows"))
@@ -394,6 +393,12 @@ def s4_extract_chart(chart):
             ).alias("html"),
         )
     )
+
+
+@query("boxoffice_fx")
+def s4_extract_chart(chart):
+    """Chart pages written from the chart, one per day, and read back."""
+    pages = _chart_pages(chart, F.when(F.col("rank") == 2, "n/a").otherwise(text_of("rank")))
     return rounded(readers.extract_chart(pages))
 
 
@@ -958,6 +963,19 @@ def d1_daily_posts(tweets):
     return found.select("title", "tweet_id", "tweet_retweet", "tweet_mention", "tweet_text")
 
 
+@query("tweets_fx")
+def d4_ingest_days(tweets):
+    """All days gathered in one plan, from chart pages and nested posts, into an empty store; its posts with their charts."""
+    store = jobs.Store(tweets.sparkSession, _folder(tweets.sparkSession)).create()
+    counted = tweets.groupBy(F.col("tweet_date").alias("gross_date"), "title").agg(F.count(F.lit(1)).alias("daily_gross"))
+    chart = R.top_n_per_day(counted.withColumn("theaters", F.col("daily_gross") + 1), 20)
+    nothing = tweets.sparkSession.createDataFrame([], "title string, year int, json string")
+    jobs.ingest_days(store, _chart_pages(chart, F.lit("1")), _nested_posts(tweets), nothing)
+    charted = store.read(BOXOFFICE, ["gross_date", "title", "rank", "daily_gross"])
+    posts = store.read(TWEETS, ["title", "tweet_id", "tweet_date", "tweet_text"]).withColumnRenamed("tweet_date", "gross_date")
+    return rounded(charted.join(posts, ["gross_date", "title"]).withColumn("tweet_text", F.md5("tweet_text")))
+
+
 @query("scores_fx", "tweets_fx", "queue_fx", "answers_fx", "open_fx")
 def d3_labeled_rows(scores, tweets, queue, answers, posts):
     """What a labelling run appends: sure posts by their class, and answers to a published queue."""

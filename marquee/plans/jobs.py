@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date as Date
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.ml import PipelineModel
@@ -109,18 +110,20 @@ def next_date(store: Store, first_date: str = FIRST_DATE) -> Date:
     return high_water_mark(store.read(BOXOFFICE, ["gross_date"]), "gross_date", first_date).first()[0]
 
 
-def daily_posts(chart: DataFrame, posts: DataFrame, day: Date, per_title: int = POSTS_PER_TITLE) -> DataFrame:
-    """The newest posts of the day that mention each charted title, cleaned and flat.
+def daily_posts(
+    chart: DataFrame, posts: DataFrame, day: Date, per_title: int = POSTS_PER_TITLE, last: Date | None = None
+) -> DataFrame:
+    """The newest posts of the day that mention each charted title, cleaned and flat; of all days up to ``last`` if given.
 
-    ``posts`` are nested. The day's posts are picked by a time range the scan can use, then filtered and
-    flattened; the mention join sees only what a search would return.
+    ``posts`` are nested. They are picked by a time range the scan can use, then filtered and flattened; the mention
+    join, by day, sees only what a search would return. ``chart`` says which days of the range have titles.
     """
-    start = F.lit(day).cast("timestamp")
-    today = posts.filter((F.col("created_at") >= start) & (F.col("created_at") < start + F.expr("INTERVAL 1 DAY")))
+    start, end = F.lit(day).cast("timestamp"), F.lit((last or day) + timedelta(1))
+    today = posts.filter((F.col("created_at") >= start) & (F.col("created_at") < end.cast("timestamp")))
     flat = flatten_posts(
         today.withColumn("tweet_date", F.to_date("created_at")), "tweet_date", "lang", F.col("text").alias("raw")
     )
-    found = search_filter(flat, day, text="raw").drop("lang")
+    found = search_filter(flat, day, end, text="raw").drop("lang")
     titles = chart.select(F.col("gross_date").alias("tweet_date"), "title")
     mentions = mention_join(titles, found, text="raw")
     newest = recent_n_per_title(mentions, per_title)
@@ -185,13 +188,67 @@ def ingest_day(
     return day
 
 
+def _unbroken(states: list, first: Date, skip_unreadable: bool) -> tuple[list[Date], Date | None]:
+    """The days in turn from ``first`` that can be gathered, and the day whose page can't be."""
+    by_day, days, day = {r["gross_date"]: r for r in states}, [], first
+    while day in by_day:
+        if not by_day[day]["usable"] or (by_day[day]["lost"] and not skip_unreadable):
+            return days, day
+        days.append(day)
+        day += timedelta(1)
+    return days, None
+
+
+def ingest_days(
+    store: Store,
+    pages: DataFrame,
+    posts: DataFrame,
+    metadata: DataFrame,
+    last: Date | None = None,
+    first_date: str = FIRST_DATE,
+    titles_per_day: int = TITLES_PER_DAY,
+    posts_per_title: int = POSTS_PER_TITLE,
+    skip_unreadable: bool = False,
+) -> list[Date]:
+    """Gather every day after the last chart, up to ``last`` or the end of the staged pages, in one plan; returns the days.
+
+    Gives the rows that ``ingest_day`` gives day by day: the charts, posts and metadata of all days are made together,
+    keyed by day, with one pass over the posts. Days are gathered in turn, so the first one without a usable chart, or
+    held by unreadable rows, ends the range; the rows that hold it are kept in the quarantine table. With no day to
+    gather it fails. One row a day, with two counts, reaches the driver. Posts and metadata are written before the charts,
+    so a run that breaks off is simply run again.
+    """
+    first = next_date(store, first_date)
+    staged = pages.filter(F.col("gross_date") >= F.lit(first))
+    if last is not None:
+        staged = staged.filter(F.col("gross_date") <= F.lit(last))
+    extracted = cut_lineage(extract_chart(staged, titles_per_day))
+    usable = F.col("problem").isNull()
+    states = extracted.groupBy("gross_date").agg(F.count_if(usable).alias("usable"), F.count_if(~usable).alias("lost")).collect()
+    days, held = _unbroken(states, first, skip_unreadable)
+    seen = [*days, held] if held else days
+    unreadable = quarantined(extracted).filter(F.col("gross_date").isin(seen))
+    known = store.read(QUARANTINE).filter(F.col("gross_date") >= F.lit(first))
+    fresh = cut_lineage(unreadable.select(*QUARANTINE.columns).exceptAll(known))
+    if not fresh.isEmpty():
+        store.append(fresh, QUARANTINE)
+    if not days:
+        raise NoChartError(f"no usable chart for {first}" + ("; what can't be read is in the quarantine table" if held else ""))
+    chart = cut_lineage(chart_rows(extracted).filter(F.col("gross_date") <= F.lit(days[-1])))
+    store.append(daily_posts(chart, posts, first, posts_per_title, days[-1]), TWEETS, "skip")
+    append_metadata(daily_metadata(chart, metadata), store.paths["movies"])
+    store.append(chart, BOXOFFICE)
+    return days
+
+
 # --- Metrics ------------------------------------------------------------------------------------
 
 
 def pull_posts(store: Store, day, count: int | None = None) -> DataFrame:
-    """Posts of a day that are not labelled, at most ``count`` of each title."""
+    """Posts of a day, or of a list of days, that are not labelled; at most ``count`` of each title."""
     posts = store.read(TWEETS, ["title", "tweet_id", "tweet_text", "tweet_date"])
-    today = posts.filter(F.col("tweet_date") == F.lit(day).cast("date"))
+    days = [F.lit(d).cast("date") for d in (day if isinstance(day, list) else [day])]
+    today = posts.filter(F.col("tweet_date").isin(days))
     free = unlabeled_posts(
         today, store.read(LABELED, ["tweet_id"]), store.read(VALIDATION, ["tweet_id"])
     )
@@ -205,7 +262,7 @@ def metrics_rows(scored: DataFrame) -> DataFrame:
 
 
 def daily_metrics(store: Store, model: PipelineModel, day) -> int:
-    """Score the day's unlabelled posts and append the metrics; returns the number of new rows."""
+    """Score the unlabelled posts of a day, or of a list of days at once, and append the metrics; returns the number of new rows."""
     return store.append(metrics_rows(score(model, pull_posts(store, day))), METRICS, "skip")
 
 
@@ -319,10 +376,33 @@ def daily_backend(
     The queue of unsure posts is published before labelling; ``annotations`` answer the day's queue.
     """
     day = ingest_day(store, pages, posts, metadata, **options)
+    _finish(store, day, annotations)
+    return day
+
+
+def _finish(store: Store, day: Date, annotations: DataFrame | None) -> None:
+    """Metrics of all days that have none, in one plan; then the queue, labels and refit of ``day``."""
     model, params = load_model(store.spark, store.model_path)
-    for missing in missing_days(store):
+    if missing := missing_days(store):
         daily_metrics(store, model, missing)
     publish_queue(store, model, day)
     update = update_model(store, model, params, day, annotations)
     save_model(update.model if update else None, store.model_path, str(day), params)
-    return day
+
+
+def backfill(
+    store: Store,
+    pages: DataFrame,
+    posts: DataFrame,
+    metadata: DataFrame,
+    annotations: DataFrame | None = None,
+    **options,
+) -> list[Date]:
+    """All days since the last chart: gathered in one plan (``ingest_days``), their metrics in another; returns the days.
+
+    Metrics of all these days come from the model in use. The newest day is then labelled and the model refitted once; run
+    ``daily_backend`` day by day where each day's model must be the one refitted on the day before.
+    """
+    days = ingest_days(store, pages, posts, metadata, **options)
+    _finish(store, days[-1], annotations)
+    return days

@@ -100,6 +100,67 @@ def test_newest_posts_of_each_title(spark, staged):
     assert sorted(r.tweet_id for r in rows) == [2, 6]
 
 
+def several_days(staged):
+    """Five days: three good ones, one with an unreadable row, one good again."""
+    pages, posts, metadata = staged
+    spark = pages.sparkSession
+    charts = [
+        [chart_row("The Fog: Part 2", "$900"), chart_row("Up", "$500")],
+        [chart_row("Up", "$700")],
+        [chart_row("Up", "$70"), chart_row("Out", "$50")],
+        [chart_row("Out", "$60"), ["broken"]],
+        [chart_row("Up", "$5")],
+    ]
+    pages = spark.createDataFrame([(DAY + dt.timedelta(k), chart_page(c)) for k, c in enumerate(charts)], pages.schema)
+    more = [post(100 + k, text, day=DAY + dt.timedelta(k % 5), hour=k) for k, text in enumerate(["up we go", "out and up", "the fog is up", "out!", "Up, up", "nothing", "UP out", "up?", "out of it", "up"])]
+    more += [post(200, "up at the border", day=DAY + dt.timedelta(9))]
+    return pages, posts.unionByName(spark.createDataFrame(more, POST)), metadata
+
+
+def contents(store):
+    return {t.name: sorted(map(str, store.read(t).collect())) for t in (BOXOFFICE, TWEETS, MOVIES, QUARANTINE)}
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_days_gathered_at_once_are_those_gathered_in_turn(spark, staged, tmp_path, skip):
+    staged = several_days(staged)
+    once, turn = (jobs.Store(spark, str(tmp_path / n)).create() for n in ("once", "turn"))
+    in_turn = []
+    while True:
+        try:
+            in_turn.append(jobs.ingest_day(turn, *staged, posts_per_title=2, skip_unreadable=skip))
+        except jobs.NoChartError:
+            break
+    assert len(in_turn) == (5 if skip else 3)
+    assert jobs.ingest_days(once, *staged, posts_per_title=2, skip_unreadable=skip) == in_turn
+    assert contents(once) == contents(turn)
+    before = contents(once)
+    with pytest.raises(jobs.NoChartError):
+        jobs.ingest_days(once, *staged, skip_unreadable=skip)
+    assert contents(once) == before
+
+
+def test_a_range_ends_where_it_is_told(store, staged):
+    staged = several_days(staged)
+    assert jobs.ingest_days(store, *staged, last=DAY + dt.timedelta(1)) == [DAY, DAY + dt.timedelta(1)]
+    assert store.read(QUARANTINE).isEmpty()
+    assert jobs.ingest_days(store, *staged) == [DAY + dt.timedelta(2)]
+    with pytest.raises(jobs.NoChartError, match="quarantine"):
+        jobs.ingest_days(store, *staged)
+    pages = staged[0]
+    with pytest.raises(jobs.NoChartError):
+        jobs.ingest_days(store, pages.limit(0), *staged[1:])
+
+
+def test_a_broken_range_is_run_again(store, staged):
+    pages, posts, metadata = several_days(staged)
+    with pytest.raises(Exception):
+        jobs.ingest_days(store, pages, posts, metadata.drop("json"))
+    assert jobs.next_date(store) == DAY and store.read(TWEETS).count() > 0
+    assert len(jobs.ingest_days(store, pages, posts, metadata)) == 3
+    assert store.read(TWEETS).groupBy("title", "tweet_id").count().filter("count > 1").count() == 0
+
+
 WORDS = {-1: "awful boring", 0: "plain usual", 1: "great lovely"}
 
 
@@ -175,6 +236,32 @@ def test_the_whole_day(store, staged):
     assert params == tuned.params
 
 
+def test_metrics_of_several_days_at_once(spark, staged, model, tmp_path):
+    staged = several_days(staged)
+    rows = []
+    for name in ("once", "turn"):
+        store = jobs.Store(spark, str(tmp_path / name)).create()
+        days = jobs.ingest_days(store, *staged)
+        added = [jobs.daily_metrics(store, model, d) for d in ([days] if name == "once" else days)]
+        assert sum(added) == store.read(METRICS).count() > 3
+        assert jobs.missing_days(store) == []
+        rows.append(sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in store.read(METRICS).collect()))
+    assert rows[0] == rows[1]
+
+
+def test_backfill(store, staged):
+    spark = store.spark
+    grid = {"C": [1.0], "binary": [False], "max_features": [50], "max_n": [1]}
+    tuned = jobs.init_model(store, labelled_texts(spark), "2016-12-31", grid, folds=2)
+    days = jobs.backfill(store, *several_days(staged))
+    assert days == [DAY + dt.timedelta(k) for k in range(3)]
+    made = {r.pred_date for r in store.read(METRICS).collect()}
+    assert made == {r.tweet_date for r in store.read(TWEETS).collect()}
+    assert {r.session for r in store.read(QUEUE).collect()} <= {str(days[-1])}
+    _, params = sinks.load_model(spark, store.model_path)
+    assert params == tuned.params
+
+
 def test_broken_days_are_made_up(store, staged, monkeypatch):
     spark = store.spark
     grid = {"C": [1.0], "binary": [False], "max_features": [50], "max_n": [1]}
