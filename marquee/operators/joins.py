@@ -29,7 +29,8 @@ def salted_join(
     The rows of ``large`` are counted by key (reduced before the shuffle); a key of more than ``part_rows`` rows
     gets a salt for each such part. There are at most rows / ``part_rows`` hot keys, so their table is
     small. Rows of ``large`` take one of their key's salts by their ``spread`` columns; rows of ``small`` are
-    repeated for the salts of their own key only, so every pair still meets exactly once.
+    repeated for the salts of their own key only, so every pair still meets exactly once. The join is a merge: Spark would
+    take the size of a side from before its rows are exploded, and might send a large one through the driver.
     """
     salt, salts = "_salt", "_salts"
     hot = large.groupBy(*keys).count().filter(F.col("count") > part_rows)
@@ -38,7 +39,7 @@ def salted_join(
     parts = F.coalesce(salts, F.lit(1))
     left = large.join(side, list(keys), "left").withColumn(salt, F.pmod(F.xxhash64(*spread), parts).cast("int"))
     right = small.join(side, list(keys), "left").withColumn(salt, F.explode(F.sequence(F.lit(0), parts - 1)))
-    return left.drop(salts).join(right.drop(salts), [*keys, salt], how).drop(salt)
+    return left.drop(salts).join(right.drop(salts).hint("merge"), [*keys, salt], how).drop(salt)
 
 
 def distinct_ids(df: DataFrame, col: str = "tweet_id") -> DataFrame:

@@ -107,37 +107,43 @@ def lemmatize(
 
     Word classes come from tags in context where a ``context`` model is given, else from the ``lexicon``, else all are
     nouns. ``lemmas`` is looked at first (irregular forms), then endings are taken off to reach a base form in ``words``.
-    Every row gets a number of its own, written once, so rows that share ``key`` stay apart. Rows are hashed by that
-    number before they are exploded; tagging, lemma lookup and the regrouping then keep that partitioning
-    when the dictionaries are small enough to broadcast, so exploded tokens are not shuffled. The positions
-    restore the order.
+    Every row gets a number of its own, written once, so rows that share ``key`` stay apart. Tags and lemmas are looked up
+    for distinct tokens; the tokens of a row meet only the table of those that change, and only the changed ones are
+    brought back to their row, by number and position.
     """
-    columns, rest = df.columns, [c for c in df.columns if c != tokens]
+    columns = df.columns
     if context is not None:
         df = context_tags(df, context, tokens, "_context_tags")
-    docs = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id())).repartition("_row")
-    absent = F.col(tokens).isNull().alias("_absent")
-    spread = ["_row", "pos"]
+    docs = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
     if context is not None:
         pairs = F.arrays_zip(F.col(tokens).alias("token"), F.col("_context_tags").alias("tag"))
-        rows = docs.select("_row", absent, F.posexplode_outer(pairs).alias("pos", "_pair"))
-        rows = rows.select("_row", "_absent", "pos", "_pair.token", pos_to_wordnet(F.col("_pair.tag")).alias("wordclass"))
+        uses = docs.select("_row", F.posexplode_outer(pairs).alias("pos", "_pair"))
+        uses = uses.select("_row", "pos", "_pair.token", pos_to_wordnet(F.col("_pair.tag")).alias("wordclass"))
+        keys = ["token", "wordclass"]
     else:
-        rows = docs.select("_row", absent, F.posexplode_outer(tokens).alias("pos", "token"))
-        if lexicon is not None:
-            rows = pos_lookup(rows, lexicon, spread).withColumn("wordclass", pos_to_wordnet("tag"))
-        else:
-            rows = rows.withColumn("wordclass", F.lit("n"))
-    rows = lemma_lookup(rows, lemmas, spread, words)
-    placed = F.when(F.col("pos").isNotNull(), F.struct("pos", "lemma"))
-    in_order = F.transform(F.array_sort(F.collect_list(placed)), lambda r: r["lemma"])
-    lemmatized = (
-        rows.groupBy("_row", "_absent")
-        .agg(in_order.alias("_lemmas"))
-        .select("_row", F.when(~F.col("_absent"), F.col("_lemmas")).alias(tokens))
+        uses, keys = docs.select("_row", F.posexplode_outer(tokens).alias("pos", "token")), ["token"]
+    uses = uses.filter(F.col("token").isNotNull())
+    distinct = cut_lineage(uses.select(*keys).distinct())
+    if context is None and lexicon is not None:
+        distinct = pos_lookup(distinct, lexicon, keys).withColumn("wordclass", pos_to_wordnet("tag"))
+    elif context is None:
+        distinct = distinct.withColumn("wordclass", F.lit("n"))
+    forms = lemma_lookup(distinct, lemmas, ["token"], words).filter(F.col("lemma") != F.col("token"))
+    found = dictionary_join(uses, cut_lineage(forms.select(*keys, "lemma")), keys, ["_row", "pos"]).filter(F.col("lemma").isNotNull())
+    changes = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_changes"))
+    begin = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("lemma")))
+    ends = F.concat(F.transform("_changes", lambda c: c["pos"]), F.array(F.size(tokens)))
+    # each changed token with the run of tokens after it: every token is taken once
+    runs = F.zip_with(
+        F.concat(begin, F.col("_changes")),
+        ends,
+        lambda c, end: F.concat(
+            F.when(c["pos"] >= 0, F.array(c["lemma"])).otherwise(F.array().cast("array<string>")),
+            F.slice(tokens, c["pos"] + F.lit(2), end - c["pos"] - F.lit(1)),
+        ),
     )
-    # the other columns come back by number; the tokens are not made again for that
-    return docs.select("_row", *rest).join(lemmatized, "_row").select(*columns)
+    new_tokens = F.when(F.col("_changes").isNull(), F.col(tokens)).otherwise(F.flatten(runs))
+    return docs.join(changes.hint("merge"), "_row", "left").withColumn(tokens, new_tokens).select(*columns)
 
 
 def tokenize_posts(
@@ -219,7 +225,7 @@ def _known_pairs(known: DataFrame, word_counts: DataFrame, pair_counts: DataFram
     words = known.filter(F.col("score").isNotNull())
     left = words.select("tag", "start", F.col("end").alias("middle"), F.col("word").alias("first"))
     right = words.select("tag", F.col("start").alias("middle"), "end", F.col("word").alias("second"))
-    found = dictionary_join(left.join(right, ["tag", "middle"]), cut_lineage(shares), ["first", "second"], ["tag", "middle"])
+    found = dictionary_join(left.join(right.hint("merge"), ["tag", "middle"]), cut_lineage(shares), ["first", "second"], ["tag", "middle"])
     found = found.filter(F.col("pair_score").isNotNull())
     return found.groupBy("tag").agg(F.collect_list(F.struct("start", "middle", "end", F.col("pair_score").alias("score"))).alias("pairs"))
 
@@ -244,11 +250,11 @@ def hashtag_words(tags: DataFrame, word_counts: DataFrame, max_word: int = MAX_W
     )
     pieces = tags.filter(F.length("tag") > 0).select("tag", F.inline(spans))
     known = dictionary_join(pieces, logs, ["word"], ["tag", "start", "end"])
-    # one piece without a score keeps a tag that holds no word
-    kept = known.filter(F.col("score").isNotNull() | ((F.col("start") == 0) & (F.col("end") == 1)))
-    found = kept.groupBy("tag").agg(F.collect_list(F.struct("start", "end", "score", F.lit(max_word).alias("limit"))).alias("spans"))
+    # one piece without a score keeps a tag that holds no word; the rest is written, as the pairs are made of it too
+    known = cut_lineage(known.filter(F.col("score").isNotNull() | ((F.col("start") == 0) & (F.col("end") == 1))))
+    found = known.groupBy("tag").agg(F.collect_list(F.struct("start", "end", "score", F.lit(max_word).alias("limit"))).alias("spans"))
     if pair_counts is not None:
-        found = found.join(_known_pairs(known, word_counts, pair_counts), "tag", "left")
+        found = found.join(_known_pairs(known, word_counts, pair_counts).hint("merge"), "tag", "left")
     else:
         found = found.withColumn("pairs", F.lit(None).cast("array<struct<start:int,middle:int,end:int,score:double>>"))
     split = F.pandas_udf(_split_all, "array<string>")("tag", "spans", "pairs", F.coalesce(size, F.lit(1.0)))
@@ -299,7 +305,7 @@ def segment_hashtags(
         " ",
     )
     return (
-        df.join(replaced, key, "left")
+        df.join(replaced.hint("merge"), key, "left")
         .withColumn(text, F.when(F.col("_words").isNotNull(), new_text).otherwise(F.col(text)))
         .drop("_words")
         .select(*columns)

@@ -405,3 +405,46 @@ def test_long_hashtags_take_time_in_proportion(spark):
     assert time.monotonic() - start < 15
     assert got[0] == got[1] == (1, " ".join(["good movie"] * 1200)) and got[2][1].replace(" ", "") == "q" * 5000
     assert got[4] == (4, "x good movie y")
+
+
+def test_pieces_of_hashtags_are_not_broadcast(spark, monkeypatch):
+    """A dictionary that is too large to broadcast: neither it nor the pieces go through the driver."""
+    from marquee.operators import joins
+
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    words = spark.createDataFrame([("good", 10), ("movie", 5)], "word string, n long")
+    pairs = spark.createDataFrame([("good", "movie", 3)], "first string, second string, n long")
+    posts = spark.createDataFrame([(1, "see #goodmovie now"), (2, "x"), (3, None), (3, "#zz")], "id int, tweet_text string")
+    split = X.segment_hashtags(posts, words, pair_counts=pairs)
+    assert "Broadcast" not in split._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.tweet_text or "") for r in split.collect()) == [(1, "see good movie now"), (2, "x"), (3, ""), (3, "zz")]
+
+
+def test_tokens_meet_only_the_lemmas_that_change_them(spark, monkeypatch):
+    met = []
+    join = X.dictionary_join
+
+    def counted(tokens, table, keys, spread):
+        met.append((tokens.columns, table.count()))
+        return join(tokens, table, keys, spread)
+
+    monkeypatch.setattr(X, "dictionary_join", counted)
+    docs = spark.createDataFrame([(1, ["cats", "a", None, "cats"]), (1, []), (None, None), (2, ["a"]), (2, ["dogs", "ran"])], "k int, tokens array<string>")
+    lemmas = spark.createDataFrame([("cats", "n", "cat"), ("dogs", "n", "dog"), ("ran", "v", "run"), ("a", "n", "a"), ("owls", "n", "owl")], "token string, wordclass string, lemma string")
+    got = X.lemmatize(docs, ["k"], lemmas)
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(((r.k, r.tokens) for r in got.collect()), key=key) == sorted([(1, ["cat", "a", None, "cat"]), (1, []), (None, None), (2, ["a"]), (2, ["dog", "ran"])], key=key)
+    assert [n for columns, n in met if "_row" in columns] == [2]  # cats and dogs
+
+
+def test_batches_of_python_tasks_are_small(spark):
+    from marquee.session import small_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, want in ((10_000, 1_000), (0, 1_000), (50, 50)):
+            spark.conf.set(name, given)
+            assert int(small_batches(spark).conf.get(name)) == want
+    finally:
+        spark.conf.set(name, before)
