@@ -21,6 +21,7 @@ from marquee.functions.patterns import (
     REST_FORM,
     any_of,
     first_pass,
+    plain_words,
     protected_kinds,
     protected_pattern,
     second_pass,
@@ -186,10 +187,15 @@ def split_edge_punct(col: Column | str) -> Column:
 
 
 def protected_spans(col: Column | str, kind: str | None = None) -> Column:
-    """Spans the raw tokenizer keeps whole, in order; or all matches of one kind on its own."""
+    """Spans the raw tokenizer keeps whole, in order; or all matches of one kind on its own.
+
+    Plain words, in which no span starts, are passed over first; they leave an empty group, and no span is empty.
+    """
     kinds = protected_kinds()
-    pattern = kinds[kind] if kind else any_of(*kinds.values())
-    return F.regexp_extract_all(_col(col), F.lit(pattern), F.lit(0))
+    if kind:
+        return F.regexp_extract_all(_col(col), F.lit(kinds[kind]), F.lit(0))
+    pattern = rf"{plain_words()}|({any_of(*kinds.values())})"
+    return F.filter(F.regexp_extract_all(_col(col), F.lit(pattern), F.lit(1)), lambda t: t != "")
 
 
 def split_tokens(col: Column | str, pattern: str | None = None) -> Column:

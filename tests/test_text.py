@@ -448,3 +448,17 @@ def test_batches_of_python_tasks_are_small(spark):
             assert int(small_batches(spark).conf.get(name)) == want
     finally:
         spark.conf.set(name, before)
+
+
+def test_spans_beside_plain_words(spark):
+    """Plain words are passed over, and the spans are those of the kinds alone."""
+    rng = random.Random(7)
+    parts = ["word", "Dr", "Mrs", "st", "U", "S", "o", "O", "x", "D", "s", "v", "été", "don", "com", "www", "t", "12", "1", "RT", "é"]
+    marks = [" ", " ", " ", " ", ".", ",", "?", "!", "'", ":", ";", ")", "(", "_", "-", "@", "#", "/", "<", ">", "3", "&amp;", "..", "=", "*", "\u2019", "\n", "~", "^", "$"]
+    texts = ["".join(rng.choice(parts if rng.random() < 0.5 else marks) for _ in range(rng.randrange(1, 40))) for _ in range(3_000)]
+    texts += ["plain words only", "a, b? c", "see foo.com, or it's a.b.c at 12:30. D: word, :) o_O ssss. :(", "", " ", "U.S. a U.S", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    alone = F.regexp_extract_all("t", F.lit("(?:" + "|".join(protected_kinds().values()) + ")"), F.lit(0))
+    bad = df.select("t", T.protected_spans("t").alias("a"), alone.alias("b")).filter(~F.col("a").eqNullSafe(F.col("b")))
+    assert bad.take(3) == []
+    assert "(?<![^ ])" in str(T.protected_spans("t"))
