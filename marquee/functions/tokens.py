@@ -18,6 +18,7 @@ from marquee.functions.patterns import (
     EDGE_RIGHT,
     LONG_RUN,
     MARK,
+    PLAIN_MARK,
     REST_FORM,
     any_of,
     first_pass,
@@ -72,7 +73,7 @@ def casual_tokenize(col: Column | str, lower_first: bool = True) -> Column:
     text = decode_entities(text)
     text = F.regexp_replace(text, CASUAL_HANDLE, " ")
     text = F.regexp_replace(text, r"(?s)(.)\1{2,}", "$1$1$1")
-    tokens = F.regexp_extract_all(text, F.lit(CASUAL_TOKEN), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(CASUAL_TOKEN), F.lit(1))
     if lower_first:
         return tokens
     return F.transform(
@@ -99,55 +100,58 @@ def mark_negation(tokens: Column | str) -> Column:
     """Append ``_NEG`` to the tokens between a negator and the next clause mark.
 
     The opening negator and the mark stay bare; a second negator inside is marked. The list is cut
-    after each clause mark, the first negator of each piece is found, and what follows it is marked, so
-    the work is linear in the number of tokens.
+    after each negator, and what comes before the first clause mark of such a piece is marked, so
+    the work is linear in the number of tokens. Lists without a negator are passed through.
     """
 
     def mark(toks: Column) -> Column:
-        ends = F.filter(
-            F.transform(toks, lambda t, i: F.when(is_clause_mark(t), i + F.lit(1))), lambda i: i.isNotNull()
+        starts = F.filter(
+            F.transform(toks, lambda t, i: F.when(is_negator(t), i + F.lit(1))), lambda i: i.isNotNull()
         )
-        bounds = F.zip_with(
-            F.concat(F.array(F.lit(0)), ends),
-            F.concat(ends, F.array(F.size(toks))),
-            lambda lo, hi: F.struct(lo.alias("lo"), (hi - lo).alias("n")),
-        )
-        clauses = F.transform(
-            bounds,
-            lambda b: let(
-                F.slice(toks, b["lo"] + F.lit(1), b["n"]),
-                lambda clause: F.struct(
-                    clause.alias("tokens"),
-                    F.array_position(F.transform(clause, is_negator), F.lit(True)).alias("negator"),
-                ),
-            ),
-        )
-        return F.flatten(
-            F.transform(
-                clauses,
-                lambda c: F.when(
-                    c["negator"] > 0,
-                    F.transform(
-                        c["tokens"],
-                        lambda t, i: F.when(
-                            (i >= c["negator"]) & ~is_clause_mark(t), F.concat(t, F.lit("_NEG"))
-                        ).otherwise(t),
-                    ),
-                ).otherwise(c["tokens"]),
+
+        def pieces(lows: Column) -> Column:
+            bounds = F.zip_with(
+                lows,
+                F.concat(F.slice(lows, F.lit(2), F.size(lows) - F.lit(1)), F.array(F.size(toks))),
+                lambda lo, hi: F.struct(lo.alias("lo"), (hi - lo).alias("n")),
             )
-        )
+            marked = F.transform(bounds, lambda b: let(F.slice(toks, b["lo"] + F.lit(1), b["n"]), mark_piece))
+            return F.concat(F.slice(toks, F.lit(1), F.get(lows, F.lit(0))), F.flatten(marked))
+
+        return let(starts, pieces)
+
+    def mark_piece(piece: Column) -> Column:
+        first = F.array_position(F.transform(piece, is_clause_mark), F.lit(True)).cast("int")
+        negated = lambda t: F.concat(t, F.lit("_NEG"))
 
-    return let(_col(tokens), mark)
+        def cut(end: Column) -> Column:
+            return F.when(end == 0, F.transform(piece, negated)).otherwise(
+                F.concat(
+                    F.transform(F.slice(piece, F.lit(1), end - F.lit(1)), negated),
+                    F.slice(piece, end, F.size(piece)),
+                )
+            )
+
+        return let(first, cut)
+
+    return let(_col(tokens), lambda toks: F.when(F.exists(toks, is_negator), mark(toks)).otherwise(toks))
 
 
 def unmark_emoticons(tokens: Column | str) -> Column:
     """Take ``_NEG`` off again where it follows two or more punctuation marks."""
-    return F.transform(_col(tokens), lambda t: F.regexp_replace(t, rf"({PUNCTUATION}{{2,}})_NEG", "$1"))
+    bare = lambda t: F.regexp_replace(t, rf"({PUNCTUATION}{{2,}})_NEG", "$1")
+    return F.transform(_col(tokens), lambda t: F.when(F.contains(t, F.lit("_NEG")), bare(t)).otherwise(t))
 
 
 def filter_tokens(tokens: Column | str) -> Column:
     """Drop single punctuation marks, numbers, and words of one or two letters, marked or not."""
-    return F.filter(_col(tokens), lambda t: ~t.rlike(DROPPED_TOKEN))
+
+
+    def stays(t: Column) -> Column:
+        word = (t >= "a") & (t < "{") & (F.length(t) > 2) & ~t.endswith("_NEG")  # starts with a to z: needs no pattern
+        return word | ~t.rlike(DROPPED_TOKEN)
+
+    return F.filter(_col(tokens), stays)
 
 
 def remove_stopwords(tokens: Column | str, words: Sequence[str] = ENGLISH_STOPWORDS) -> Column:
@@ -194,7 +198,7 @@ def protected_spans(col: Column | str, kind: str | None = None) -> Column:
     kinds = protected_kinds()
     if kind:
         return F.regexp_extract_all(_col(col), F.lit(kinds[kind]), F.lit(0))
-    pattern = rf"{plain_words()}|({any_of(*kinds.values())})"
+    pattern = rf"{plain_words()}|({any_of(PLAIN_MARK, *kinds.values())})"
     return F.filter(F.regexp_extract_all(_col(col), F.lit(pattern), F.lit(1)), lambda t: t != "")
 
 
@@ -211,7 +215,8 @@ def split_tokens(col: Column | str, pattern: str | None = None) -> Column:
 
     if pattern:
         return pieces(F.regexp_replace(text, pattern, " $0 "))
-    return F.when(text.rlike(LONG_RUN), _long_pieces(text, pieces)).otherwise(pieces(F.regexp_replace(text, protected_pattern(), " $0 ")))
+    spaced = F.regexp_replace(text, protected_pattern(), " $0 ")
+    return F.when(text.rlike(LONG_RUN), _long_pieces(text, pieces)).otherwise(pieces(spaced))
 
 
 def _long_pieces(text: Column, pieces: Callable[[Column], Column]) -> Column:

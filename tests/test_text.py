@@ -462,3 +462,32 @@ def test_spans_beside_plain_words(spark):
     bad = df.select("t", T.protected_spans("t").alias("a"), alone.alias("b")).filter(~F.col("a").eqNullSafe(F.col("b")))
     assert bad.take(3) == []
     assert "(?<![^ ])" in str(T.protected_spans("t"))
+
+
+BESIDE = "oh www. so|sen. x|Dr. who, St. as.|a. b a.b. U.S. so.|é,a.b. oé. x|o, : o,: d: p8 s.:|no, ok? yes! ...|x.com, x. com|. . , .. .|a@b, @c, @@d, so @e|1, 2. 3 ? !|\ttab\t so. \tx"
+
+
+def test_marks_beside_plain_words_change_no_token(spark):
+    from marquee.functions.patterns import PLAIN_MARK, any_of, protected_kinds
+
+    assert PLAIN_MARK
+    kinds = any_of(*protected_kinds().values())
+    texts = BESIDE.split("|")
+    assert column(spark, texts, T.split_tokens) == column(spark, texts, lambda t: T.split_tokens(t, kinds))
+    assert column(spark, texts, T.protected_spans) == column(spark, texts, lambda t: F.regexp_extract_all(t, F.lit(kinds), F.lit(0)))
+
+
+def test_plain_words_are_casual_tokens_too(spark):
+    from marquee.functions.patterns import CASUAL_KINDS, CASUAL_PLAIN, any_of
+
+    assert CASUAL_PLAIN
+    texts = [t for t in BESIDE.split("|") if "@" not in t]
+    assert column(spark, texts, T.casual_tokenize) == column(spark, texts, lambda t: F.regexp_extract_all(F.lower(t), F.lit(any_of(*CASUAL_KINDS.values())), F.lit(0)))
+
+
+def test_lists_without_a_negator_are_passed_through(spark):
+    rows = spark.createDataFrame([(["a", "not", "b", ".", None, "no", "c", "never", "d"],), (["a", None],), ([],), (None,)], "t array<string>")
+    got = rows.select(T.mark_negation("t").alias("o"), T.unmark_emoticons(F.array(F.lit("!!_NEG"), F.lit("ab"))).alias("u"), T.filter_tokens(F.array(*map(F.lit, ["ab", "ab_NEG", "abc", "a-", "abc_NEG", "1,2", "!"]))).alias("f"))
+    assert [r.o for r in got.collect()] == [["a", "not", "b_NEG", ".", None, "no", "c_NEG", "never_NEG", "d_NEG"], ["a", None], [], None]
+    assert got.first().u == ["!!", "ab"] and got.first().f == ["abc", "a-", "abc_NEG"]
+    assert "exists" in got._jdf.queryExecution().analyzed().toString()
