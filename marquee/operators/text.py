@@ -6,13 +6,16 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee import session
 from marquee.functions.tokens import ENGLISH_STOPWORDS, casual_tokenize, clean_tokens, pos_to_wordnet
 from marquee.operators.joins import dictionary_join
-from marquee.operators.tagging import TagModel, context_tags
-from marquee.session import cut_lineage
+from marquee.operators.tagging import TagModel, context_tags, relisted, settled
+from marquee.session import TABLE_ROWS, cut_lineage, fits_broadcast, more_than, reach_package, small_batches
 
 MAX_WORD = 24  # default for the longest piece a hashtag is split into
 
@@ -94,6 +97,36 @@ def lemma_lookup(
     return found.withColumn("lemma", F.coalesce("lemma", "token"))
 
 
+def _replaced(tokens: pa.ListArray, classes: pa.ListArray | None, forms: pa.Table) -> pa.ListArray:
+    """Lists of tokens with those that ``forms`` (token[, wordclass], lemma) has replaced by the lemma."""
+    flat = tokens.flatten()
+    asked, known = flat, forms["token"].combine_chunks()
+    if classes is not None:
+        asked = pc.binary_join_element_wise(flat, classes.flatten(), "\0")
+        known = pc.binary_join_element_wise(known, forms["wordclass"].combine_chunks(), "\0")
+    lemmas = pc.take(forms["lemma"].combine_chunks(), pc.index_in(asked, value_set=known))
+    return relisted(tokens, pc.coalesce(lemmas, flat))
+
+
+def _put_lemmas(df: DataFrame, forms: DataFrame, tokens: str, classes: Column | None) -> DataFrame:
+    """Replace tokens by a table of forms that every task holds; rows stay where they are."""
+    table = small_batches(reach_package(df.sparkSession)).sparkContext.broadcast(forms.toArrow())
+
+    @F.arrow_udf("array<string>")
+    def by_token(lists: pa.Array) -> pa.Array:
+        return _replaced(lists, None, table.value)
+
+    @F.arrow_udf("array<string>")
+    def by_class(lists: pa.Array, classes: pa.Array) -> pa.Array:
+        return _replaced(lists, classes, table.value)
+
+    # as if not deterministic: else Spark may put it into a later lambda, where it can't be called
+    if classes is None:
+        return df.withColumn(tokens, settled(tokens)).withColumn(tokens, by_token.asNondeterministic()(tokens))
+    df = df.withColumns({tokens: settled(tokens), "_classes": settled(classes)})
+    return df.withColumn(tokens, by_class.asNondeterministic()(tokens, "_classes"))
+
+
 def lemmatize(
     df: DataFrame,
     key: Sequence[str],
@@ -107,29 +140,47 @@ def lemmatize(
 
     Word classes come from tags in context where a ``context`` model is given, else from the ``lexicon``, else all are
     nouns. ``lemmas`` is looked at first (irregular forms), then endings are taken off to reach a base form in ``words``.
-    Every row gets a number of its own, written once, so rows that share ``key`` stay apart. Tags and lemmas are looked up
-    for distinct tokens; the tokens of a row meet only the table of those that change, and only the changed ones are
-    brought back to their row, by number and position.
+    Tags and lemmas are looked up for distinct tokens, those of a small table of lemmas where no endings are asked for, else
+    those of the rows. A table of the tokens that change which is measured small is sent to the tasks, and rows stay where they
+    are: nothing is shuffled or written. For a few rows, or a larger table, every row gets a number of its own, written once, so
+    rows that share ``key`` stay apart; the tokens of a row meet only that table, and only the changed ones are brought back to
+    their row, by number and position.
     """
     columns = df.columns
     if context is not None:
         df = context_tags(df, context, tokens, "_context_tags")
+
+    def uses_of(df: DataFrame, *key: str) -> DataFrame:
+        if context is None:
+            uses = df.select(*key, F.posexplode_outer(tokens).alias("pos", "token"))
+        else:
+            pairs = F.arrays_zip(F.col(tokens).alias("token"), F.col("_context_tags").alias("tag"))
+            uses = df.select(*key, F.posexplode_outer(pairs).alias("pos", "_pair"))
+            uses = uses.select(*key, "pos", "_pair.token", pos_to_wordnet(F.col("_pair.tag")).alias("wordclass"))
+        return uses.filter(F.col("token").isNotNull())
+
+    def changed(distinct: DataFrame) -> DataFrame:
+        if context is None and lexicon is not None:
+            distinct = pos_lookup(distinct, lexicon, keys).withColumn("wordclass", pos_to_wordnet("tag"))
+        elif context is None:
+            distinct = distinct.withColumn("wordclass", F.lit("n"))
+        forms = lemma_lookup(distinct, lemmas, ["token"], words).filter(F.col("lemma") != F.col("token"))
+        return cut_lineage(forms.select(*keys, "lemma"))
+
+    keys, forms = ["token"] if context is None else ["token", "wordclass"], None
+    if more_than(df, session.FEW_ROWS):
+        if words is None and fits_broadcast(lemmas.select(*keys), TABLE_ROWS):
+            forms = changed(lemmas.select(*keys).dropna().distinct())
+        else:
+            forms = changed(cut_lineage(uses_of(df).select(*keys).distinct()))
+        if fits_broadcast(forms, TABLE_ROWS):
+            classes = F.transform("_context_tags", pos_to_wordnet) if context is not None else None
+            return _put_lemmas(df, forms, tokens, classes).select(*columns)
     docs = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
-    if context is not None:
-        pairs = F.arrays_zip(F.col(tokens).alias("token"), F.col("_context_tags").alias("tag"))
-        uses = docs.select("_row", F.posexplode_outer(pairs).alias("pos", "_pair"))
-        uses = uses.select("_row", "pos", "_pair.token", pos_to_wordnet(F.col("_pair.tag")).alias("wordclass"))
-        keys = ["token", "wordclass"]
-    else:
-        uses, keys = docs.select("_row", F.posexplode_outer(tokens).alias("pos", "token")), ["token"]
-    uses = uses.filter(F.col("token").isNotNull())
-    distinct = cut_lineage(uses.select(*keys).distinct())
-    if context is None and lexicon is not None:
-        distinct = pos_lookup(distinct, lexicon, keys).withColumn("wordclass", pos_to_wordnet("tag"))
-    elif context is None:
-        distinct = distinct.withColumn("wordclass", F.lit("n"))
-    forms = lemma_lookup(distinct, lemmas, ["token"], words).filter(F.col("lemma") != F.col("token"))
-    found = dictionary_join(uses, cut_lineage(forms.select(*keys, "lemma")), keys, ["_row", "pos"]).filter(F.col("lemma").isNotNull())
+    uses = uses_of(docs, "_row")
+    if forms is None:
+        forms = changed(cut_lineage(uses.select(*keys).distinct()))
+    found = dictionary_join(uses, forms, keys, ["_row", "pos"]).filter(F.col("lemma").isNotNull())
     changes = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", "lemma"))).alias("_changes"))
     begin = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("lemma")))
     ends = F.concat(F.transform("_changes", lambda c: c["pos"]), F.array(F.size(tokens)))
